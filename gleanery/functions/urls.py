@@ -133,24 +133,17 @@ def resolved(page: Column, href: Column, page_parts: Column | None = None) -> Co
         other = ((link["scheme"] != "") & (link["scheme"] != base["scheme"])) | ~base["scheme"].isin(
             uses_relative
         )
-        full = joined(
-            base["scheme"], link["netloc"], _path(link["path"], link["params"]), link["query"], link["fragment"]
-        )
-        same_page = joined(
-            base["scheme"],
-            base["netloc"],
-            _path(base["path"], base["params"]),
-            F.when(link["query"] != "", link["query"]).otherwise(base["query"]),
-            link["fragment"],
+        own_path = (link["path"] != "") | (link["params"] != "")
+        chosen = (
+            F.when(link["netloc"] != "", _choice(link, link["path"], link, link["query"]))
+            .when(own_path, _choice(base, _merged(base, link), link, link["query"]))
+            .otherwise(_choice(base, base["path"], base, F.coalesce(F.nullif(link["query"], F.lit("")), base["query"])))
         )
         return (
-            F.when(link.isNull(), F.lit(None))
-            .when(href == "", page)
+            F.when(href == "", page)
             .when(other, href)
-            .when(link["netloc"] != "", full)
-            .when((link["path"] == "") & (link["params"] == ""), same_page)
-            .otherwise(let(_merged(base, link), lambda path: joined(
-                base["scheme"], base["netloc"], _path(path, link["params"]), link["query"], link["fragment"]
+            .when(link.isNotNull(), let(chosen, lambda c: joined(
+                base["scheme"], c["netloc"], c["path"], c["query"], link["fragment"]
             )))
         )
 
@@ -162,8 +155,12 @@ def resolved(page: Column, href: Column, page_parts: Column | None = None) -> Co
     return let(base, lambda b: let(url_parts(href), lambda link: let(target(b, link), checked)))
 
 
-def _path(path: Column, params: Column) -> Column:
-    return F.when(params != "", F.concat(path, F.lit(";"), params)).otherwise(path)
+def _choice(host: Column, path: Column, params: Column, query: Column) -> Column:
+    """The parts a target takes from its page or from its href."""
+    tail = F.when(params["params"] != "", F.concat(F.lit(";"), params["params"])).otherwise("")
+    return F.struct(
+        host["netloc"].alias("netloc"), F.concat(path, tail).alias("path"), query.alias("query")
+    )
 
 
 def _merged(base: Column, link: Column) -> Column:
