@@ -82,7 +82,7 @@ def canonical(url: str) -> str:
     host = rf"lower(regexp_extract({url}, '^([a-zA-Z]+://[^/?#]*)', 1))"
     path = rf"rtrim(regexp_extract({url}, '^[a-zA-Z]+://[^/?#]*([^?#;]*)', 1), '/')"
     pairs = rf"string_split(regexp_extract({url}, '^[^?#]*\?([^#]*)', 1), '&')"
-    kept = rf"list_filter({pairs}, p -> regexp_matches(p, '^[^=]*=.') AND NOT starts_with(p, 'utm_'))"
+    kept = rf"list_filter({pairs}, lambda p: regexp_matches(p, '^[^=]*=.') AND NOT starts_with(p, 'utm_'))"
     query = f"array_to_string({kept}, '&')"
     return f"({host} || {path} || CASE WHEN {query} = '' THEN '' ELSE '?' || {query} END)"
 
@@ -111,7 +111,7 @@ WITH pieces AS (
                            chr(64976)) AS parts
   FROM pages)
 SELECT url, regexp_replace(array_to_string(list_filter(list_transform(
-         parts, p -> regexp_replace(p, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')), p -> p <> ''), ' ') || ' ',
+         parts, lambda p: regexp_replace(p, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')), lambda p: p <> ''), ' ') || ' ',
          '[\r\n]', ' ', 'g') AS content
 FROM pieces"""
 
@@ -214,7 +214,7 @@ placed AS (
 SELECT word, CAST(block AS BIGINT) AS block, string_agg(doc_id, ',' ORDER BY doc_id) AS doc_ids
 FROM placed GROUP BY word, block""",
         "shard_words": f"""
-SELECT CAST(list_sum(list_transform(string_split(word, ''), c -> unicode(c))) % {BUCKETS} AS BIGINT) AS bucket, word, count
+SELECT CAST(list_sum(list_transform(string_split(word, ''), lambda c: unicode(c))) % {BUCKETS} AS BIGINT) AS bucket, word, count
 FROM ({WORD_COUNTS})""",
         "map_reduce": f"""
 SELECT substr(word, 1, 1) AS key, CAST(count(*) AS BIGINT) AS words, CAST(max(length(word)) AS BIGINT) AS longest,
@@ -240,8 +240,8 @@ WHERE last_scraped IS NULL OR last_scraped <= TIMESTAMP '{AS_OF}' - INTERVAL 360
         "requeue_inflight": _in_flight(f"TIMESTAMP '{AS_OF}'"),
         "upsert_pages": LATEST,
         "export_urls": f"""WITH {LINKS},
-queued AS (SELECT dst AS url, min(page_id) AS at FROM links GROUP BY dst)
-SELECT url FROM queued ORDER BY at, url LIMIT 1000""",
+queued AS (SELECT dst AS url, min(page_id) AS first FROM links GROUP BY dst)
+SELECT url FROM queued ORDER BY first, url LIMIT 1000""",
         "completion_rate": f"WITH {WINDOWS} SELECT window_start, completed FROM lengths",
         "queue_length": f"WITH {WINDOWS} SELECT window_start, queue_length FROM lengths",
         "append_metrics": f"WITH {WINDOWS} SELECT window_start, completed, queue_length FROM lengths",
