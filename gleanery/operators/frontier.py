@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.urls import AllowRule, allowed, canonical, with_scheme
@@ -75,7 +75,7 @@ def next_batch(queued: DataFrame, k: int, newest_first: bool = True) -> DataFram
 
 
 def recency_gate(
-    urls: DataFrame, pages: DataFrame, as_of: datetime, seconds: int = RESCRAPE_SECONDS
+    urls: DataFrame, pages: DataFrame, as_of: datetime | Column, seconds: int = RESCRAPE_SECONDS
 ) -> DataFrame:
     """``(url, last_scraped)`` of the URLs to scrape: never scraped, or at least ``seconds`` ago."""
     due = F.lit(as_of) - F.expr(f"interval {seconds} seconds")
@@ -86,7 +86,7 @@ def recency_gate(
     )
 
 
-def requeue_inflight(log: DataFrame, as_of: datetime, seconds: int = REQUEUE_SECONDS) -> DataFrame:
+def requeue_inflight(log: DataFrame, as_of: datetime | Column, seconds: int = REQUEUE_SECONDS) -> DataFrame:
     """``(url, dispatched_at)`` of URLs dispatched, not completed since, and waiting ``seconds`` or more.
 
     A page counts as completed under its own URL.

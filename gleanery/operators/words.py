@@ -17,7 +17,7 @@ DOCS_PER_BLOCK = 10_000
 SALTS = 256
 
 
-def map_reduce(docs: DataFrame, mapper: Column, **reducers: Column) -> DataFrame:
+def map_reduce(docs: DataFrame, mapper: Column, /, **reducers: Column) -> DataFrame:
     """``mapper`` gives an array of keys, or of ``struct(key, value)``, per document.
 
     ``reducers`` are aggregate expressions over ``key``, ``value`` and ``doc_id``; Spark combines them

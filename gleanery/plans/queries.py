@@ -8,7 +8,6 @@ that results can be compared with other engines value by value.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,8 +38,8 @@ MORE = 100
 HOUR = 3600
 BUCKETS = 7
 NEXT = 20
-AS_OF = datetime(2024, 1, 31)
-SPLIT = datetime(2024, 1, 16)
+AS_OF = "2024-01-31 00:00:00"
+SPLIT = "2024-01-16 00:00:00"
 PAGE_RULE = AllowRule(domain="example.com", path_prefix="/en/", blocked_params=("ref",))
 LINK_RULE = AllowRule(domain="example.com", path_prefix="/")
 STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -114,6 +113,10 @@ def asked(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(QUERIES, "query_id bigint, query string")
 
 
+def instant(text: str) -> Column:
+    return F.lit(text).cast("timestamp")
+
+
 def stamp(column: str) -> Column:
     return F.date_format(column, STAMP).alias(column)
 
@@ -321,18 +324,18 @@ def frontier_next_batch(spark, sf):
 def recency_gate(spark, sf):
     seen = log(spark, sf)
     done = seen.filter(F.col("kind") == "complete").groupBy("url").agg(F.max("ts").alias("last_scraped"))
-    due = frontier.recency_gate(seen.select("url").distinct(), done, AS_OF)
+    due = frontier.recency_gate(seen.select("url").distinct(), done, instant(AS_OF))
     return due.select("url", stamp("last_scraped"))
 
 
 def requeue_inflight(spark, sf):
-    return frontier.requeue_inflight(log(spark, sf), AS_OF, HOUR).select("url", stamp("dispatched_at"))
+    return frontier.requeue_inflight(log(spark, sf), instant(AS_OF), HOUR).select("url", stamp("dispatched_at"))
 
 
 def upsert_pages(spark, sf):
     versions = as_versions(events(spark, sf))
-    store = frontier.latest_pages(versions.filter(F.col("last_scraped") < F.lit(SPLIT)))
-    batch = versions.filter(F.col("last_scraped") >= F.lit(SPLIT))
+    store = frontier.latest_pages(versions.filter(F.col("last_scraped") < instant(SPLIT)))
+    batch = versions.filter(F.col("last_scraped") >= instant(SPLIT))
     return frontier.upsert_pages(store, batch).select("url", "content", stamp("last_scraped"))
 
 
@@ -404,7 +407,7 @@ def stream_index_refresh(spark, sf):
     arriving = _stream(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("url"),
         F.col("text").alias("content"),
-        F.lit(AS_OF).alias("last_scraped"),
+        instant(AS_OF).alias("last_scraped"),
     )
     store, path = fresh_path(spark, "refresh-store"), fresh_path(spark, "refresh-index")
     jobs.refresh_index(arriving, store, path, once=True).awaitTermination()
@@ -413,7 +416,7 @@ def stream_index_refresh(spark, sf):
 
 def stream_requeue(spark, sf):
     out = fresh_path(spark, "stream-requeue")
-    jobs.requeue(as_log(_stream(spark, sf, "events")), out, HOUR, once=True).awaitTermination()
+    jobs.requeue(as_log(_stream(spark, sf, "events")), out, HOUR, late="0 seconds", once=True).awaitTermination()
     return spark.read.parquet(out).select("url", stamp("dispatched_at"))
 
 

@@ -121,11 +121,12 @@ def refresh_index(pages: DataFrame, store: str, index: str, once: bool = False,
     return _start(_per_batch(pages, "append", rebuild), spark, once, every, checkpoint)
 
 
-def requeue(log: DataFrame, out: str, seconds: int = REQUEUE_SECONDS, late: str = "0 seconds",
+def requeue(log: DataFrame, out: str, seconds: int = REQUEUE_SECONDS, late: str = "1 minute",
             once: bool = False, every: int = REQUEUE_SECONDS, checkpoint: str | None = None) -> StreamingQuery:
     """URLs not completed within ``seconds`` of their dispatch, as ``(url, dispatched_at)``.
 
     One state value per URL in flight. A dispatch sets a timer on event time, a completion clears it.
+    Events up to ``late`` out of order are waited for; older ones are ignored.
     Only the last event of a URL in a batch matters, so its rows are looked at piece by piece.
     """
     import pandas as pd
@@ -134,12 +135,12 @@ def requeue(log: DataFrame, out: str, seconds: int = REQUEUE_SECONDS, late: str
         if state.hasTimedOut:
             sent = state.get[0]
             state.remove()
-            yield pd.DataFrame({"url": [key[0]], "dispatched_at": [pd.Timestamp(sent, unit="us")]})
+            yield pd.DataFrame({"url": [key[0]], "sent_us": [sent]})
             return
         last, kind = (tuple(state.get) if state.exists else None), None
         for piece in pieces:
-            newest = piece.sort_values(["ts", "seq"]).iloc[-1]
-            event = (newest["ts"].value // 1000, int(newest["seq"]))
+            newest = piece.sort_values(["us", "seq"]).iloc[-1]
+            event = (int(newest["us"]), int(newest["seq"]))
             if last is None or event > last:
                 last, kind = event, newest["kind"]
         if kind == "complete" and state.exists:
@@ -150,9 +151,17 @@ def requeue(log: DataFrame, out: str, seconds: int = REQUEUE_SECONDS, late: str
             due = state.get[0] // 1000 + seconds * 1000
             state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
 
-    moved = log.filter(F.col("kind").isin("dispatch", "complete")).withWatermark("ts", late)
-    back = moved.groupBy("url").applyInPandasWithState(
-        follow, "url string, dispatched_at timestamp", "sent_us bigint, seq bigint", "append", "EventTimeTimeout"
+    moved = (
+        log.filter(F.col("kind").isin("dispatch", "complete"))
+        .withWatermark("ts", late)
+        .select("ts", "seq", "url", "kind", F.unix_micros("ts").alias("us"))
+    )
+    back = (
+        moved.groupBy("url")
+        .applyInPandasWithState(
+            follow, "url string, sent_us bigint", "sent_us bigint, seq bigint", "append", "EventTimeTimeout"
+        )
+        .select("url", F.timestamp_micros("sent_us").alias("dispatched_at"))
     )
     writer = back.writeStream.format("parquet").option("path", out)
     return _start(writer, log.sparkSession, once, every, checkpoint)
