@@ -42,8 +42,7 @@ def ranked_search(index: SavedIndex, queries: DataFrame) -> DataFrame:
     ).first()
 
     if size["terms"] <= MAX_QUERY_TERMS and size["bytes"] <= MAX_QUERY_BYTES:
-        wanted = [row["term"] for row in terms.select("term").distinct().collect()]
-        hits = index.lookup(wanted).join(F.broadcast(terms), "term")
+        hits = index.lookup(terms).join(F.broadcast(terms), "term")
     else:
         hits = _salted_hits(index.postings(), terms)
 

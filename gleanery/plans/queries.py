@@ -44,7 +44,7 @@ PAGE_RULE = AllowRule(domain="example.com", path_prefix="/en/", blocked_params=(
 LINK_RULE = AllowRule(domain="example.com", path_prefix="/")
 STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
-_indexes: dict[tuple[str, str], str] = {}
+_indexes: dict[tuple[str, str], SavedIndex] = {}
 _terms: dict[tuple[str, str], str] = {}
 
 
@@ -103,10 +103,8 @@ def saved_index(spark: SparkSession, sf: str) -> SavedIndex:
     """The index of the documents, built once per application."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _indexes:
-        path = fresh_path(spark, "index")
-        write_index(documents(spark, sf), path)
-        _indexes[key] = path
-    return read_index(spark, _indexes[key])
+        _indexes[key] = write_index(documents(spark, sf), fresh_path(spark, "index"))
+    return _indexes[key]
 
 
 def asked(spark: SparkSession) -> DataFrame:

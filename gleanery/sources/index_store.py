@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from dataclasses import dataclass
 from functools import cached_property
@@ -10,10 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.operators.index import document_frequency, term_frequency, tfidf_postings
-from gleanery.session import partitions_for, stage
+from gleanery.session import stage
 
 POSTINGS_PER_SHARD = 5_000_000
-MAX_SHARDS = 4096
+MIN_SHARDS, MAX_SHARDS = 8, 4096
+POSTINGS_PER_FILE = 4_000_000
+MIN_POSTINGS_PER_FILE = 50_000
 MAX_PUSHED_TERMS = 512
 
 
@@ -21,15 +24,15 @@ def shard_of(term: Column, shards: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(shards)).cast("int")
 
 
-def any_of(column: Column, values: list[str]) -> Column:
-    """Equality with any value, as a balanced OR: every branch reaches the Parquet statistics.
+def any_of(column: str, values: list[str]) -> Column:
+    """Equality with any value, spelled out: every one reaches the Parquet statistics.
 
-    A long IN list would only be pushed down as one range from its least to its greatest value.
+    A long IN list would only be pushed down as one range from its least to its greatest value. Terms
+    are letters and digits; a value with other signs, or a very long list, falls back to IN.
     """
-    if len(values) == 1:
-        return column == values[0]
-    half = len(values) // 2
-    return any_of(column, values[:half]) | any_of(column, values[half:])
+    if len(values) > MAX_PUSHED_TERMS or not all(value.isalnum() for value in values):
+        return F.col(column).isin(values)
+    return F.expr(" OR ".join(f"{column} = '{value}'" for value in values))
 
 
 @dataclass(frozen=True)
@@ -47,16 +50,19 @@ class SavedIndex:
         """``(term, url, tf, df, tfidf, shard)``."""
         return self.spark.read.parquet(f"{self.path}/postings")
 
-    def lookup(self, terms: list[str]) -> DataFrame:
-        """Postings of the given terms, reading only their shards and row groups."""
-        if not terms:
+    def lookup(self, terms: DataFrame) -> DataFrame:
+        """Postings of the terms in the column ``term``, reading only their shards and row groups.
+
+        The terms come to the driver to become part of the plan, so there must not be too many.
+        """
+        placed = terms.select("term", shard_of(F.col("term"), self.stats["shards"]).alias("shard"))
+        found = placed.distinct().collect()
+        if not found:
             return self.postings().filter(F.lit(False))
-        values = self.spark.range(1).select(F.explode(F.array(*map(F.lit, terms))).alias("term"))
-        shards = values.select(shard_of(F.col("term"), self.stats["shards"]).alias("s")).distinct()
-        pruned = self.postings().filter(F.col("shard").isin([row["s"] for row in shards.collect()]))
-        if len(terms) > MAX_PUSHED_TERMS:
-            return pruned.filter(F.col("term").isin(terms))
-        return pruned.filter(any_of(F.col("term"), sorted(terms)))
+        shards = sorted({row["shard"] for row in found})
+        return self.postings().filter(
+            F.col("shard").isin(shards) & any_of("term", sorted(row["term"] for row in found))
+        )
 
 
 def write_index(pages: DataFrame, path: str, shards: int | None = None) -> SavedIndex | None:
@@ -74,15 +80,17 @@ def write_index(pages: DataFrame, path: str, shards: int | None = None) -> Saved
     df = stage(document_frequency(tf), "df")
     totals = df.agg(F.count("*"), F.coalesce(F.sum("df"), F.lit(0))).first()
     if shards is None:
-        shards = min(MAX_SHARDS, max(8, totals[1] // POSTINGS_PER_SHARD))
+        shards = int(min(MAX_SHARDS, max(MIN_SHARDS, totals[1] // POSTINGS_PER_SHARD)))
 
     target = f"{path}/generation={time.time_ns():020d}"
-    # The range includes the URL, so the postings of a very frequent term fill several files.
+    cores = spark.sparkContext.defaultParallelism
+    per_file = min(POSTINGS_PER_FILE, max(MIN_POSTINGS_PER_FILE, totals[1] // (2 * cores)))
+    parts = math.ceil(totals[1] / (shards * per_file)) or 1
     (
         tfidf_postings(tf, df, docs)
         .withColumn("shard", shard_of(F.col("term"), shards))
-        .repartitionByRange(partitions_for(tf, target_mb=128), "shard", "term", "url")
-        .sortWithinPartitions("shard", "term", "url")
+        .repartitionById(shards * parts, _part(shards, parts, per_file))
+        .sortWithinPartitions("shard", "term")
         .write.partitionBy("shard")
         .parquet(f"{target}/postings")
     )
@@ -96,6 +104,18 @@ def write_index(pages: DataFrame, path: str, shards: int | None = None) -> Saved
     return SavedIndex(spark, target)
 
 
+def _part(shards: int, parts: int, per_file: int) -> Column:
+    """The task that writes a posting: every shard has ``parts`` tasks.
+
+    A term stays in one part of its shard, except that the postings of one with more than ``per_file``
+    are spread by URL over as many tasks as they would fill files. The document frequency is at hand
+    in every row, so this needs neither sampling nor another pass.
+    """
+    cuts = F.ceil(F.col("df") / F.lit(per_file))
+    shift = F.when(cuts > 1, F.pmod(F.xxhash64("url"), cuts)).otherwise(F.pmod(F.hash("term"), F.lit(parts)))
+    return F.pmod(F.col("shard") * F.lit(parts) + shift, F.lit(shards * parts)).cast("int")
+
+
 def read_index(spark: SparkSession, path: str) -> SavedIndex:
     """The newest complete generation."""
     found = _generations(spark, path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gleanery.operators import index, search
 from gleanery.operators.joins import split_lookup_join, union_all
 from gleanery.operators.ranking import rank_all, top_k
+from gleanery.sources import index_store
 from gleanery.sources.index_store import read_index, write_index
 from gleanery.sources.tables import read_documents
 
@@ -188,11 +189,23 @@ def test_index_is_replaced_only_by_a_complete_one(spark, tmp_path):
 
 
 def test_lookup_reads_only_matching_shards_and_row_groups(spark, small):
-    plan = small.lookup(["a", "c"])._jdf.queryExecution().executedPlan().toString()
+    def found(terms):
+        return small.lookup(spark.createDataFrame([(t,) for t in terms], "term string"))
+
+    plan = found(["a", "c"])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [shard" in plan and "PushedFilters: [Or(EqualTo(term,a),EqualTo(term,c))]" in plan
-    assert small.lookup([]).isEmpty()
-    many = ["a"] + [f"t{i}" for i in range(600)]
-    assert small.lookup(many).count() == 3
+    assert found([]).isEmpty()
+    assert found(["a"] + [f"t{i}" for i in range(600)]).count() == 3
+    assert found(["a", "it's"]).count() == 3
+
+
+def test_frequent_terms_fill_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(index_store, "MIN_POSTINGS_PER_FILE", 10)
+    rows = [(f"u{i}", f"hot w{i}") for i in range(400)]
+    saved = write_index(pages(spark, rows), str(tmp_path / "index"), shards=2)
+    files = saved.postings().filter("term = 'hot'").groupBy("shard", F.input_file_name().alias("f")).count().collect()
+    assert sum(r["count"] for r in files) == 400 and len(files) >= 8 and len({r["shard"] for r in files}) == 1
+    assert saved.postings().count() == 800 and saved.postings().filter("term = 'w7'").count() == 1
 
 
 def test_term_frequency_moves_each_text_once(spark):
