@@ -134,8 +134,9 @@ def search_response(
         "rank", "url", F.format_string("%.4f", "score").alias("score"), "tokens"
     )
     beyond = F.col("rank") > first
+    found = stage(results, "results")
     sections = (
-        rank_all(results, ["query_id", "match_kind"], best_first())
+        rank_all(found, ["query_id", "match_kind"], best_first())
         .select(
             "query_id",
             F.when(beyond, F.concat(F.lit("more_"), "match_kind"))
@@ -149,7 +150,7 @@ def search_response(
         .withColumn("note", F.lit(None).cast("string"))
     )
     is_empty = F.trim(F.coalesce("query", F.lit(""))) == ""
-    answered = sections.filter("page = 0").select("query_id").distinct()
+    answered = found.select("query_id").distinct()
     notes = queries.join(answered, "query_id", "left_anti").select(
         "query_id",
         F.when(is_empty, "error").otherwise("message").alias("section"),

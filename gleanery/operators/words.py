@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gleanery.functions.text import code_point_bucket, words
 from gleanery.operators.index import block_of
 from gleanery.operators.joins import split_lookup_join, union_all
-from gleanery.session import spread_by, stage
+from gleanery.session import stage
 
 DOCS_PER_BLOCK = 10_000
 SALTS = 256
@@ -65,13 +65,11 @@ def invert_words(docs: DataFrame, block_size: int = DOCS_PER_BLOCK) -> DataFrame
     """``(word, block, doc_ids)``: distinct documents of each word, sorted and joined by commas.
 
     A word in up to ``block_size`` documents has a single block 0; more frequent ones continue in
-    further blocks. Each (word, document) pair crosses the network once: rows of very frequent
-    words go by block, all others by word.
+    further blocks. A document may have many rows, as a file of lines has. Pairs are first made
+    distinct per row; grouped afterwards, very frequent words go by block, all others by word.
     """
     pairs = stage(
-        spread_by(docs.select("doc_id", "text"), "doc_id")
-        .select("doc_id", F.explode(words(F.col("text"))).alias("word"))
-        .distinct(),
+        docs.select("doc_id", F.explode(F.array_distinct(words(F.col("text")))).alias("word")).distinct(),
         "word-docs",
     )
     sizes = stage(pairs.groupBy("word").agg(F.count("*").alias("docs")), "word-sizes")

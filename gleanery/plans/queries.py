@@ -16,7 +16,7 @@ from gleanery.functions.text import words
 from gleanery.functions.urls import AllowRule, canonical, with_scheme
 from gleanery.operators import frontier, index, metrics, pages, search
 from gleanery.operators import words as word_jobs
-from gleanery.session import fresh_path, stage
+from gleanery.session import fan_out, fresh_path, stage
 from gleanery.sources import tables
 from gleanery.sources.index_store import SavedIndex, read_index, write_index
 from gleanery.streaming import jobs
@@ -56,15 +56,16 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf: str) -> DataFrame:
-    return documents(spark, sf).select(F.col("url").alias("doc_id"), F.col("content").alias("text"))
+    found = documents(spark, sf).select(F.col("url").alias("doc_id"), F.col("content").alias("text"))
+    return fan_out(found)
 
 
 def raw_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/pages.parquet")
+    return fan_out(spark.read.parquet(f"{sf}/pages.parquet"))
 
 
 def page_urls(spark: SparkSession, sf: str) -> DataFrame:
-    return raw_pages(spark, sf).select(canonical(with_scheme(F.col("url"))).alias("url"))
+    return spark.read.parquet(f"{sf}/pages.parquet").select(canonical(with_scheme(F.col("url"))).alias("url"))
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:

@@ -83,3 +83,12 @@ def partitions_for(df: DataFrame, target_mb: int = 64) -> int:
 def spread_by(df: DataFrame, *keys: str | Column) -> DataFrame:
     """Hash-distribute by a key of many values, so that later groupings on it stay local."""
     return df.repartition(partitions_for(df), *keys)
+
+
+def fan_out(df: DataFrame, per_core_mb: int = 32) -> DataFrame:
+    """Spread a small input over all cores; an input with enough for every core stays as it is.
+
+    For jobs that work hard on each row when their whole input may be a single file split.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if plan_bytes(df) < cores * per_core_mb * MB else df

@@ -14,6 +14,7 @@ from gleanery.operators.index import document_frequency, term_frequency, tfidf_p
 from gleanery.session import stage
 
 POSTINGS_PER_SHARD = 5_000_000
+POSTINGS = "term string, url string, tf bigint, df bigint, tfidf double, shard int"
 MIN_SHARDS, MAX_SHARDS = 8, 4096
 POSTINGS_PER_FILE = 4_000_000
 MIN_POSTINGS_PER_FILE = 50_000
@@ -48,7 +49,7 @@ class SavedIndex:
 
     def postings(self) -> DataFrame:
         """``(term, url, tf, df, tfidf, shard)``."""
-        return self.spark.read.parquet(f"{self.path}/postings")
+        return self.spark.read.schema(POSTINGS).parquet(f"{self.path}/postings")
 
     def lookup(self, terms: DataFrame) -> DataFrame:
         """Postings of the terms in the column ``term``, reading only their shards and row groups.

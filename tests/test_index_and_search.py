@@ -188,6 +188,12 @@ def test_index_is_replaced_only_by_a_complete_one(spark, tmp_path):
         read_index(spark, str(tmp_path / "absent"))
 
 
+def test_index_of_pages_without_tokens(spark, tmp_path):
+    saved = write_index(pages(spark, [("u", "!!!")]), str(tmp_path / "index"))
+    assert saved.stats["docs_count"] == 1 and saved.stats["terms_count"] == 0
+    assert search.ranked_search(saved, asked(spark, "a")).isEmpty()
+
+
 def test_lookup_reads_only_matching_shards_and_row_groups(spark, small):
     def found(terms):
         return small.lookup(spark.createDataFrame([(t,) for t in terms], "term string"))

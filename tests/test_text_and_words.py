@@ -71,6 +71,11 @@ def test_invert_words_keeps_every_document_of_a_hot_word(spark):
     assert max(len(r["doc_ids"].split(",")) for r in rows) < 100
 
 
+def test_invert_words_with_many_rows_per_document(spark):
+    docs = spark.createDataFrame([("d", "a b"), ("d", "a c"), ("e", "a")], "doc_id string, text string")
+    assert {r["word"]: r["doc_ids"] for r in jobs.invert_words(docs).collect()} == {"a": "d,e", "b": "d", "c": "d"}
+
+
 def test_sharding_partitions_all_words(spark, tmp_path):
     sharded = jobs.shard_words(corpus(spark), 3)
     jobs.write_sharded(sharded, str(tmp_path / "shards"))
