@@ -220,6 +220,9 @@ FROM ({WORD_COUNTS})""",
 SELECT substr(word, 1, 1) AS key, CAST(count(*) AS BIGINT) AS words, CAST(max(length(word)) AS BIGINT) AS longest,
        CAST(count(DISTINCT doc_id) AS BIGINT) AS documents
 FROM (SELECT doc_id, unnest({WORDS}) AS word FROM documents) GROUP BY 1""",
+        "map_reduce_python": f"""
+SELECT substr(word, 1, 1) AS key, CAST(sum(length(word)) AS BIGINT) AS value
+FROM (SELECT unnest({WORDS}) AS word FROM documents) GROUP BY 1""",
         "normalise_urls": f"SELECT url, {canonical('url')} AS canonical FROM pages",
         "extract_links": f"WITH {LINKS} SELECT src, dst FROM links",
         "dropped_links": f"""WITH {LINKS}

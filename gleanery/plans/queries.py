@@ -262,17 +262,26 @@ def shard_words(spark, sf):
     return sharded.withColumn("bucket", F.col("bucket").cast("bigint"))
 
 
-def map_reduce(spark, sf):
-    """Per first letter of a word: occurrences, greatest length and number of documents."""
-    mapper = F.transform(words(F.col("text")), lambda w: F.struct(
+def _initials() -> Column:
+    """First letter and length of every word."""
+    return F.transform(words(F.col("text")), lambda w: F.struct(
         F.substring(w, 1, 1).alias("key"), F.length(w).cast("bigint").alias("value")
     ))
+
+
+def map_reduce(spark, sf):
+    """Per first letter of a word: occurrences, greatest length and number of documents."""
     return word_jobs.map_reduce(
-        corpus(spark, sf), mapper,
+        corpus(spark, sf), _initials(),
         words=F.count("*"), longest=F.max("value"), documents=F.count_distinct("doc_id"),
     )
 
 
+def map_reduce_python(spark, sf):
+    """Per first letter of a word: sum of lengths, with the reduce step in Python."""
+    return word_jobs.map_reduce_python(corpus(spark, sf), _initials(), lambda values: values.sum(), "bigint")
+
+
 # Pages and URLs
 
 
@@ -442,6 +451,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "invert_words": invert_words,
         "shard_words": shard_words,
         "map_reduce": map_reduce,
+        "map_reduce_python": map_reduce_python,
         "normalise_urls": normalise_urls,
         "extract_links": extract_links,
         "dropped_links": dropped_links,

@@ -51,6 +51,20 @@ def _per_batch(stream: DataFrame, mode: str, handle: Callable[[DataFrame, int],
     return stream.writeStream.outputMode(mode).foreachBatch(handle)
 
 
+def _thinned(stream: DataFrame, order: list[str], keep: str) -> DataFrame:
+    """One row per ``url`` and Arrow batch, the first or last in ``order``.
+
+    Stateful steps have no combining of their own before their exchange; this keeps a URL that makes up
+    much of a stream from sending all its rows to one task.
+    """
+    def thin(batches):
+        for batch in batches:
+            ordered = batch.sort_values(order) if order else batch
+            yield ordered.drop_duplicates("url", keep=keep)
+
+    return stream.mapInPandas(thin, stream.schema)
+
+
 def copy_pages(pages: DataFrame, out: str, once: bool = False, every: int = REFRESH_SECONDS,
                checkpoint: str | None = None) -> StreamingQuery:
     """Page store rows ``(url, content)`` appended to ``out`` as they arrive."""
@@ -66,9 +80,10 @@ def seen_urls(urls: DataFrame, out: str, within: str | None = None, once: bool =
     remembered that long, which bounds the state and lets it come back later.
     """
     if within:
-        first = urls.withWatermark("ts", within).dropDuplicatesWithinWatermark(["url"])
+        offered = _thinned(urls.select("url", "ts"), ["ts"], "first")
+        first = offered.withWatermark("ts", within).dropDuplicatesWithinWatermark(["url"])
     else:
-        first = urls.dropDuplicates(["url"])
+        first = _thinned(urls.select("url"), [], "first").dropDuplicates(["url"])
     writer = first.writeStream.format("parquet").option("path", out)
     return _start(writer, urls.sparkSession, once, every, checkpoint)
 
@@ -151,13 +166,13 @@ def requeue(log: DataFrame, out: str, seconds: int = REQUEUE_SECONDS, late: str
             due = state.get[0] // 1000 + seconds * 1000
             state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
 
-    moved = (
-        log.filter(F.col("kind").isin("dispatch", "complete"))
-        .withWatermark("ts", late)
-        .select("ts", "seq", "url", "kind", F.unix_micros("ts").alias("us"))
+    moved = log.filter(F.col("kind").isin("dispatch", "complete")).select(
+        "ts", "seq", "url", "kind", F.unix_micros("ts").alias("us")
     )
     back = (
-        moved.groupBy("url")
+        _thinned(moved, ["us", "seq"], "last")
+        .withWatermark("ts", late)
+        .groupBy("url")
         .applyInPandasWithState(
             follow, "url string, sent_us bigint", "sent_us bigint, seq bigint", "append", "EventTimeTimeout"
         )
