@@ -42,7 +42,7 @@ def idf(df: Column, docs: int) -> Column:
     return F.log(F.lit(float(docs)) / (1 + df))
 
 
-def tfidf_postings(tf: DataFrame, df: DataFrame, docs: int, **limits: int) -> DataFrame:
+def tfidf_postings(tf: DataFrame, df: DataFrame, docs: int, **limits) -> DataFrame:
     """``(term, url, tf, df, tfidf)``. ``tf`` and ``df`` should be staged tables."""
     joined = lookup_join(tf, df, key="term", weight="df", **limits)
     return joined.select(
@@ -50,7 +50,7 @@ def tfidf_postings(tf: DataFrame, df: DataFrame, docs: int, **limits: int) -> Da
     )
 
 
-def build_postings(pages: DataFrame, **limits: int) -> DataFrame:
+def build_postings(pages: DataFrame, **limits) -> DataFrame:
     """Postings of a page table with one row per URL."""
     tf = stage(term_frequency(pages), "tf")
     df = stage(document_frequency(tf), "df")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 1_000_000
@@ -12,6 +12,15 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 MAX_HEAVY_KEY_BYTES = 256
 
 
+def lookup_size(lookup: DataFrame, key: str, weight: str) -> Row:
+    """``(keys, bytes, rows)``: keys of a lookup, their bytes, and the rows that will meet them."""
+    return lookup.agg(
+        F.count("*").alias("keys"),
+        F.coalesce(F.sum(F.octet_length(key)), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(weight), F.lit(0)).alias("rows"),
+    ).first()
+
+
 def split_lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
@@ -19,6 +28,7 @@ def split_lookup_join(
     weight: str,
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
+    size: Row | None = None,
 ) -> list[DataFrame]:
     """Inner join of ``rows`` with ``lookup`` on ``key``, as one or two disjoint parts.
 
@@ -26,13 +36,9 @@ def split_lookup_join(
     A lookup of checked small size is broadcast. A larger one is cut in two: keys with at least
     ``total / max_rows`` rows are at most ``max_rows`` many, so that part can be broadcast and its
     rows stay where they are; the remaining keys are all small and are joined by a shuffle.
-    ``rows`` is read twice in that case and should be a table.
+    ``rows`` is read twice in that case and should be a table. ``size`` may be given where it is known.
     """
-    size = lookup.agg(
-        F.count("*").alias("keys"),
-        F.coalesce(F.sum(F.octet_length(key)), F.lit(0)).alias("bytes"),
-        F.coalesce(F.sum(weight), F.lit(0)).alias("rows"),
-    ).first()
+    size = size or lookup_size(lookup, key, weight)
     if size["keys"] <= max_rows and size["bytes"] <= max_bytes:
         return [rows.join(F.broadcast(lookup), key)]
     is_heavy = (F.col(weight) >= F.lit(max(1, size["rows"] // max_rows) + 1)) & (
@@ -46,7 +52,7 @@ def split_lookup_join(
     ]
 
 
-def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, weight: str, **limits: int) -> DataFrame:
+def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, weight: str, **limits) -> DataFrame:
     """The parts of :func:`split_lookup_join` as one table."""
     return union_all(split_lookup_join(rows, lookup, key, weight, **limits))
 

@@ -35,19 +35,22 @@ def ranked_search(index: SavedIndex, queries: DataFrame) -> DataFrame:
     """
     asked = query_tokens(queries)
     terms = asked.select("query_id", "tokens", F.posexplode("tokens").alias("position", "term"))
-    size = terms.agg(
-        F.count("*").alias("terms"),
-        F.coalesce(F.sum(F.octet_length("term") + F.size("tokens")), F.lit(0)).alias("bytes"),
-        F.coalesce(F.max("position"), F.lit(0)).alias("last"),
-    ).first()
-
-    if size["terms"] <= MAX_QUERY_TERMS and size["bytes"] <= MAX_QUERY_BYTES:
-        hits = index.lookup(terms).join(F.broadcast(terms), "term")
+    each = index.placed(terms).groupBy("term", "shard").agg(
+        F.count("*").alias("asked"),
+        F.sum(F.octet_length("term") * F.size("tokens")).alias("bytes"),
+        F.max("position").alias("last"),
+    )
+    wanted = each.limit(MAX_QUERY_TERMS + 1).collect()
+
+    if sum(r["asked"] for r in wanted) <= MAX_QUERY_TERMS and sum(r["bytes"] for r in wanted) <= MAX_QUERY_BYTES:
+        last = max((r["last"] for r in wanted), default=0)
+        hits = index.lookup(wanted).join(F.broadcast(terms), "term")
     else:
+        last = each.agg(F.max("last")).first()[0]
         hits = _salted_hits(index.postings(), terms)
 
     # One bit per matched token: sums and bit masks keep the aggregation free of array buffers.
-    masks = [f"mask{i}" for i in range(size["last"] // BITS + 1)]
+    masks = [f"mask{i}" for i in range(last // BITS + 1)]
     marks = [
         F.bit_or(F.expr(f"if(position div {BITS} = {i}, shiftleft(1L, position % {BITS}), 0L)")).alias(mask)
         for i, mask in enumerate(masks)

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import math
 import time
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.operators.index import document_frequency, term_frequency, tfidf_postings
+from gleanery.operators.joins import lookup_size
 from gleanery.session import stage
 
 POSTINGS_PER_SHARD = 5_000_000
@@ -51,18 +53,20 @@ class SavedIndex:
         """``(term, url, tf, df, tfidf, shard)``."""
         return self.spark.read.schema(POSTINGS).parquet(f"{self.path}/postings")
 
-    def lookup(self, terms: DataFrame) -> DataFrame:
-        """Postings of the terms in the column ``term``, reading only their shards and row groups.
+    def placed(self, terms: DataFrame) -> DataFrame:
+        """``terms`` with the ``shard`` of each ``term``."""
+        return terms.withColumn("shard", shard_of(F.col("term"), self.stats["shards"]))
 
-        The terms come to the driver to become part of the plan, so there must not be too many.
+    def lookup(self, terms: Iterable[Row]) -> DataFrame:
+        """Postings of terms given with their shards, reading only those shards and row groups.
+
+        The terms become part of the plan, so there must not be too many.
         """
-        placed = terms.select("term", shard_of(F.col("term"), self.stats["shards"]).alias("shard"))
-        found = placed.distinct().collect()
+        found = {row["term"]: row["shard"] for row in terms}
         if not found:
             return self.postings().filter(F.lit(False))
-        shards = sorted({row["shard"] for row in found})
         return self.postings().filter(
-            F.col("shard").isin(shards) & any_of("term", sorted(row["term"] for row in found))
+            F.col("shard").isin(sorted(set(found.values()))) & any_of("term", sorted(found))
         )
 
 
@@ -79,16 +83,17 @@ def write_index(pages: DataFrame, path: str, shards: int | None = None) -> Saved
         return None
     tf = stage(term_frequency(pages), "tf")
     df = stage(document_frequency(tf), "df")
-    totals = df.agg(F.count("*"), F.coalesce(F.sum("df"), F.lit(0))).first()
+    size = lookup_size(df, "term", "df")
+    postings = size["rows"]
     if shards is None:
-        shards = int(min(MAX_SHARDS, max(MIN_SHARDS, totals[1] // POSTINGS_PER_SHARD)))
+        shards = int(min(MAX_SHARDS, max(MIN_SHARDS, postings // POSTINGS_PER_SHARD)))
 
     target = f"{path}/generation={time.time_ns():020d}"
     cores = spark.sparkContext.defaultParallelism
-    per_file = min(POSTINGS_PER_FILE, max(MIN_POSTINGS_PER_FILE, totals[1] // (2 * cores)))
-    parts = math.ceil(totals[1] / (shards * per_file)) or 1
+    per_file = min(POSTINGS_PER_FILE, max(MIN_POSTINGS_PER_FILE, postings // (2 * cores)))
+    parts = math.ceil(postings / (shards * per_file)) or 1
     (
-        tfidf_postings(tf, df, docs)
+        tfidf_postings(tf, df, docs, size=size)
         .withColumn("shard", shard_of(F.col("term"), shards))
         .repartitionById(shards * parts, _part(shards, parts, per_file))
         .sortWithinPartitions("shard", "term")
@@ -97,8 +102,8 @@ def write_index(pages: DataFrame, path: str, shards: int | None = None) -> Saved
     )
     spark.range(1).select(
         F.lit(docs).cast("bigint").alias("docs_count"),
-        F.lit(totals[0]).cast("bigint").alias("terms_count"),
-        F.lit(totals[1]).cast("bigint").alias("postings_count"),
+        F.lit(size["keys"]).cast("bigint").alias("terms_count"),
+        F.lit(postings).cast("bigint").alias("postings_count"),
         F.lit(shards).cast("int").alias("shards"),
     ).coalesce(1).write.parquet(f"{target}/stats")
     _drop_older(spark, path, keep=2)

@@ -196,7 +196,7 @@ def test_index_of_pages_without_tokens(spark, tmp_path):
 
 def test_lookup_reads_only_matching_shards_and_row_groups(spark, small):
     def found(terms):
-        return small.lookup(spark.createDataFrame([(t,) for t in terms], "term string"))
+        return small.lookup(small.placed(spark.createDataFrame([(t,) for t in terms], "term string")).collect())
 
     plan = found(["a", "c"])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [shard" in plan and "PushedFilters: [Or(EqualTo(term,a),EqualTo(term,c))]" in plan
