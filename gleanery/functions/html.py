@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from gleanery.functions.urls import let
 
 # A noncharacter, which no text contains, marks the places where tags and comments stood.
-GAP = "﷐"
+GAP = "\ufdd0"
 REST_OF_TAG = r"(?:=++\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[^>=]++)*+"
 START_TAG = rf"<[a-zA-Z]{REST_OF_TAG}>"
 SKIPPED = (
@@ -31,7 +31,7 @@ EDGE_SPACE = r"^[\s\x0B\x1c-\x1f\x85\p{Z}]+|[\s\x0B\x1c-\x1f\x85\p{Z}]+$"
 
 # Entities common enough to have their own path, with the ampersand last.
 COMMON_ENTITIES = {
-    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "#39": "'", "nbsp": " ", "copy": "©",
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "#39": "'", "nbsp": "\u00a0", "copy": "©",
     "middot": "·", "amp": "&",
 }
 RARE_ENTITY = rf"&(?!(?:{'|'.join(COMMON_ENTITIES)});)[A-Za-z#]"

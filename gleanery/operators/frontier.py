@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.urls import AllowRule, allowed, canonical, with_scheme
 from gleanery.operators.pages import extract_links
+from gleanery.session import stage
 
 REJECTED, SEEN, ADDED = 0, -1, 1
 RESCRAPE_SECONDS = 3600
@@ -118,7 +119,7 @@ def upsert_pages(store: DataFrame, batch: DataFrame) -> DataFrame:
     Only the batch is aggregated. Stored rows are kept by a join with the URLs and times of the
     batch, so their content passes through untouched.
     """
-    fresh = latest_pages(batch)
+    fresh = stage(latest_pages(batch), "fresh-pages")
     times = fresh.select("url", F.col("last_scraped").alias("_new"))
     old_times = store.select("url", F.col("last_scraped").alias("_old"))
     kept = (

@@ -61,6 +61,7 @@ HTML = [
     '<a href="mailto:x@y">m</a><svg/><script/>after<p/>',
     "",
     "plain &amp; simple",
+    "<p>&nbsp;a&nbsp;b &lt;i&gt; &quot;&apos;&#39; &copy;&middot; &amp;nbsp;</p>",
     '<a href="&#x2F;abc&#47;d&lt;">x</a><a href="&notit;x&not;y&ampz">',
     "<a " + "x='1' " * 3000 + "href=/far>" + "<p>'\"" * 3000,
 ]
