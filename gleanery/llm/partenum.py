@@ -23,6 +23,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,8 @@ from gleanery.session import stage
 SHINGLE = 5
 PERCENT = 80
 CROWD = 32  # sets sharing a signature above which it may be left out within ``spare``
-FOUND = "kind string, a long, b long, n long, m long, c long, bucket int, hashes binary, nodes binary, sizes binary"
+SKETCH = 8  # shingles for each counter of a sketch
+FOUND = "kind string, a long, b long, n long, m long, c long, id long, bucket int, hashes binary, places binary"
 SETS = "name long, rep long, n long, shingles binary"
 
 
@@ -141,101 +143,114 @@ def _batch(rows: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
+def sketch_of(shingles: np.ndarray) -> bytes:
+    """Counts of shingles by the upper bits of their fingerprints, about one counter for ``SKETCH`` of them."""
+    bits = max(0, int(len(shingles) // SKETCH).bit_length() - 1)
+    at = (shingles >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(shingles), np.int64)
+    return np.bincount(at, minlength=1 << bits).astype("<u4").tobytes()
+
+
+def least_difference(one: bytes, two: bytes) -> int:
+    """A lower bound of the symmetric difference of two sets, from their sketches."""
+    x, y = np.frombuffer(one, "<u4").astype(np.int64), np.frombuffer(two, "<u4").astype(np.int64)
+    common = min(len(x), len(y))
+    return int(np.abs(x.reshape(common, -1).sum(axis=1) - y.reshape(common, -1).sum(axis=1)).sum())
+
+
 _SCHEMA = pa.schema([
     ("kind", pa.string()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("m", pa.int64()),
-    ("c", pa.int64()), ("bucket", pa.int32()), ("hashes", pa.binary()), ("nodes", pa.binary()), ("sizes", pa.binary()),
+    ("c", pa.int64()), ("id", pa.int64()), ("bucket", pa.int32()), ("hashes", pa.binary()), ("places", pa.binary()),
 ])
 
 
-def _crowds(keys: np.ndarray, nodes: np.ndarray, sizes: np.ndarray):
-    """Sort by (signature, node), drop repeats, and mark groups of at least two nodes."""
-    order = np.lexsort((nodes, keys))
-    keys, nodes, sizes = keys[order], nodes[order], sizes[order]
-    fresh = np.ones(len(keys), bool)
-    fresh[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
-    keys, nodes, sizes = keys[fresh], nodes[fresh], sizes[fresh]
+def _crowds(keys: np.ndarray, ids: np.ndarray):
+    """Sort by (signature, id), and find where each signature's group starts and how many it has."""
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
     heads = np.ones(len(keys), bool)
     heads[1:] = keys[1:] != keys[:-1]
     at = np.flatnonzero(heads)
-    counts = np.diff(np.append(at, len(keys)))
-    return keys, nodes, sizes, at, counts
+    return keys, ids, at, np.diff(np.append(at, len(keys)))
 
 
-def _matches(keys, nodes, sizes, at, counts, wide, percent, buckets) -> Iterator[dict[str, list]]:
+def _matches(keys, ids, at, counts, wide, buckets) -> Iterator[dict[str, list]]:
     """Pairs of each member with its group's first, and the members of the groups marked ``wide``."""
     group = np.repeat(np.arange(len(at)), counts)
     head = at[group]
     pair = np.arange(len(keys)) != head
-    small, large = np.minimum(sizes, sizes[head]), np.maximum(sizes, sizes[head])
-    pair &= large * percent <= small * 100
     if pair.any():
-        couples = np.unique(np.stack([nodes[head][pair], nodes[pair]], axis=1), axis=0)
+        couples = np.unique(np.stack([ids[head][pair], ids[pair]], axis=1), axis=0)
         to = bucket_of(mix(couples[:, 1].astype(np.uint64)), buckets)
         yield {"kind": ["pair"] * len(couples), "a": couples[:, 0], "b": couples[:, 1], "bucket": to}
     crowd = wide[group]
     if crowd.any():
-        to = bucket_of(mix(nodes[crowd].astype(np.uint64)), buckets)
-        yield {"kind": ["member"] * len(to), "a": keys[crowd].astype(np.int64), "b": nodes[crowd], "n": sizes[crowd], "bucket": to}
+        to = bucket_of(mix(ids[crowd].astype(np.uint64)), buckets)
+        yield {"kind": ["member"] * len(to), "a": keys[crowd].astype(np.int64), "id": ids[crowd], "bucket": to}
 
 
 def _emit(size: int, percent: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, nodes, sizes, held = [], [], [], 0
-        seen: set[int] = set()
+        # A set's id in this job: the task, the flush and a short number within it.
+        task, flushes = TaskContext.get().partitionId(), 0
+        keys, held = [], 0
+        seen: dict[int, int] = {}
 
         def flush():
             if not keys:
                 return
-            k, v, s, at, counts = _crowds(np.concatenate(keys), np.concatenate(nodes), np.concatenate(sizes))
-            for found in _matches(k, v, s, at, counts, counts >= 2, percent, buckets):
+            base = (task << 20 | flushes) << 16
+            short = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+            k, v, at, counts = _crowds(np.concatenate(keys), short)
+            for found in _matches(k, v + base, at, counts, counts >= 2, buckets):
                 yield _batch(found, _SCHEMA)
-            # Only the first set of each signature goes on: a crowd is one entry per task, marked by its sign.
-            first = np.where(counts >= 2, -s[at], s[at]).astype(np.int32)
-            for bucket, (h, n, m) in pack(k[at], [v[at], first], buckets):
-                yield _batch({"kind": ["packed"], "bucket": [bucket], "hashes": [h], "nodes": [n], "sizes": [m]}, _SCHEMA)
-            keys.clear(), nodes.clear(), sizes.clear()
+            # Only the first set of each signature goes on: a crowd is one entry per flush. A sign marks crowds.
+            for many in (False, True):
+                chosen = at[(counts >= 2) == many]
+                for bucket, (h, n) in pack(k[chosen], [v[chosen].astype("<u2")], buckets):
+                    row = {"kind": ["packed"], "bucket": [bucket], "hashes": [h], "places": [n], "id": [base], "c": [int(many)]}
+                    yield _batch(row, _SCHEMA)
+            keys.clear(), seen.clear()
 
         for batch in in_chunks(batches, "text"):
-            docs = {"kind": [], "a": [], "b": [], "n": [], "m": [], "c": []}
-            ids = batch.column("doc_id").to_pylist()
-            for doc_id, found in zip(ids, shingle_sets(batch.column("text"), size)):
+            docs = {"kind": [], "a": [], "b": [], "n": [], "m": [], "c": [], "id": [], "places": []}
+            if len(keys) + batch.num_rows > 1 << 16 or held > FLUSH_BYTES:
+                yield from flush()
+                flushes, held = flushes + 1, 0
+            for doc_id, found in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"), size)):
                 name, other = set_names(found)
                 made, allowed = signatures(found, percent)
-                row = ("doc", name if len(found) else None, other, len(found), doc_id, allowed)
+                at = None
+                if len(found) and doc_id is not None:
+                    if name not in seen:
+                        seen[name] = len(keys)
+                        keys.append(made)
+                        held += 24 * len(made)
+                    at = (task << 20 | flushes) << 16 | seen[name]
+                row = ("doc", name if len(found) else None, other, len(found), doc_id, allowed, at, sketch_of(found))
                 for column, value in zip(docs, row):
                     docs[column].append(value)
-                if doc_id is None or name in seen:
-                    continue
-                seen.add(name)
-                keys.append(made)
-                nodes.append(np.full(len(made), name, np.int64))
-                sizes.append(np.full(len(made), len(found), np.int64))
-                held += 24 * len(made)
             docs["bucket"] = bucket_of(mix(np.array(docs["b"], np.int64).astype(np.uint64)), buckets)
             yield _batch(docs, _SCHEMA)
-            if held > FLUSH_BYTES:
-                yield from flush()
-                held = 0
-                seen.clear()
         yield from flush()
 
     return run
 
 
-def _meet(percent: int, buckets: int):
+def _meet(buckets: int):
     def run(table: pa.Table) -> pa.Table:
         packed = table.filter(pc.equal(table["kind"], "packed"))
         out = [table.filter(pc.not_equal(table["kind"], "packed")).cast(_SCHEMA)]
         if packed.num_rows:
-            joined = [
-                np.concatenate([np.frombuffer(x.as_buffer(), dtype) for x in packed[name]])
-                for name, dtype in (("hashes", np.uint64), ("nodes", np.int64), ("sizes", np.int32))
-            ]
-            keys, nodes, sizes, at, counts = _crowds(*joined[:2], joined[2].astype(np.int64))
-            marked = np.logical_or.reduceat(sizes < 0, at) if len(at) else at
-            wide = (counts >= 3) | (counts == 2) & marked
-            found = _matches(keys, nodes, np.abs(sizes), at, counts, wide, percent, buckets)
-            out += [pa.Table.from_batches([_batch(x, _SCHEMA)]) for x in found]
+            keys = [np.frombuffer(x.as_buffer(), np.uint64) for x in packed["hashes"]]
+            short = np.concatenate([np.frombuffer(x.as_buffer(), "<u2") for x in packed["places"]])
+            sizes = [len(k) for k in keys]
+            ids = np.repeat(packed["id"].to_numpy(), sizes) | short.astype(np.int64)
+            # The mark of a crowd rides in the lowest bit.
+            marked = np.repeat(packed["c"].to_numpy(), sizes)
+            keys, ids, at, counts = _crowds(np.concatenate(keys), ids << 1 | marked)
+            crowd = np.logical_or.reduceat(ids & 1 == 1, at)
+            wide = (counts >= 3) | (counts == 2) & crowd
+            out += [pa.Table.from_batches([_batch(x, _SCHEMA)]) for x in _matches(keys, ids >> 1, at, counts, wide, buckets)]
         return pa.concat_tables(out)
 
     return run
@@ -254,6 +269,19 @@ def _sets(size: int):
     return run
 
 
+def _may_reach(percent: int):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = zip(*(batch.column(c).to_pylist() for c in ("n_a", "n_b", "left_sketch", "right_sketch")))
+            keep = pa.array([least_difference(x, y) <= difference(n, m, percent) for n, m, x, y in sizes], pa.bool_())
+            kept = batch.select(["a", "b"]).filter(keep)
+            yield pa.RecordBatch.from_arrays(kept.columns, schema=schema)
+
+    return run
+
+
 def _compare(percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -273,12 +301,18 @@ def _compare(percent: int):
 
 
 def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The pairs of set names that reach the similarity, as ``(a, b)`` of the sets' least doc_ids."""
+    """The pairs of set names that reach the similarity, as ``(a, b)`` of the sets' least doc_ids.
+
+    Sizes and sketches, which are short, rule most other pairs out before sets are fetched and compared.
+    """
+    side = lambda end, sketch: classes.select(F.col("name").alias(end), F.col("n").alias(f"n_{end}"), F.col("sketch").alias(sketch))
+    close = F.greatest("n_a", "n_b") * percent <= F.least("n_a", "n_b") * 100
+    shown = pairs.join(side("a", "left_sketch"), "a").join(side("b", "right_sketch"), "b").where(close)
+    pairs = stage(shown.mapInArrow(_may_reach(percent), "a long, b long"), "likely-pairs")
     names = pairs.select(F.col("a").alias("name")).unionAll(pairs.select("b")).distinct()
     wanted, count = staged_count(names.join(classes, "name").select("name", "rep"), "wanted-sets")
     ids = checked(wanted.select(F.col("rep").alias("doc_id")).distinct(), count, 16)
-    sets = docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(size), SETS)
-    sets = stage(sets, "sets")
+    sets = stage(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(size), SETS), "sets")
     left = pairs.join(sets.select(F.col("name").alias("a"), F.col("rep").alias("rep_a"), F.col("shingles").alias("left_set")), "a")
     right = sets.select(F.col("name").alias("b"), F.col("rep").alias("rep_b"), F.col("shingles").alias("right_set"))
     couples = left.join(right, "b").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "left_set", "right_set")
@@ -296,23 +330,27 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     docs = only(docs, doc_id="long", text="string")
     buckets = bucket_count(docs)
     signed = docs.mapInArrow(_emit(size, percent, buckets), FOUND)
-    found = stage(signed.groupBy("bucket").applyInArrow(_meet(percent, buckets), FOUND), "signatures")
+    found = stage(signed.groupBy("bucket").applyInArrow(_meet(buckets), FOUND), "signatures")
     rows = found.where("kind = 'doc'").select(
-        F.col("m").alias("doc_id"), "n", F.col("a").alias("name"), F.col("b").alias("other"), F.col("c").alias("allowed")
-    )
-    classes = stage(
-        rows.where("name is not null").groupBy("name", "other").agg(F.min("doc_id").alias("rep"), F.first("allowed").alias("allowed")),
-        "classes",
+        F.col("m").alias("doc_id"), "n", F.col("a").alias("name"), F.col("b").alias("other"),
+        F.col("c").alias("allowed"), "id", F.col("places").alias("sketch"),
     )
-    pairs = stage(found.where("kind = 'pair'").select("a", "b").distinct(), "pairs")
+    facts = [F.first(c).alias(c) for c in ("n", "allowed", "sketch")]
+    classes = stage(rows.where("name is not null").groupBy("name", "other").agg(F.min("doc_id").alias("rep"), *facts), "classes")
+    ids = stage(rows.where("id is not null").select("id", "name").distinct(), "ids")
+    pairs = found.where("kind = 'pair'").select("a", "b")
+    pairs = pairs.join(ids.select(F.col("id").alias("a"), F.col("name").alias("one")), "a")
+    pairs = pairs.join(ids.select(F.col("id").alias("b"), F.col("name").alias("two")), "b").where("one <> two")
+    pairs = pairs.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b"))
+    pairs = stage(pairs.distinct(), "pairs")
     links = stage(verified(docs, pairs, classes, size, percent), "links")
     groups = components(links)
 
     # Sets of one signature that are still apart meet each other.
-    members = found.where("kind = 'member'").select(F.col("a").alias("key"), F.col("b").alias("name"), "n").distinct()
     named = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select("name", "allowed", F.coalesce("component", "rep").alias("component"))
-    members = stage(members.join(named, "name"), "members")
+    named = named.select("name", "n", "allowed", F.coalesce("component", "rep").alias("component"))
+    members = found.where("kind = 'member'").select(F.col("a").alias("key"), "id").join(ids, "id").join(named, "name")
+    members = stage(members.drop("id").distinct(), "members")
     mixed = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("crowd"))
     apart = stage(members.join(mixed.where("x < y").select("key", "crowd"), "key"), "apart")
     hot = apart.where(F.col("crowd") > CROWD).groupBy("name").agg(F.count("*").alias("h"))
@@ -322,8 +360,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     close = F.greatest("one.n", "two.n") * percent <= F.least("one.n", "two.n") * 100
     met = one.join(two, (F.col("one.key") == F.col("two.key")) & (F.col("one.name") < F.col("two.name")) & (F.col("one.component") != F.col("two.component")) & close)
     more = met.select(F.col("one.name").alias("a"), F.col("two.name").alias("b")).distinct()
-    tried = pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more, count = staged_count(more.join(tried, ["a", "b"], "left_anti"), "more-pairs")
+    more, count = staged_count(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
     if count:
         groups = components(links.unionAll(verified(docs, more, classes, size, percent)))
 

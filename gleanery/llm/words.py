@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SEGMENT = 1 << 20  # bytes that are fingerprinted at once
+ROWS = 1 << 14  # rows of a batch at most
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -122,7 +123,7 @@ def in_chunks(batches: Iterator[pa.RecordBatch], column: str, size: int = 2 * SE
         done = 0
         while done < batch.num_rows:
             spent = total[done - 1] if done else 0
-            upto = max(done + 1, int(np.searchsorted(total, spent + size, side="right")))
+            upto = max(done + 1, min(done + ROWS, int(np.searchsorted(total, spent + size, side="right"))))
             yield batch.slice(done, upto - done)
             done = upto
 
