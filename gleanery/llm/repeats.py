@@ -19,13 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.buckets import FLUSH_BYTES, bucket_count, bucket_of
+from gleanery.llm.buckets import bucket_count, bucket_of
 from gleanery.llm.common import checked, only, small_enough, staged_count
-from gleanery.llm.words import in_chunks, mix, sequences, spans_hash, words_of
+from gleanery.llm.words import SEGMENT, in_chunks, mix, sequences, spans_hash, words_of
 from gleanery.session import stage
 
 LENGTH = 35
 ANCHOR = 8
+FLUSH_WORDS = 300_000  # words whose windows a task holds at once
 
 _PACKED = pa.schema([("bucket", pa.int32()), ("rows", pa.binary()), ("windows", pa.binary())])
 _SPANS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64())])
@@ -93,7 +94,7 @@ def _seed(length: int, anchor: int, buckets: int):
                 yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((bucket, *packed), _PACKED.types)], schema=_PACKED)
                 begin = end
 
-        for batch in in_chunks(batches, "text"):
+        for batch in in_chunks(batches, "text", SEGMENT):
             words = words_of(batch.column("text"))
             starts, hashes, places, anchors = windows_of(words, length, anchor)
             if not len(starts):
@@ -102,7 +103,7 @@ def _seed(length: int, anchor: int, buckets: int):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[docs]
             parts.append((anchors, ids, starts - words.first[docs], places + held, hashes))
             held += len(words.hash)
-            if 60 * held > FLUSH_BYTES:
+            if held > FLUSH_WORDS:
                 yield from flush()
                 held = 0
         yield from flush()
