@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from gleanery.llm.common import shuffle_parts
 
-FLUSH_BYTES = 48 << 20
+FLUSH_BYTES = 16 << 20
 
 
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -34,12 +33,3 @@ def pack(hashes: np.ndarray, extras: list[np.ndarray], buckets: int) -> Iterator
         end = begin + sizes[bucket]
         yield int(bucket), [a[begin:end].tobytes() for a in arrays]
         begin = end
-
-
-def unpack(column: pa.ChunkedArray | pa.Array, dtype) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_buffer(), dtype) for x in column]
-
-
-def gather(df: DataFrame, key: str, reduce: Callable[[pa.Table], pa.Table], schema) -> DataFrame:
-    """Bring the rows of each key into one task as an Arrow table."""
-    return df.groupBy(key).applyInArrow(reduce, schema)

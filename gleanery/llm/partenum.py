@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm.buckets import FLUSH_BYTES, bucket_count, bucket_of, pack
-from gleanery.llm.common import checked, only, staged_count
+from gleanery.llm.common import checked, only, short_batches, staged_count
 from gleanery.llm.components import components
 from gleanery.llm.words import buffers, in_chunks, mix, sequences, spans_hash, words_of
 from gleanery.session import stage
@@ -312,11 +312,13 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int =
     names = pairs.select(F.col("a").alias("name")).unionAll(pairs.select("b")).distinct()
     wanted, count = staged_count(names.join(classes, "name").select("name", "rep"), "wanted-sets")
     ids = checked(wanted.select(F.col("rep").alias("doc_id")).distinct(), count, 16)
-    sets = stage(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(size), SETS), "sets")
+    with short_batches(docs.sparkSession):
+        sets = stage(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(size), SETS), "sets")
     left = pairs.join(sets.select(F.col("name").alias("a"), F.col("rep").alias("rep_a"), F.col("shingles").alias("left_set")), "a")
     right = sets.select(F.col("name").alias("b"), F.col("rep").alias("rep_b"), F.col("shingles").alias("right_set"))
     couples = left.join(right, "b").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "left_set", "right_set")
-    return couples.mapInArrow(_compare(percent), "a long, b long")
+    with short_batches(docs.sparkSession):
+        return stage(couples.mapInArrow(_compare(percent), "a long, b long"), "links")
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -330,7 +332,8 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     docs = only(docs, doc_id="long", text="string")
     buckets = bucket_count(docs)
     signed = docs.mapInArrow(_emit(size, percent, buckets), FOUND)
-    found = stage(signed.groupBy("bucket").applyInArrow(_meet(buckets), FOUND), "signatures")
+    with short_batches(docs.sparkSession):
+        found = stage(signed.groupBy("bucket").applyInArrow(_meet(buckets), FOUND), "signatures")
     rows = found.where("kind = 'doc'").select(
         F.col("m").alias("doc_id"), "n", F.col("a").alias("name"), F.col("b").alias("other"),
         F.col("c").alias("allowed"), "id", F.col("places").alias("sketch"),
@@ -343,7 +346,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     pairs = pairs.join(ids.select(F.col("id").alias("b"), F.col("name").alias("two")), "b").where("one <> two")
     pairs = pairs.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b"))
     pairs = stage(pairs.distinct(), "pairs")
-    links = stage(verified(docs, pairs, classes, size, percent), "links")
+    links = verified(docs, pairs, classes, size, percent)
     groups = components(links)
 
     # Sets of one signature that are still apart meet each other.
