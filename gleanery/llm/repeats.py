@@ -20,13 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm.buckets import bucket_count, bucket_of
-from gleanery.llm.common import checked, only, small_enough, staged_count
+from gleanery.llm.common import checked, only, short_batches, small_enough, staged_count
 from gleanery.llm.words import SEGMENT, in_chunks, mix, sequences, spans_hash, words_of
 from gleanery.session import stage
 
 LENGTH = 35
 ANCHOR = 8
-FLUSH_WORDS = 300_000  # words whose windows a task holds at once
+FLUSH_WORDS = 200_000  # words whose windows a task holds at once
 
 _PACKED = pa.schema([("bucket", pa.int32()), ("rows", pa.binary()), ("windows", pa.binary())])
 _SPANS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64())])
@@ -188,7 +188,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
     docs = only(docs, doc_id="long", text="string").withColumn("row_id", F.xxhash64("doc_id", "text"))
     spans = repeated_spans(docs, length, anchor)
     by_row = spans.groupBy("row_id").agg(F.collect_set(F.struct("start", "length")).alias("spans"))
-    staged, rows = staged_count(by_row, "repeats")
+    with short_batches(docs.sparkSession):
+        staged, rows = staged_count(by_row, "repeats")
     ids = staged.select("row_id")
     shape = "doc_id long, n_words long, n_removed long, kept_text string"
     if small_enough(staged, rows, 16):
