@@ -7,7 +7,7 @@ cut into k + 3 parts and every choice of 3 parts makes a signature. Pairs from n
 signatures of their own.
 
 More partitions than needed (``spare``) are made, so that similar sets agree on more than ``spare`` of
-them. Up to ``spare`` useless signatures of a set (of empty partitions, or shared by a crowd) can then be
+them. Up to ``spare`` useless signatures of a set (of empty partitions, or shared by many) can then be
 left out without losing a link.
 
 Sets that share a signature are compared with the least of them only. Their components are found, and the
@@ -26,6 +26,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gleanery.llm.buckets import FLUSH_BYTES, bucket_count, bucket_of, pack
 from gleanery.llm.common import checked, only, short_batches, staged_count
@@ -35,7 +36,6 @@ from gleanery.session import stage
 
 SHINGLE = 5
 PERCENT = 80
-CROWD = 32  # sets sharing a signature above which it may be left out within ``spare``
 SKETCH = 8  # shingles for each counter of a sketch
 FOUND = "kind string, a long, b long, n long, m long, c long, id long, bucket int, hashes binary, places binary"
 SETS = "name long, rep long, n long, shingles binary"
@@ -321,6 +321,12 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int =
         return stage(couples.mapInArrow(_compare(percent), "a long, b long"), "links")
 
 
+def _still_apart(members: DataFrame) -> DataFrame:
+    """Members of the signatures whose sets are in different components, with the size of the crowd."""
+    mixed = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("crowd"))
+    return members.join(mixed.where("x < y").select("key", "crowd"), "key")
+
+
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs (doc_id, text)``.
 
@@ -354,11 +360,12 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     named = named.select("name", "n", "allowed", F.coalesce("component", "rep").alias("component"))
     members = found.where("kind = 'member'").select(F.col("a").alias("key"), "id").join(ids, "id").join(named, "name")
     members = stage(members.drop("id").distinct(), "members")
-    mixed = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("crowd"))
-    apart = stage(members.join(mixed.where("x < y").select("key", "crowd"), "key"), "apart")
-    hot = apart.where(F.col("crowd") > CROWD).groupBy("name").agg(F.count("*").alias("h"))
-    apart = apart.join(hot, "name", "left").where((F.col("crowd") <= CROWD) | (F.col("h") > F.col("allowed")))
-    apart = stage(apart.select("key", "name", "n", "component"), "apart")
+    apart = stage(_still_apart(members), "apart")
+    # Similar sets share more than ``allowed`` of these signatures. So each set may leave out as many, the most
+    # crowded first in one order for all: the last shared one in that order is left out by neither.
+    order = Window.partitionBy("name").orderBy(F.desc("crowd"), "key")
+    apart = apart.withColumn("rank", F.row_number().over(order)).where(F.col("rank") > F.col("allowed"))
+    apart = stage(_still_apart(apart.drop("rank", "crowd")), "apart")
     one, two = apart.alias("one"), apart.alias("two")
     close = F.greatest("one.n", "two.n") * percent <= F.least("one.n", "two.n") * 100
     met = one.join(two, (F.col("one.key") == F.col("two.key")) & (F.col("one.name") < F.col("two.name")) & (F.col("one.component") != F.col("two.component")) & close)
