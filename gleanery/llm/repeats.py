@@ -26,7 +26,7 @@ from gleanery.session import stage
 
 LENGTH = 35
 ANCHOR = 8
-FLUSH_WORDS = 200_000  # words whose windows a task holds at once
+FLUSH_WORDS = 100_000  # words whose windows a task holds at once
 
 _PACKED = pa.schema([("bucket", pa.int32()), ("rows", pa.binary()), ("windows", pa.binary())])
 _SPANS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64())])
@@ -59,6 +59,7 @@ def _seed(length: int, anchor: int, buckets: int):
                 return
             anchors, docs, starts, places, hashes = (np.concatenate(x) for x in zip(*parts))
             parts.clear()
+            pa.default_memory_pool().release_unused()
             order = np.argsort(hashes, kind="stable")
             ranked = hashes[order]
             head = np.ones(len(ranked), bool)
@@ -94,7 +95,7 @@ def _seed(length: int, anchor: int, buckets: int):
                 yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((bucket, *packed), _PACKED.types)], schema=_PACKED)
                 begin = end
 
-        for batch in in_chunks(batches, "text", SEGMENT):
+        for batch in in_chunks(batches, "text", SEGMENT // 2):
             words = words_of(batch.column("text"))
             starts, hashes, places, anchors = windows_of(words, length, anchor)
             if not len(starts):
@@ -188,7 +189,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
     docs = only(docs, doc_id="long", text="string").withColumn("row_id", F.xxhash64("doc_id", "text"))
     spans = repeated_spans(docs, length, anchor)
     by_row = spans.groupBy("row_id").agg(F.collect_set(F.struct("start", "length")).alias("spans"))
-    with short_batches(docs.sparkSession):
+    with short_batches(docs.sparkSession, 256):
         staged, rows = staged_count(by_row, "repeats")
     ids = staged.select("row_id")
     shape = "doc_id long, n_words long, n_removed long, kept_text string"
