@@ -36,6 +36,7 @@ from gleanery.session import stage
 
 SHINGLE = 5
 PERCENT = 80
+TURNS = 2  # rounds with other heads of the groups before all that is left is compared
 SKETCH = 8  # shingles for each counter of a sketch
 FOUND = "kind string, a long, b long, n long, m long, c long, id long, bucket int, hashes binary, places binary"
 SETS = "name long, rep long, n long, shingles binary"
@@ -147,14 +148,20 @@ def sketch_of(shingles: np.ndarray) -> bytes:
     """Counts of shingles by the upper bits of their fingerprints, about one counter for ``SKETCH`` of them."""
     bits = max(0, int(len(shingles) // SKETCH).bit_length() - 1)
     at = (shingles >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(shingles), np.int64)
-    return np.bincount(at, minlength=1 << bits).astype("<u4").tobytes()
+    return np.bincount(at, minlength=1 << bits).clip(max=255).astype(np.uint8).tobytes()
 
 
 def least_difference(one: bytes, two: bytes) -> int:
     """A lower bound of the symmetric difference of two sets, from their sketches."""
-    x, y = np.frombuffer(one, "<u4").astype(np.int64), np.frombuffer(two, "<u4").astype(np.int64)
-    common = min(len(x), len(y))
-    return int(np.abs(x.reshape(common, -1).sum(axis=1) - y.reshape(common, -1).sum(axis=1)).sum())
+    x, y = np.frombuffer(one, np.uint8).astype(np.int64), np.frombuffer(two, np.uint8).astype(np.int64)
+    if len(x) > len(y):
+        x, y = y, x
+    # Counters stop at 255, so a full one says nothing when it is added to another.
+    if len(x) < len(y):
+        if (y == 255).any() or (x == 255).any():
+            return 0
+        y = y.reshape(len(x), -1).sum(axis=1)
+    return int(np.abs(x - y).sum())
 
 
 _SCHEMA = pa.schema([
@@ -327,6 +334,18 @@ def _still_apart(members: DataFrame) -> DataFrame:
     return members.join(mixed.where("x < y").select("key", "crowd"), "key")
 
 
+def _to_compare(members: DataFrame) -> DataFrame:
+    """Members that must still be compared with others of their signature.
+
+    Similar sets of different components share more than ``allowed`` signatures that are still apart. So each set
+    may leave out as many, the most crowded first in one order for all: the last shared one in that order is left
+    out by neither.
+    """
+    order = Window.partitionBy("name").orderBy(F.desc("crowd"), "key")
+    ranked = stage(_still_apart(members), "apart").withColumn("rank", F.row_number().over(order))
+    return stage(_still_apart(ranked.where(F.col("rank") > F.col("allowed")).drop("rank", "crowd")), "apart")
+
+
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs (doc_id, text)``.
 
@@ -355,24 +374,29 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     links = verified(docs, pairs, classes, size, percent)
     groups = components(links)
 
-    # Sets of one signature that are still apart meet each other.
-    named = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select("name", "n", "allowed", F.coalesce("component", "rep").alias("component"))
-    members = found.where("kind = 'member'").select(F.col("a").alias("key"), "id").join(ids, "id").join(named, "name")
-    members = stage(members.drop("id").distinct(), "members")
-    apart = stage(_still_apart(members), "apart")
-    # Similar sets share more than ``allowed`` of these signatures. So each set may leave out as many, the most
-    # crowded first in one order for all: the last shared one in that order is left out by neither.
-    order = Window.partitionBy("name").orderBy(F.desc("crowd"), "key")
-    apart = apart.withColumn("rank", F.row_number().over(order)).where(F.col("rank") > F.col("allowed"))
-    apart = stage(_still_apart(apart.drop("rank", "crowd")), "apart")
-    one, two = apart.alias("one"), apart.alias("two")
-    close = F.greatest("one.n", "two.n") * percent <= F.least("one.n", "two.n") * 100
-    met = one.join(two, (F.col("one.key") == F.col("two.key")) & (F.col("one.name") < F.col("two.name")) & (F.col("one.component") != F.col("two.component")) & close)
-    more = met.select(F.col("one.name").alias("a"), F.col("two.name").alias("b")).distinct()
-    more, count = staged_count(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
-    if count:
-        groups = components(links.unionAll(verified(docs, more, classes, size, percent)))
+    # Sets of one signature that are still apart meet other members of it, and at last each other.
+    members = found.where("kind = 'member'").select(F.col("a").alias("key"), "id").join(ids, "id")
+    members = stage(members.select("key", "name").distinct(), "members")
+    for turn in range(TURNS + 1):
+        named = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+        named = named.select("name", "n", "allowed", F.coalesce("component", "rep").alias("component"))
+        apart = _to_compare(members.join(named, "name"))
+        if turn < TURNS:
+            turned = F.min(F.struct(F.xxhash64(F.col("name"), F.lit(turn)), F.col("name").alias("name"), F.col("component").alias("component")))
+            heads = apart.groupBy("key").agg(turned.alias("head")).select("key", F.col("head.name").alias("one"), F.col("head.component").alias("theirs"))
+            met = apart.join(heads, "key").where("component <> theirs").select("one", F.col("name").alias("two"))
+        else:
+            one, two = apart.alias("one"), apart.alias("two")
+            close = F.greatest("one.n", "two.n") * percent <= F.least("one.n", "two.n") * 100
+            other = (F.col("one.name") < F.col("two.name")) & (F.col("one.component") != F.col("two.component"))
+            met = one.join(two, (F.col("one.key") == F.col("two.key")) & other & close)
+            met = met.select(F.col("one.name").alias("one"), F.col("two.name").alias("two"))
+        more = met.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct()
+        more, count = staged_count(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
+        if count:
+            pairs = pairs.unionAll(more)
+            links = links.unionAll(verified(docs, more, classes, size, percent))
+            groups = components(links)
 
     named = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("name", "other", F.coalesce("component", "rep").alias("component"))
