@@ -64,6 +64,8 @@ def spare(k: int) -> int:
 
 def families(n: int, percent: int = PERCENT) -> list[tuple[int, int]]:
     """Signature families of a set of ``n`` shingles: a number, and the k of its pairs."""
+    if not n:
+        return []
     band = int(np.searchsorted(_EDGES, n, side="right")) - 1
     low, high = int(_EDGES[band]), int(_EDGES[band + 1])
     found = [(3 * band, difference(high - 1, high - 1, percent))]

@@ -189,7 +189,10 @@ def _redact(mark: str, columns: list[str], schema: pa.Schema):
                 for start, end in reversed(_merged(spans or [])):
                     text = text[:start] + mark + text[end:]
                 texts.append(text)
-            made = {"text": pa.array(texts, pa.string()), "n_chars": pa.array([None if t is None else len(t) for t in texts], pa.int64())}
+            made = {"text": pa.array(texts, pa.string())}
+            if "n_chars" in columns:
+                lengths = zip(texts, batch.column("spans"), batch.column("n_chars").to_pylist())
+                made["n_chars"] = pa.array([len(t) if spans.is_valid else n for t, spans, n in lengths], pa.int64())
             arrays = [made[c] if c in made else batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(arrays, schema)], schema=schema)
 
