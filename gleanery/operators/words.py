@@ -44,7 +44,7 @@ def map_reduce_python(
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.groupby("key", sort=False)["value"].agg(combine).reset_index()
+            yield batch.groupby("key", dropna=False, sort=False)["value"].agg(combine).reset_index()
 
     def final(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"key": group["key"].iloc[:1], "value": [combine(group["value"])]})

@@ -9,7 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 
 MB = 1024 * 1024
-MAX_PARTITIONS = 4_000_000
+MAX_PARTITIONS = 100_000
+UNKNOWN_BYTES = 10**17  # beyond any table; the optimizer says so where it knows nothing
 
 _own_dirs: dict[str, str] = {}
 
@@ -71,13 +72,15 @@ def plan_bytes(df: DataFrame) -> int:
 def partitions_for(df: DataFrame, target_mb: int = 64) -> int:
     """Partition count that gives each task about ``target_mb`` and every core something to do.
 
-    Meant for table scans. Where the optimizer has no usable size the session's setting decides.
+    Meant for table scans. There are at most ``MAX_PARTITIONS``, which a driver can still track; beyond that
+    partitions grow with the input. Where the optimizer has no usable size the session's setting decides.
     """
     spark = df.sparkSession
-    wanted = math.ceil(plan_bytes(df) / (target_mb * MB))
-    if wanted > MAX_PARTITIONS:
+    size = plan_bytes(df)
+    if size > UNKNOWN_BYTES:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(2 * spark.sparkContext.defaultParallelism, wanted)
+    wanted = math.ceil(size / (target_mb * MB))
+    return max(2 * spark.sparkContext.defaultParallelism, min(wanted, MAX_PARTITIONS))
 
 
 def spread_by(df: DataFrame, *keys: str | Column) -> DataFrame:

@@ -57,7 +57,7 @@ def main() -> int:
     failed = 0
     try:
         con = connect(sf)
-        for name in chosen or contract.queries():
+        for name in chosen or contract.oracle_sql():
             try:
                 good, note = compare(spark, con, sf, name)
             except Exception as error:

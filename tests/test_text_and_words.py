@@ -100,3 +100,10 @@ def test_map_reduce_with_expressions_and_with_python(spark):
 
     python = jobs.map_reduce_python(docs, mapper, lambda values: values.sum(), "bigint")
     assert {r["key"]: r["value"] for r in python.collect()} == {w: total for w, (total, _) in got.items()}
+
+
+def test_reduce_steps_keep_null_keys(spark):
+    docs = spark.createDataFrame([(None, 2), (None, 3), ("a", 1)], "key string, value long")
+    pairs = F.array(F.struct(F.col("key").alias("key"), F.col("value").alias("value")))
+    found = jobs.map_reduce_python(docs, pairs, lambda values: values.sum(), "bigint")
+    assert {(r.key, r.value) for r in found.collect()} == {(None, 5), ("a", 1)}
