@@ -11,8 +11,9 @@ them. Up to ``spare`` useless signatures of a set (of empty partitions, or share
 left out without losing a link.
 
 Sets that share a signature are compared with the least of them only. Their components are found, and the
-sets of a signature that are still in different components are compared with each other. So no copies
-are expanded into pairs, and no link between components is lost.
+sets of a signature that are still in different components are compared with each other, unless parities of
+their shingles already show too many differences. So no copies are expanded into pairs, and no link between
+components is lost.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -36,9 +37,8 @@ from gleanery.session import stage
 
 SHINGLE = 5
 PERCENT = 80
-TURNS = 2  # rounds with other heads of the groups before all that is left is compared
 SKETCH = 8  # shingles for each counter of a sketch
-FOUND = "kind string, a long, b long, n long, m long, c long, id long, bucket int, hashes binary, places binary"
+FOUND = "kind string, a long, b long, n long, m long, c long, id long, bucket int, hashes binary, places binary, bits array<long>"
 SETS = "name long, rep long, n long, shingles binary"
 
 
@@ -153,6 +153,29 @@ def sketch_of(shingles: np.ndarray) -> bytes:
     return np.bincount(at, minlength=1 << bits).clip(max=255).astype(np.uint8).tobytes()
 
 
+def parity_bits(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the shingles by the lower bits of their fingerprints, at least four places a shingle, as 64-bit words."""
+    places = max(64, 1 << (4 * len(shingles) - 1).bit_length()) if len(shingles) else 64
+    odd = np.bincount((shingles & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view("<i8")
+
+
+def least_odd(one: Column, two: Column) -> Column:
+    """A lower bound of the symmetric difference of two sets: each shingle of only one of them turns one parity.
+
+    For sets whose sizes differ less than twofold; the longer parities are folded to the length of the shorter.
+    """
+    xor = lambda x, y: x.bitwiseXOR(y)
+
+    def folded(bits: Column, other: Column) -> Column:
+        half = F.floor(F.size(bits) / 2).cast("int")
+        halves = F.zip_with(F.slice(bits, F.lit(1), half), F.slice(bits, half + 1, half), xor)
+        return F.when(F.size(bits) > F.size(other), halves).otherwise(bits)
+
+    apart = F.zip_with(folded(one, two), folded(two, one), lambda x, y: F.bit_count(xor(x, y)))
+    return F.aggregate(apart, F.lit(0), lambda total, n: total + n)
+
+
 def least_difference(one: bytes, two: bytes) -> int:
     """A lower bound of the symmetric difference of two sets, from their sketches."""
     x, y = np.frombuffer(one, np.uint8).astype(np.int64), np.frombuffer(two, np.uint8).astype(np.int64)
@@ -169,6 +192,7 @@ def least_difference(one: bytes, two: bytes) -> int:
 _SCHEMA = pa.schema([
     ("kind", pa.string()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("m", pa.int64()),
     ("c", pa.int64()), ("id", pa.int64()), ("bucket", pa.int32()), ("hashes", pa.binary()), ("places", pa.binary()),
+    ("bits", pa.list_(pa.int64())),
 ])
 
 
@@ -221,7 +245,7 @@ def _emit(size: int, percent: int, buckets: int):
             keys.clear(), seen.clear()
 
         for batch in in_chunks(batches, "text"):
-            docs = {"kind": [], "a": [], "b": [], "n": [], "m": [], "c": [], "id": [], "places": []}
+            docs = {"kind": [], "a": [], "b": [], "n": [], "m": [], "c": [], "id": [], "places": [], "bits": []}
             if len(keys) + batch.num_rows > 1 << 16 or held > FLUSH_BYTES:
                 yield from flush()
                 flushes, held = flushes + 1, 0
@@ -235,7 +259,7 @@ def _emit(size: int, percent: int, buckets: int):
                         keys.append(made)
                         held += 24 * len(made)
                     at = (task << 20 | flushes) << 16 | seen[name]
-                row = ("doc", name if len(found) else None, other, len(found), doc_id, allowed, at, sketch_of(found))
+                row = ("doc", name if len(found) else None, other, len(found), doc_id, allowed, at, sketch_of(found), parity_bits(found))
                 for column, value in zip(docs, row):
                     docs[column].append(value)
             docs["bucket"] = bucket_of(mix(np.array(docs["b"], np.int64).astype(np.uint64)), buckets)
@@ -363,9 +387,9 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
         found = stage(signed.groupBy("bucket").applyInArrow(_meet(buckets), FOUND), "signatures")
     rows = found.where("kind = 'doc'").select(
         F.col("m").alias("doc_id"), "n", F.col("a").alias("name"), F.col("b").alias("other"),
-        F.col("c").alias("allowed"), "id", F.col("places").alias("sketch"),
+        F.col("c").alias("allowed"), "id", F.col("places").alias("sketch"), "bits",
     )
-    facts = [F.first(c).alias(c) for c in ("n", "allowed", "sketch")]
+    facts = [F.first(c).alias(c) for c in ("n", "allowed", "sketch", "bits")]
     classes = stage(rows.where("name is not null").groupBy("name", "other").agg(F.min("doc_id").alias("rep"), *facts), "classes")
     ids = stage(rows.where("id is not null").select("id", "name").distinct(), "ids")
     pairs = found.where("kind = 'pair'").select("a", "b")
@@ -376,29 +400,23 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     links = verified(docs, pairs, classes, size, percent)
     groups = components(links)
 
-    # Sets of one signature that are still apart meet other members of it, and at last each other.
+    # Sets of one signature that are still apart are compared with each other, where sizes and parities allow a link.
     members = found.where("kind = 'member'").select(F.col("a").alias("key"), "id").join(ids, "id")
     members = stage(members.select("key", "name").distinct(), "members")
-    for turn in range(TURNS + 1):
-        named = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-        named = named.select("name", "n", "allowed", F.coalesce("component", "rep").alias("component"))
-        apart = _to_compare(members.join(named, "name"))
-        if turn < TURNS:
-            turned = F.min(F.struct(F.xxhash64(F.col("name"), F.lit(turn)), F.col("name").alias("name"), F.col("component").alias("component")))
-            heads = apart.groupBy("key").agg(turned.alias("head")).select("key", F.col("head.name").alias("one"), F.col("head.component").alias("theirs"))
-            met = apart.join(heads, "key").where("component <> theirs").select("one", F.col("name").alias("two"))
-        else:
-            one, two = apart.alias("one"), apart.alias("two")
-            close = F.greatest("one.n", "two.n") * percent <= F.least("one.n", "two.n") * 100
-            other = (F.col("one.name") < F.col("two.name")) & (F.col("one.component") != F.col("two.component"))
-            met = one.join(two, (F.col("one.key") == F.col("two.key")) & other & close)
-            met = met.select(F.col("one.name").alias("one"), F.col("two.name").alias("two"))
-        more = met.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct()
-        more, count = staged_count(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
-        if count:
-            pairs = pairs.unionAll(more)
-            links = links.unionAll(verified(docs, more, classes, size, percent))
-            groups = components(links)
+    named = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+    named = named.select("name", "n", "allowed", F.coalesce("component", "rep").alias("component"))
+    apart = _to_compare(members.join(named, "name")).join(classes.select("name", "bits"), "name")
+    one, two = apart.alias("one"), apart.alias("two")
+    other = (F.col("one.name") < F.col("two.name")) & (F.col("one.component") != F.col("two.component"))
+    close = F.greatest("one.n", "two.n") * percent <= F.least("one.n", "two.n") * 100
+    reach = F.floor((F.col("one.n") + F.col("two.n")) * (100 - percent) / (100 + percent))
+    near = least_odd(F.col("one.bits"), F.col("two.bits")) <= reach
+    met = one.join(two, (F.col("one.key") == F.col("two.key")) & other & close & near)
+    more = met.select(F.col("one.name").alias("a"), F.col("two.name").alias("b")).distinct()
+    more, count = staged_count(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
+    if count:
+        links = links.unionAll(verified(docs, more, classes, size, percent))
+        groups = components(links)
 
     named = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("name", "other", F.coalesce("component", "rep").alias("component"))
