@@ -1,6 +1,7 @@
 """HTML expressions: readable text, link targets and attribute values of a page.
 
-Loops in the patterns are possessive, so matching takes linear time and constant stack on any page.
+Loops in the patterns are possessive, and an opener without an end takes the rest of the page with it, so
+matching takes linear time and constant stack on any page.
 """
 
 from __future__ import annotations
@@ -18,16 +19,18 @@ GAP = "\ufdd0"
 REST_OF_TAG = r"(?:=++\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[^>=]++)*+"
 START_TAG = rf"<[a-zA-Z]{REST_OF_TAG}>"
 SKIPPED = (
-    r"(?is)<!--.*?--\s*>"
-    rf"|<script(?=[\s/>]){REST_OF_TAG}(?<!/)>.*?(?:</\s*script\s*>|\z)"
-    rf"|<style(?=[\s/>]){REST_OF_TAG}(?<!/)>.*?(?:</\s*style\s*>|\z)"
+    r"(?is)<!--.*?(?:--\s*+>|\z)"
+    rf"|<script(?=[\s/>]){REST_OF_TAG}(?:(?<!/)>.*?(?:</\s*+script\s*+>|\z)|\z)"
+    rf"|<style(?=[\s/>]){REST_OF_TAG}(?:(?<!/)>.*?(?:</\s*+style\s*+>|\z)|\z)"
     rf"|({START_TAG})"
+    rf"|<[a-z]{REST_OF_TAG}\z"
 )
 # Elements whose text is not part of the readable text, although their tags count.
-SILENT = rf"(?is)<(template|rt|rp)(?=[\s/>]){REST_OF_TAG}(?<!/)>.*?</\1\s*>"
-ANY_TAG = rf"(?s){START_TAG}|<[/!?][^>]*+>"
+SILENT = rf"(?is)<(template|rt|rp)(?=[\s/>]){REST_OF_TAG}(?<!/)>.*?(?:</\1\s*+>|\z)"
+ANY_TAG = rf"(?s){START_TAG}|<[/!?][^>]*+(?:>|\z)"
 ATTRIBUTE = r"([^\s/>=][^\s/=>]*+(?:\s*+=++\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^>\s]*+))?+)"
-EDGE_SPACE = r"^[\s\x0B\x1c-\x1f\x85\p{Z}]+|[\s\x0B\x1c-\x1f\x85\p{Z}]+$"
+SPACE = r"[\s\x0B\x1c-\x1f\x85\p{Z}]"
+EDGE_SPACE = rf"^{SPACE}++|(?<!{SPACE}){SPACE}++$"
 
 # Entities common enough to have their own path, with the ampersand last.
 COMMON_ENTITIES = {
