@@ -31,8 +31,3 @@ def code_point_bucket(word: Column, buckets: int) -> Column:
         F.filter(F.split(word, ""), lambda c: c != ""), lambda c: F.ascii(c)
     )
     return F.aggregate(points, F.lit(0), lambda total, point: total + point) % F.lit(buckets)
-
-
-def stable_hash(value: Column) -> Column:
-    """A 32-bit hash as BIGINT that other SQL engines can compute too (first 8 hex digits of MD5)."""
-    return F.conv(F.substring(F.md5(value), 1, 8), 16, 10).cast("bigint")

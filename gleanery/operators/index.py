@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.functions.text import stable_hash, tokens
+from gleanery.functions.text import tokens
 from gleanery.operators.joins import lookup_join, union_all
+from gleanery.operators.ranking import rank_all
 from gleanery.session import spread_by, stage
 
 BLOCK_SIZE = 10_000
@@ -57,24 +58,27 @@ def build_postings(pages: DataFrame, **limits) -> DataFrame:
     return tfidf_postings(tf, df, pages.count(), **limits)
 
 
-def block_of(member: Column, group_size: Column, block_size: int) -> Column:
-    """Number of the block of about ``block_size`` members in which ``member`` of a group belongs."""
-    blocks = F.ceil(group_size / F.lit(block_size))
-    return F.when(blocks > 1, stable_hash(member) % blocks).otherwise(F.lit(0).cast("bigint"))
+def in_blocks(members: DataFrame, key: str, member: str, size: str, block_size: int) -> DataFrame:
+    """Add the ``block`` of each row: consecutive ranges of ``block_size`` members in order of ``member``.
+
+    ``size`` is the column with the number of members of the row's ``key``. Only groups longer than a block
+    are ranked. ``members`` is read twice and should be a table.
+    """
+    is_long = F.col(size) > block_size
+    whole = members.filter(~is_long).withColumn("block", F.lit(0).cast("bigint"))
+    ranked = rank_all(members.filter(is_long), [key], [F.col(member).asc()])
+    return union_all([whole, ranked.withColumn("block", F.floor((F.col("rank") - 1) / F.lit(block_size))).drop("rank")])
 
 
 def inverted_index(postings: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
-    """``(term, block, postings)`` with postings ordered by URL inside a block.
+    """``(term, block, postings)`` with postings ordered by URL, inside a block and from block to block.
 
     A term found in up to ``block_size`` pages has a single block 0. Longer lists continue in
     further blocks, so that no row and no task holds the list of a term found everywhere.
     """
     return (
-        postings.select(
-            "term",
-            block_of(F.col("url"), F.col("df"), block_size).alias("block"),
-            F.struct("url", "tfidf").alias("posting"),
-        )
+        in_blocks(postings.select("term", "url", "tfidf", "df"), "term", "url", "df", block_size)
+        .select("term", "block", F.struct("url", "tfidf").alias("posting"))
         .groupBy("term", "block")
         .agg(F.sort_array(F.collect_list("posting")).alias("postings"))
     )

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-MAX_HEAVY_KEY_BYTES = 256
 
 
 def lookup_size(lookup: DataFrame, key: str, weight: str) -> Row:
@@ -33,17 +32,17 @@ def split_lookup_join(
     """Inner join of ``rows`` with ``lookup`` on ``key``, as one or two disjoint parts.
 
     ``lookup`` holds one row per key and, in ``weight``, how many of ``rows`` have that key.
-    A lookup of checked small size is broadcast. A larger one is cut in two: keys with at least
-    ``total / max_rows`` rows are at most ``max_rows`` many, so that part can be broadcast and its
-    rows stay where they are; the remaining keys are all small and are joined by a shuffle.
+    A lookup of checked small size is broadcast. A larger one is cut in two: keys with more than
+    ``total / max_rows`` rows, and more than ``total / max_bytes`` for each of their own bytes, are at most
+    ``max_rows`` many and ``max_bytes`` long together. That part can be broadcast and its rows stay where
+    they are; the remaining keys have few rows for their length and are joined by a shuffle.
     ``rows`` is read twice in that case and should be a table. ``size`` may be given where it is known.
     """
     size = size or lookup_size(lookup, key, weight)
     if size["keys"] <= max_rows and size["bytes"] <= max_bytes:
         return [rows.join(F.broadcast(lookup), key)]
-    is_heavy = (F.col(weight) >= F.lit(max(1, size["rows"] // max_rows) + 1)) & (
-        F.octet_length(key) <= MAX_HEAVY_KEY_BYTES
-    )
+    is_long = F.octet_length(key) > F.col(weight).cast("double") * (max_bytes / max(1, size["rows"]))
+    is_heavy = (F.col(weight) >= F.lit(max(1, size["rows"] // max_rows) + 1)) & ~is_long
     heavy = lookup.filter(is_heavy)
     light = lookup.filter(~is_heavy)
     return [

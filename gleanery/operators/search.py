@@ -34,47 +34,49 @@ def ranked_search(index: SavedIndex, queries: DataFrame) -> DataFrame:
     otherwise; ``tokens`` are the matched ones in alphabetical order.
     """
     asked = query_tokens(queries)
-    terms = asked.select("query_id", "tokens", F.posexplode("tokens").alias("position", "term"))
+    terms = asked.select("query_id", F.posexplode("tokens").alias("position", "term"))
     each = index.placed(terms).groupBy("term", "shard").agg(
         F.count("*").alias("asked"),
-        F.sum(F.octet_length("term") * F.size("tokens")).alias("bytes"),
+        F.sum(F.octet_length("term") + F.octet_length(F.col("query_id").cast("string"))).alias("bytes"),
         F.max("position").alias("last"),
     )
     wanted = each.limit(MAX_QUERY_TERMS + 1).collect()
 
-    if sum(r["asked"] for r in wanted) <= MAX_QUERY_TERMS and sum(r["bytes"] for r in wanted) <= MAX_QUERY_BYTES:
+    few = sum(r["asked"] for r in wanted) <= MAX_QUERY_TERMS and sum(r["bytes"] for r in wanted) <= MAX_QUERY_BYTES
+    if few:
         last = max((r["last"] for r in wanted), default=0)
         hits = index.lookup(wanted).join(F.broadcast(terms), "term")
     else:
         last = each.agg(F.max("last")).first()[0]
         hits = _salted_hits(index.postings(), terms)
 
-    # One bit per matched token: sums and bit masks keep the aggregation free of array buffers.
-    masks = [f"mask{i}" for i in range(last // BITS + 1)]
-    marks = [
-        F.bit_or(F.expr(f"if(position div {BITS} = {i}, shiftleft(1L, position % {BITS}), 0L)")).alias(mask)
-        for i, mask in enumerate(masks)
-    ]
-    matched = hits.groupBy("query_id", "url", "tokens").agg(
-        F.sum("tfidf").alias("score"), F.count("*").alias("matched"), *marks
-    )
-    return matched.select(
+    # One bit per matched token: sums and bit masks keep the aggregation free of token arrays.
+    bit = F.expr(f"shiftleft(1L, position % {BITS})")
+    sums = [F.sum("tfidf").alias("score"), F.count("*").alias("matched"), F.bit_or(bit).alias("mask")]
+    if last < BITS:
+        masks = F.array(F.struct(F.lit(0).alias("word"), "mask"))
+        matched = hits.groupBy("query_id", "url").agg(*sums).withColumn("masks", masks)
+    else:
+        words = hits.groupBy("query_id", "url", F.expr(f"position div {BITS}").cast("int").alias("word")).agg(*sums)
+        masks = F.sort_array(F.collect_list(F.struct("word", "mask")))
+        matched = words.groupBy("query_id", "url").agg(
+            F.sum("score").alias("score"), F.sum("matched").alias("matched"), masks.alias("masks")
+        )
+    return matched.join(F.broadcast(asked) if few else asked, "query_id").select(
         "query_id",
         F.when(F.col("matched") == F.size("tokens"), "exact").otherwise("partial").alias("match_kind"),
         "url",
         "score",
-        _matched_tokens(masks).alias("tokens"),
+        _matched_tokens().alias("tokens"),
     )
 
 
-def _matched_tokens(masks: list[str]) -> Column:
-    words = F.array(*masks)
-
-    def is_matched(_: Column, position: Column) -> Column:
-        word = F.get(words, F.floor(position / BITS).cast("int"))
-        return F.getbit(word, (position % BITS).cast("int")) == 1
+def _matched_tokens() -> Column:
+    def of_word(entry: Column) -> Column:
+        part = F.slice("tokens", entry["word"] * BITS + 1, F.lit(BITS))
+        return F.filter(part, lambda _, place: F.getbit(entry["mask"], place) == 1)
 
-    return F.filter("tokens", is_matched)
+    return F.flatten(F.transform("masks", of_word))
 
 
 def _salted_hits(postings: DataFrame, terms: DataFrame) -> DataFrame:
@@ -89,7 +91,7 @@ def _salted_hits(postings: DataFrame, terms: DataFrame) -> DataFrame:
     known = postings.groupBy("term").agg(F.max("df").alias("df"))
     lookup = stage(counts.join(known, "term"), "query-df")
     repeated = lookup_join(asked, lookup, key="term", weight="asked").select(
-        "query_id", "tokens", "position", "term",
+        "query_id", "position", "term",
         F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("part"),
     )
     cut = postings.withColumn("part", F.pmod(F.xxhash64("url"), parts))

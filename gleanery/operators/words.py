@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import code_point_bucket, words
-from gleanery.operators.index import block_of
-from gleanery.operators.joins import split_lookup_join, union_all
+from gleanery.operators.index import in_blocks
+from gleanery.operators.joins import lookup_join
 from gleanery.session import stage
 
 DOCS_PER_BLOCK = 10_000
@@ -44,7 +44,9 @@ def map_reduce_python(
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.groupby("key", dropna=False, sort=False)["value"].agg(combine).reset_index()
+            found = batch.groupby("key", dropna=False, sort=False)["value"].agg(combine)
+            keys = [None if key is None or key != key else key for key in found.index]
+            yield pd.DataFrame({"key": pd.Series(keys, dtype=object), "value": found.to_numpy()})
 
     def final(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"key": group["key"].iloc[:1], "value": [combine(group["value"])]})
@@ -66,20 +68,18 @@ def invert_words(docs: DataFrame, block_size: int = DOCS_PER_BLOCK) -> DataFrame
 
     A word in up to ``block_size`` documents has a single block 0; more frequent ones continue in
     further blocks. A document may have many rows, as a file of lines has. Pairs are first made
-    distinct per row; grouped afterwards, very frequent words go by block, all others by word.
+    distinct per row; grouped afterwards, very frequent words go by block, all others by word. Blocks are
+    consecutive: put after one another they are the sorted list.
     """
     pairs = stage(
         docs.select("doc_id", F.explode(F.array_distinct(words(F.col("text")))).alias("word")).distinct(),
         "word-docs",
     )
     sizes = stage(pairs.groupBy("word").agg(F.count("*").alias("docs")), "word-sizes")
-    block = block_of(F.col("doc_id"), F.col("docs"), block_size)
-    return union_all([
-        part.groupBy("word", block.alias("block")).agg(
-            F.array_join(F.sort_array(F.collect_list("doc_id")), ",").alias("doc_ids")
-        )
-        for part in split_lookup_join(pairs, sizes, key="word", weight="docs")
-    ])
+    placed = in_blocks(lookup_join(pairs, sizes, key="word", weight="docs"), "word", "doc_id", "docs", block_size)
+    return placed.groupBy("word", "block").agg(
+        F.array_join(F.sort_array(F.collect_list("doc_id")), ",").alias("doc_ids")
+    )
 
 
 def shard_words(docs: DataFrame, buckets: int) -> DataFrame:

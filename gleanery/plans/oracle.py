@@ -9,7 +9,6 @@ from gleanery.plans.queries import (
 TOKENS = r"regexp_extract_all(lower(replace({}, '\"', '')), '[\p{{L}}\p{{N}}]+')".replace('\\"', '"')
 WORDS = r"regexp_extract_all(text, '[^\s\x0B\x1c-\x1f\x{85}\p{Z}]+')"
 STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S.%f')"
-HASH = "CAST('0x' || substr(md5({}), 1, 8) AS BIGINT)"
 
 POSTINGS = f"""
 tf AS (
@@ -183,7 +182,7 @@ FROM (SELECT CAST(doc_id AS VARCHAR) AS url, {TOKENS.format('text')} AS tokens F
         "tfidf_postings": ALL_POSTINGS,
         "inverted_index": f"""WITH {POSTINGS},
 placed AS (
-  SELECT *, CAST(CASE WHEN df > {BLOCK} THEN {HASH.format('url')} % ((df + {BLOCK - 1}) // {BLOCK}) ELSE 0 END AS BIGINT) AS block
+  SELECT *, CAST((row_number() OVER (PARTITION BY term ORDER BY url) - 1) // {BLOCK} AS BIGINT) AS block
   FROM postings)
 SELECT term, block, CAST(count(*) AS BIGINT) AS n, string_agg(url, ',' ORDER BY url) AS urls,
        string_agg(CAST(CAST(round(tfidf * 1000000) AS BIGINT) AS VARCHAR), ',' ORDER BY url) AS micros
@@ -193,7 +192,7 @@ SELECT CAST(docs AS BIGINT) AS docs_count, (SELECT CAST(count(*) AS BIGINT) FROM
         "write_index": ALL_POSTINGS,
         "grep_index": f"""WITH {POSTINGS}
 SELECT term, url, tf, df, round(tfidf, 6) AS tfidf FROM postings
-WHERE term IN (SELECT term FROM postings WHERE contains(term, '{NEEDLE}') OR contains(url, '{NEEDLE}'))""",
+QUALIFY max(contains(term, '{NEEDLE}') OR contains(url, '{NEEDLE}')) OVER (PARTITION BY term)""",
         "ranked_search": _search(_asked()),
         "search_exact": _search(_asked(), "match_kind = 'exact'"),
         "search_partial": _search(_asked(), "match_kind = 'partial'"),
@@ -209,7 +208,7 @@ SELECT query_id, match_kind, rank, url, format('{{:.4f}}', score) AS shown FROM
   SELECT DISTINCT CAST(doc_id AS VARCHAR) AS doc_id, word
   FROM (SELECT doc_id, unnest({WORDS}) AS word FROM documents)),
 placed AS (
-  SELECT word, doc_id, {HASH.format('doc_id')} % ((count(*) OVER (PARTITION BY word) + {BLOCK - 1}) // {BLOCK}) AS block
+  SELECT word, doc_id, (row_number() OVER (PARTITION BY word ORDER BY doc_id) - 1) // {BLOCK} AS block
   FROM pairs)
 SELECT word, CAST(block AS BIGINT) AS block, string_agg(doc_id, ',' ORDER BY doc_id) AS doc_ids
 FROM placed GROUP BY word, block""",

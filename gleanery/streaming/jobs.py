@@ -17,7 +17,6 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from gleanery.operators.frontier import REQUEUE_SECONDS, latest_pages
 from gleanery.operators.metrics import SAMPLE_SECONDS, window_number, window_start
-from gleanery.session import fresh_path
 from gleanery.sources.index_store import write_index
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -34,10 +33,13 @@ def stream_folder(spark: SparkSession, path: str, schema: T.StructType, files_pe
 
 
 def _start(writer: DataStreamWriter, spark: SparkSession, once: bool, every: int,
-           checkpoint: str | None) -> StreamingQuery:
-    """Start with state in RocksDB, so that it may outgrow memory."""
+           checkpoint: str | None, out: str) -> StreamingQuery:
+    """Start with state in RocksDB, so that it may outgrow memory.
+
+    The checkpoint lies beside the output unless another is given: a stream that is started again goes on.
+    """
     trigger = {"availableNow": True} if once else {"processingTime": f"{every} seconds"}
-    location = checkpoint or fresh_path(spark, "stream")
+    location = checkpoint or f"{out.rstrip('/')}.checkpoint"
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key)
     spark.conf.set(key, ROCKSDB)
@@ -69,7 +71,7 @@ def copy_pages(pages: DataFrame, out: str, once: bool = False, every: int = REFR
                checkpoint: str | None = None) -> StreamingQuery:
     """Page store rows ``(url, content)`` appended to ``out`` as they arrive."""
     writer = pages.select("url", "content").writeStream.format("parquet").option("path", out)
-    return _start(writer, pages.sparkSession, once, every, checkpoint)
+    return _start(writer, pages.sparkSession, once, every, checkpoint, out)
 
 
 def seen_urls(urls: DataFrame, out: str, within: str | None = None, once: bool = False, every: int = 5,
@@ -85,7 +87,7 @@ def seen_urls(urls: DataFrame, out: str, within: str | None = None, once: bool =
     else:
         first = _thinned(urls.select("url"), [], "first").dropDuplicates(["url"])
     writer = first.writeStream.format("parquet").option("path", out)
-    return _start(writer, urls.sparkSession, once, every, checkpoint)
+    return _start(writer, urls.sparkSession, once, every, checkpoint, out)
 
 
 def completion_counts(log: DataFrame, out: str, seconds: int = SAMPLE_SECONDS, late: str | None = None,
@@ -103,7 +105,7 @@ def completion_counts(log: DataFrame, out: str, seconds: int = SAMPLE_SECONDS, l
     def save(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    return _start(_per_batch(counts, "update", save), log.sparkSession, once, seconds, checkpoint)
+    return _start(_per_batch(counts, "update", save), log.sparkSession, once, seconds, checkpoint, out)
 
 
 def read_counts(spark: SparkSession, out: str) -> DataFrame:
@@ -117,7 +119,7 @@ def store_pages(pages: DataFrame, out: str, once: bool = False, every: int = 5,
     def save(batch: DataFrame, number: int) -> None:
         latest_pages(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    return _start(_per_batch(pages, "append", save), pages.sparkSession, once, every, checkpoint)
+    return _start(_per_batch(pages, "append", save), pages.sparkSession, once, every, checkpoint, out)
 
 
 def read_pages(spark: SparkSession, out: str) -> DataFrame:
@@ -133,38 +135,36 @@ def refresh_index(pages: DataFrame, store: str, index: str, once: bool = False,
         latest_pages(batch).write.mode("overwrite").parquet(f"{store}/batch={number}")
         write_index(read_pages(spark, store), index)
 
-    return _start(_per_batch(pages, "append", rebuild), spark, once, every, checkpoint)
+    return _start(_per_batch(pages, "append", rebuild), spark, once, every, checkpoint, store)
 
 
 def requeue(log: DataFrame, out: str, seconds: int = REQUEUE_SECONDS, late: str = "1 minute",
             once: bool = False, every: int = REQUEUE_SECONDS, checkpoint: str | None = None) -> StreamingQuery:
     """URLs not completed within ``seconds`` of their dispatch, as ``(url, dispatched_at)``.
 
-    One state value per URL in flight. A dispatch sets a timer on event time, a completion clears it.
-    Events up to ``late`` out of order are waited for; older ones are ignored.
+    One state value per URL: its last event. A dispatch sets a timer on event time. A completion replaces it
+    and is remembered until no earlier dispatch can arrive any more. Events up to ``late`` out of order are
+    waited for; older ones are ignored.
     Only the last event of a URL in a batch matters, so its rows are looked at piece by piece.
     """
     import pandas as pd
 
     def follow(key, pieces, state):
         if state.hasTimedOut:
-            sent = state.get[0]
+            us, _, in_flight = state.get
             state.remove()
-            yield pd.DataFrame({"url": [key[0]], "sent_us": [sent]})
+            if in_flight:
+                yield pd.DataFrame({"url": [key[0]], "sent_us": [us]})
             return
-        last, kind = (tuple(state.get) if state.exists else None), None
+        last, in_flight = (tuple(state.get[:2]), state.get[2]) if state.exists else (None, False)
         for piece in pieces:
             newest = piece.sort_values(["us", "seq"]).iloc[-1]
             event = (int(newest["us"]), int(newest["seq"]))
             if last is None or event > last:
-                last, kind = event, newest["kind"]
-        if kind == "complete" and state.exists:
-            state.remove()
-        elif kind == "dispatch":
-            state.update(last)
-        if state.exists:
-            due = state.get[0] // 1000 + seconds * 1000
-            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+                last, in_flight = event, newest["kind"] == "dispatch"
+        state.update((*last, in_flight))
+        due = last[0] // 1000 + (seconds * 1000 if in_flight else 1)
+        state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
 
     moved = log.filter(F.col("kind").isin("dispatch", "complete")).select(
         "ts", "seq", "url", "kind", F.unix_micros("ts").alias("us")
@@ -174,9 +174,9 @@ def requeue(log: DataFrame, out: str, seconds: int = REQUEUE_SECONDS, late: str
         .withWatermark("ts", late)
         .groupBy("url")
         .applyInPandasWithState(
-            follow, "url string, sent_us bigint", "sent_us bigint, seq bigint", "append", "EventTimeTimeout"
+            follow, "url string, sent_us bigint", "us bigint, seq bigint, in_flight boolean", "append", "EventTimeTimeout"
         )
         .select("url", F.timestamp_micros("sent_us").alias("dispatched_at"))
     )
     writer = back.writeStream.format("parquet").option("path", out)
-    return _start(writer, log.sparkSession, once, every, checkpoint)
+    return _start(writer, log.sparkSession, once, every, checkpoint, out)

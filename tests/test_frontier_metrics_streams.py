@@ -149,6 +149,15 @@ def test_stream_requeue_over_several_batches(spark, tmp_path):
     assert [tuple(r) for r in back] == [("lost", NOON + timedelta(seconds=10))]
 
 
+def test_stream_requeue_with_a_completion_before_its_dispatch(spark, tmp_path):
+    rows = log(spark, (10, "done", "dispatch"), (12, "done", "complete"), (200, "tail", "dispatch"))
+    for seq in (1, 0, 2):
+        rows.where(F.col("seq") == seq).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    stream = jobs.stream_folder(spark, str(tmp_path / "log"), rows.schema, files_per_batch=1)
+    jobs.requeue(stream, str(tmp_path / "back"), 30, late="1 minute", once=True).awaitTermination()
+    assert spark.read.schema("url string, dispatched_at timestamp").parquet(str(tmp_path / "back")).collect() == []
+
+
 def test_streamed_page_store_and_index(spark, tmp_path):
     rows = versions(spark, ("a", "one", 0), ("b", "two", 1), ("a", "three", 60), ("c", "", 61), ("d", "two four", 62))
     stream = folder(spark, rows, str(tmp_path / "pages"), 3)

@@ -67,6 +67,7 @@ def test_invert_words_keeps_every_document_of_a_hot_word(spark):
     docs = spark.range(500).select(F.concat(F.lit("d"), "id").alias("doc_id"), F.lit("hot hot").alias("text"))
     rows = jobs.invert_words(docs, block_size=50).collect()
     found = [doc for r in rows for doc in r["doc_ids"].split(",")]
+    assert [d for r in sorted(rows, key=lambda r: r["block"]) for d in r["doc_ids"].split(",")] == sorted(found)
     assert len(rows) == 10 and sorted(found) == sorted(f"d{i}" for i in range(500))
     assert max(len(r["doc_ids"].split(",")) for r in rows) < 100
 
