@@ -259,6 +259,17 @@ def test_similar_sets_share_a_signature():
             assert partenum.least_difference(partenum.sketch_of(a), partenum.sketch_of(b)) <= len(np.setxor1d(a, b))
 
 
+def test_parities_never_exceed_the_difference(spark):
+    rng, rows = np.random.default_rng(3), []
+    for n in [*range(1, 60), 120, 300, 1000]:
+        a = np.unique(partenum.mix(rng.integers(0, 2**63, n).astype(np.uint64)))
+        b = np.unique(np.concatenate([a[: n - n // 10], partenum.mix(rng.integers(0, 2**63, n // 8 + 1).astype(np.uint64))]))
+        rows.append((partenum.parity_bits(a).tolist(), partenum.parity_bits(b).tolist(), len(np.setxor1d(a, b))))
+    table = spark.createDataFrame(rows, "a array<long>, b array<long>, n int")
+    found = table.select(partenum.least_odd(F.col("a"), F.col("b")).alias("least"), "n").collect()
+    assert all(0 <= r.least <= r.n for r in found)
+
+
 def test_decoding():
     corpus = "the idiot was a stupid clown and the moron is pathetic and the loser of the trash bag " * 50
     data = np.frombuffer(corpus.encode(), np.uint8)
