@@ -46,9 +46,10 @@ def _byte_letters() -> dict[str, int]:
 
 
 class Encoder:
-    """Ids of a byte-level BPE vocabulary file of ``tokenizers``, without special tokens.
+    """Ids of a byte-level BPE vocabulary file of ``tokenizers``, with no special tokens added around a text.
 
-    The same merges run in ``tiktoken``, which is several times faster; texts it can't take go to ``tokenizers``.
+    The same merges run in ``tiktoken``, which is several times faster; texts that hold one of the file's added
+    tokens, which become its id, and texts that ``tiktoken`` can't take go to ``tokenizers``.
     """
 
     def __init__(self, path: str) -> None:
@@ -58,10 +59,13 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
         letters, special = _byte_letters(), {t["content"] for t in model["added_tokens"]}
+        self._added = sorted(special)
         ranks = {bytes(letters[c] for c in t): i for t, i in model["model"]["vocab"].items() if t not in special}
         self._fast = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> list[int]:
+        if any(token in text for token in self._added):
+            return self.slow_ids(text)
         try:
             return self._fast.encode_ordinary(text)
         except BaseException as error:  # a panic of the library is no Exception
@@ -74,7 +78,6 @@ class Encoder:
             from tokenizers import Tokenizer
 
             self._slow = Tokenizer.from_file(self.path)
-            self._slow.encode_special_tokens = True
         return self._slow.encode(text, add_special_tokens=False).ids
 
 

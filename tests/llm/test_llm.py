@@ -228,6 +228,17 @@ def test_ids_equal_the_tokenizers_library(text):
     assert encoder.ids(text) == encoder.slow_ids(text)
 
 
+@pytest.mark.parametrize("text", ["a <|endoftext|> x", "<|endoftext|>", "a  <|endoftext|>\n<|endoftext|><|endoftext|>é", "<|endoftext| >", "plain text"])
+def test_added_tokens_get_their_id(spark, text):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer()
+    want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert packing.Encoder(path).ids(text) == want
+    found = packing.pieces_of(spark.createDataFrame([(1, text)], "doc_id long, text string"), path, keep_ids=True).collect()
+    assert [(r.start, r.length, r.ids) for r in found] == [(0, len(want) + 1, [*want, 2])]
+
+
 def test_jaccard_components(docs, empty, texts):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets = {}
