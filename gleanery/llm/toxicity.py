@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ SEPARATORS = ".-_*~ "
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 SIDE = 28  # 0: edge or gap, 1 to 26: letters, 27: any other letter
 COSTS = {"plain": 0.05, "leet": 1.5, "kept": 6.0, "dropped": 1.0, "repeat": 1.0}
-LONGEST = 48  # characters decoded at once; a longer string is read in pieces
+JOINED = 24  # letters of a part of short words read as one; their whole reading has any length
 
 _CLASS = np.zeros(256, np.int64)
 _CLASS[128:] = 27
@@ -75,79 +76,138 @@ def language_model(counts: np.ndarray) -> np.ndarray:
     return np.log(p3)
 
 
-def viterbi(text: str, model: np.ndarray) -> str:
-    """The likeliest reading of a string: each character is itself, stands for a letter, or is left out."""
-    # A state is the last two classes; of each, the cheapest reading so far and its last characters.
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for c in text.lower():
-        step: dict[tuple[int, int], tuple[float, str]] = {}
+def _channel(c: str) -> tuple[int, tuple[tuple[str, int], ...], float | None]:
+    """A character's own class, the letters it may stand for, and the cost of leaving it out."""
+    leave = COSTS["dropped"] + (0 if c in SEPARATORS else 1.5) if c in SEPARATORS or c in LEET else None
+    return letter_class(c), tuple((x, letter_class(x)) for x in LEET.get(c, "")), leave
+
+
+_CHANNEL = {chr(i): _channel(chr(i)) for i in range(128)}
+_OTHER = _channel("\x80")
 
-        def offer(state: tuple[int, int], cost: float, reading: str) -> None:
-            if state not in step or cost < step[state][0]:
-                step[state] = (cost, reading)
 
-        own = letter_class(c)
-        for (a, b), (cost, reading) in states.items():
+def viterbi(text: str, costs: list[float]) -> list[str]:
+    """What each character becomes in the likeliest reading: itself, a letter it stands for, or nothing.
+
+    ``costs`` are the negative logarithms of the character model. Texts of any length are read in one go.
+    """
+    # A state is the last two classes; of each, the cheapest reading so far, as a chain of (before, character).
+    plain, leet, kept, repeat = (COSTS[k] for k in ("plain", "leet", "kept", "repeat"))
+    states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
+    other = ""
+    for c in text.lower():
+        step: dict[int, tuple[float, tuple | None]] = {}
+        own, letters, leave = _CHANNEL.get(c, _OTHER)
+        offers: list[tuple[int, float, tuple]] = []
+        offer = offers.append
+        # The last letter of a reading is that of its last class; class 27 has many, of which the last can't be left out.
+        again = own < 27 or c == other
+        for state, (cost, path) in states.items():
+            b = state % SIDE
             if own:
-                offer((b, own), cost + COSTS["plain"] - model[a, b, own], reading + c)
-                if reading and reading[-1] == c:
-                    offer((a, b), cost + COSTS["repeat"], reading)
+                offer((b * SIDE + own, cost + plain + costs[state * SIDE + own], (path, c)))
+                if b == own and again:
+                    offer((state, cost + repeat, (path, "")))
             else:
-                for letter in LEET.get(c, ""):
-                    to = letter_class(letter)
-                    offer((b, to), cost + COSTS["leet"] - model[a, b, to], reading + letter)
-                    if reading and reading[-1] == letter:
-                        offer((a, b), cost + COSTS["leet"] + COSTS["repeat"], reading)
-                if c in SEPARATORS or c in LEET:
-                    offer((a, b), cost + COSTS["dropped"] + (0 if c in SEPARATORS else 1.5), reading)
-                offer((b, 0), cost + COSTS["kept"] - model[a, b, 0], reading + " ")
+                for letter, to in letters:
+                    offer((b * SIDE + to, cost + leet + costs[state * SIDE + to], (path, letter)))
+                    if b == to:
+                        offer((state, cost + leet + repeat, (path, "")))
+                if leave is not None:
+                    offer((state, cost + leave, (path, "")))
+                offer((b * SIDE, cost + kept + costs[state * SIDE], (path, " ")))
+        for state, cost, path in offers:
+            if state not in step or cost < step[state][0]:
+                step[state] = (cost, path)
+        if own == 27:
+            other = c
         states = step
-    ends = ((cost - model[a, b, 0], reading) for (a, b), (cost, reading) in states.items())
-    return min(ends, default=(0.0, ""))[1]
+    path = min(states.items(), key=lambda s: s[1][0] + costs[s[0] * SIDE])[1][1]
+    out = []
+    while path:
+        path, c = path
+        out.append(c)
+    return out[::-1]
 
 
 def decoded(text: str, model: np.ndarray) -> str:
-    return "".join(viterbi(text[i : i + LONGEST], model) for i in range(0, len(text), LONGEST))
+    return "".join(viterbi(text, (-model).ravel().tolist()))
+
+
+def restored(text: str, costs: list[float]) -> str:
+    """The reading of a string, or nothing if it is the string. Of words read as one, also parts from word to word."""
+    text = text.lower()
+    reading = viterbi(text, costs)
+    found = ["".join(reading)]
+    if found[0] == text:
+        return ""
+    if " " in text:
+        parts = [""]
+        for c, into in zip(text, reading):
+            if c == " ":
+                parts.append("")
+            parts[-1] += into
+        for first in range(len(parts)):
+            joined = parts[first].strip()
+            for part in parts[first + 1 :]:
+                joined += part
+                if len(joined) > JOINED or " " in joined:
+                    break
+                found.append(joined)
+    return " ".join(dict.fromkeys(found))
 
 
 def suspects(texts: pa.Array) -> list[list[str]]:
-    """Strings of each text that may be disguised words."""
+    """Strings of each text that may be disguised words.
+
+    Words with a letter and a sign of ``LEET``, a letter twice in a row, or separators between characters; rows of three or
+    more words of one or two characters, which may have separators around and between them. A word of signs alone is a number.
+    """
+    texts = pc.utf8_lower(texts)
     data, offsets = buffers(texts)
     out: list[list[str]] = [[] for _ in range(len(texts))]
     if len(data) < 3:
         return out
-    letter, sign, digit = _CLASS[data] > 0, _SIGN[data], _DIGIT[data]
-    plain = letter & (data < 128)
-    folded = data | np.where(plain, 32, 0).astype(np.uint8)
-    odd = np.zeros(len(data), bool)
-    odd[1:] |= sign[:-1] & letter[1:]
-    odd[1:] |= letter[:-1] & digit[1:]
-    odd[2:] |= plain[2:] & (folded[2:] == folded[1:-1]) & (folded[2:] == folded[:-2])
-    words = words_of(texts)
-    seen = np.concatenate([[0], np.cumsum(odd)])
-    marked = seen[words.end] > seen[words.start]
-    # Letters set apart inside a word: letter, separator, letter, separator, letter.
+    letter, sign, gap = _CLASS[data] > 0, _SIGN[data], _SEPARATES[data] & (data != 32)
+    unit, begins = letter | sign, (data & 0xC0) != 0x80
+    twice = np.zeros(len(data), bool)
+    for n, of in enumerate((data < 128, data >> 5 == 6, data >> 4 == 14, data >> 3 == 30), 1):
+        same = letter[: -2 * n + 1] & of[: -2 * n + 1] if len(data) >= 2 * n else np.zeros(0, bool)
+        for i in range(n if len(same) else 0):
+            same = same & (data[i : i + len(same)] == data[i + n : i + n + len(same)])
+        twice[n : n + len(same)] |= same
+    # Units with nothing but separators before them, and then another unit.
+    units, gaps = np.flatnonzero(unit), np.concatenate([[0], np.cumsum(gap)])
     apart = np.zeros(len(data), bool)
+    far = np.diff(units)
+    apart[units[1:][(far > 1) & (gaps[units[1:]] - gaps[units[:-1]] == far - 1)]] = True
+    words = words_of(texts)
+
+    def count(of: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(of)])
+        return total[words.end] - total[words.start]
+
+    marked = (count(letter) > 0) & (count(sign | twice | apart) > 0)
+    # Single characters set apart may be signs alone.
+    signs = np.zeros(len(data), bool)
     if len(data) >= 5:
-        unit, gap = letter | sign, _SEPARATES[data]
-        apart[:-4] = unit[:-4] & gap[1:-3] & unit[2:-2] & gap[3:-1] & unit[4:]
-    seen = np.concatenate([[0], np.cumsum(apart & (data != 32))])
-    marked |= seen[words.end] > seen[words.start]
+        signs[:-4] = unit[:-4] & gap[1:-3] & unit[2:-2] & gap[3:-1] & unit[4:]
+    marked |= count(signs) > 0
     doc = words.doc_of()
     for w in np.flatnonzero(marked).tolist():
         out[doc[w]].append(data[words.start[w] : words.end[w]].tobytes().decode())
-    # Words of one character in a row.
-    single = (words.end - words.start) == 1
-    single &= (letter | sign)[words.start] if len(words.start) else single
-    edge = np.diff(np.concatenate([[0], (single & True).astype(np.int8), [0]]))
-    for begin, end in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()):
-        while begin < end:
-            stop = begin
-            while stop < end and doc[stop] == doc[begin]:
-                stop += 1
-            if stop - begin >= 4:
-                out[doc[begin]].append(" ".join(chr(c) for c in data[words.start[begin:stop]]))
-            begin = stop
+    # Short words in a row, and rows of single characters inside it.
+    clean, n_units = count(unit | gap) == words.end - words.start, count(unit & begins)
+    for most in (2, 1):
+        short = clean & (n_units <= most)
+        edge = np.diff(np.concatenate([[0], short.astype(np.int8), [0]]))
+        for begin, end in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()):
+            while begin < end:
+                stop = min(end, int(words.first[doc[begin] + 1]))
+                if np.count_nonzero(n_units[begin:stop]) >= 3:
+                    row = " ".join(data[words.start[w] : words.end[w]].tobytes().decode() for w in range(begin, stop))
+                    out[doc[begin]].append(row)
+                begin = stop
     return out
 
 
@@ -189,17 +249,20 @@ class Model:
     def score(self, texts: pa.Array, cache: dict[str, str]) -> np.ndarray:
         total = self.weight_of(texts)
         found = suspects(texts)
-        restored = []
+        costs = (-self.characters).ravel().tolist()
+        readings = []
         for strings in found:
-            for s in strings:
+            changed = []
+            for s in dict.fromkeys(strings):
                 if s not in cache:
                     if len(cache) > 200_000:
                         cache.clear()
-                    cache[s] = decoded(s, self.characters)
-            changed = (cache[s] for s in strings if cache[s] != s.lower())
-            restored.append(" ".join(changed))
-        if any(restored):
-            total = np.maximum(total, self.weight_of(pa.array(restored, pa.string())))
+                    cache[s] = restored(s, costs)
+                if cache[s]:
+                    changed.append(cache[s])
+            readings.append(" ".join(changed))
+        if any(readings):
+            total = np.maximum(total, self.weight_of(pa.array(readings, pa.string())))
         return 1 / (1 + np.exp(-np.clip(self.prior + total, -30, 30)))
 
 

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -289,6 +290,28 @@ def test_decoding():
         assert toxicity.decoded(disguised, model) == plain
 
 
+DISGUISED = ["idio+", "a$$", "cla$$", "iddioot", "i--d--i--o--t", "i.. d.. i.. o.. t", "id i ot", "o i d", "he is an id i ot", "\u00e9\u00e9n"]
+
+
+@pytest.mark.parametrize("text", DISGUISED)
+def test_strings_the_lattice_could_change_are_suspects(text):
+    found = toxicity.suspects(pa.array(["plain words here", text, None, f"{text}\nplain", "much, 1984 done."]))
+    assert found[0] == found[2] == found[4] == []
+    assert text in found[1] and text in found[3]
+
+
+def test_a_word_behind_many_characters_is_read_whole():
+    corpus = "the idiot was a stupid clown and the moron is pathetic and the loser of the trash bag " * 50
+    data = np.frombuffer(corpus.encode(), np.uint8)
+    model = toxicity.language_model(toxicity.trigram_counts(data, np.array([0, len(data)])))
+    for lead in range(40, 50):
+        assert toxicity.decoded("," * lead + "st0pidm0r0n", model).split()[-1].endswith("moron")
+        assert toxicity.decoded("," * lead + "stuuupid", model).split()[-1] == "stupid"
+    costs = (-model).ravel().tolist()
+    assert "idiot" in toxicity.restored("is an id i ot", costs).split()
+    assert len(toxicity.decoded("i.d.1.0.t," * 20_000, model).split()) == 20_000
+
+
 def test_toxicity_held_out(spark):
     rows = queries.op10_toxicity(spark, "/root/testdata/sf0.1").toPandas()
     held = rows[rows["held_out"]].merge(spark.read.parquet("/root/testdata/sf0.1/labels.parquet").toPandas(), on="doc_id")
