@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from gleanery.llm.common import fields, only
 from gleanery.llm.quality_knn import labelled_sample
-from gleanery.llm.words import buffers, byte_hashes, in_chunks, sequences, words_of
+from gleanery.llm.words import buffers, byte_hashes, in_chunks, mix, spans_hash, words_of
 from gleanery.session import stage
 
 SAMPLE = 20_000  # labelled texts of each label at most
@@ -267,16 +267,11 @@ class Model:
 
 
 def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add the least five-word fingerprint of each text, which most near copies share."""
+    """Add a fingerprint of all words of each text in their order, equal for copies only."""
     for batch in in_chunks(batches, "text"):
         words = words_of(batch.column("text"), lower=True)
-        index, hashes = sequences(words, 5)
-        mark = words.first[:-1].astype(np.uint64) - words.first[1:].astype(np.uint64)
-        doc = np.searchsorted(words.first, index, side="right") - 1
-        least = np.full(len(mark), np.uint64(2**64 - 1))
-        np.minimum.at(least, doc, hashes)
-        known = least < np.uint64(2**64 - 1)
-        mark = np.where(known, least, mark).astype(np.int64)
+        first, last = words.first[:-1], words.first[1:]
+        mark = mix(spans_hash(words.hash, first, last) + mix((last - first).astype(np.uint64))).astype(np.int64)
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(mark)], names=[*batch.schema.names, "mark"])
 
 
@@ -318,7 +313,7 @@ def character_model(docs: DataFrame) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = SAMPLE) -> Model:
     """Lexicon from at most ``most`` labelled texts of each label that are not held out; characters from all texts."""
     sample, shares = labelled_sample(docs, labels, label, most)
-    # Copies of one text would make its rare words look toxic.
+    # Copies of one text would make its rare words look toxic. Copies have the same features, so any of them may stay.
     sample = sample.mapInArrow(_marked, "text string, label int, mark long").dropDuplicates(["mark", "label"])
     sample = stage(sample.select("text", "label"), "toxicity-sample")
     sizes = {int(r[0]): int(r[1]) for r in sample.groupBy("label").count().collect()}

@@ -312,6 +312,15 @@ def test_a_word_behind_many_characters_is_read_whole():
     assert len(toxicity.decoded("i.d.1.0.t," * 20_000, model).split()) == 20_000
 
 
+def test_different_texts_are_all_learnt_from():
+    shared = "all of them have this same line"
+    texts = ["idiot", "moron", "Idiot", "you clown", "you moron", *(f"{shared} text{i}" for i in range(50)), f"{shared}  TEXT7", "", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([1] * len(texts), pa.int32())], names=["text", "label"])
+    marks = [m for out in toxicity._marked(iter([batch])) for m in out.column("mark").to_pylist()]
+    assert len(marks) == len(texts) and len(set(marks)) == 55
+    assert marks[0] == marks[2] and marks[12] == marks[55] and marks[56] == marks[57]
+
+
 def test_toxicity_held_out(spark):
     rows = queries.op10_toxicity(spark, "/root/testdata/sf0.1").toPandas()
     held = rows[rows["held_out"]].merge(spark.read.parquet("/root/testdata/sf0.1/labels.parquet").toPandas(), on="doc_id")
