@@ -27,7 +27,6 @@ HEX = re.compile(r"[0-9a-f]+")
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"api_key", b"apikey")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 KINDS = (*LEAST, "markov")
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 
 SIDE = len(ALPHABET) + 1  # class 0 is the edge of a token
@@ -36,6 +35,8 @@ UNIFORM = 0.5  # part of uniformly random strings in the random model
 
 _CLASS = np.zeros(256, np.int64)
 _CLASS[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(1, SIDE)
+_JOINS = np.zeros(256, bool)
+_JOINS[np.frombuffer(b"/_=-+", np.uint8)] = True
 _IS_HEX = np.zeros(256, bool)
 _IS_HEX[np.frombuffer(b"0123456789abcdef", np.uint8)] = True
 
@@ -82,67 +83,138 @@ def base_spans(text: str, assign: bool = True, access: bool = True, hexes: bool
     return sorted(found)
 
 
-_SCHEMA = pa.schema([
-    ("row_id", pa.int64()), ("doc_id", pa.int64()), ("base", pa.list_(pa.list_(pa.int32()))),
-    ("tokens", pa.list_(pa.string())), ("starts", pa.list_(pa.int32())), ("random", pa.list_(pa.int64())), ("ordinary", pa.list_(pa.int64())),
-])
-_SHAPE = (
-    "row_id long, doc_id long, base array<array<int>>, tokens array<string>, starts array<int>, random array<bigint>, ordinary array<bigint>"
-)
-
-
-def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pattern spans and candidate tokens of each text; last, one row with the task's pair counts."""
-    random, ordinary = np.zeros(SIDE * SIDE, np.int64), np.zeros(SIDE * SIDE, np.int64)
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, dict[int, list[tuple[int, int, int]]]]]:
+    """Batches with their bytes and offsets, and the pattern spans of the texts that have some."""
     for batch in in_chunks(batches, "text"):
-        data, offsets = buffers(batch.column("text"))
+        texts = batch.column("text")
+        data, offsets = buffers(texts)
         hexes = _has_run(data, offsets, _IS_HEX, LEAST["hex"])
-        long = _has_run(data, offsets, _CLASS > 0, 20)
-        ordinary += pairs_of(data)
         lowered, whole = data.tobytes().lower(), data.tobytes()
         hits = {k: any(w in lowered for w in KEYWORDS) if k == "assign" else b"AKIA" in whole for k in ("assign", "access")}
-        out = {name: [] for name in _SCHEMA.names}
-        texts = batch.column("text")
-        for d, (row_id, doc_id) in enumerate(zip(batch.column("row_id").to_pylist(), batch.column("doc_id").to_pylist())):
+        found = {}
+        for d in range(batch.num_rows) if any(hits.values()) else sorted(hexes):
             low, high = int(offsets[d]), int(offsets[d + 1])
             assign = hits["assign"] and any(lowered.find(w, low, high) >= 0 for w in KEYWORDS)
             access = hits["access"] and whole.find(b"AKIA", low, high) >= 0
-            base, tokens, starts = [], [], []
-            if assign or access or d in hexes or d in long:
-                text = texts[d].as_py()
-                base = base_spans(text, assign, access, d in hexes)
-                for start, kind, end in base:
-                    value = text[start:end]
-                    if kind == 0:
-                        value = ASSIGN.match(value)[2]
-                    counts = pairs_of(value.encode())
-                    random += counts
-                    ordinary -= counts
-                for m in TOKEN.finditer(text) if d in long else ():
-                    if all(end <= m.start() or start >= m.end() for start, _, end in base):
-                        tokens.append(m[0])
-                        starts.append(m.start())
-            for name, value in zip(out, (row_id, doc_id, [list(s) for s in base], tokens, starts, None, None)):
-                out[name].append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in _SCHEMA], schema=_SCHEMA)
-    last = [None, None, None, None, None, random, np.maximum(ordinary, 0)]
-    yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(last, _SCHEMA)], schema=_SCHEMA)
-
-
-def _score(table: np.ndarray, threshold: float):
+            if assign or access or d in hexes:
+                base = base_spans(texts[d].as_py() or "", assign, access, d in hexes)
+                if base:
+                    found[d] = base
+        yield batch, data, offsets, found
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row with the task's pair counts."""
+    random, ordinary = np.zeros(SIDE * SIDE, np.int64), np.zeros(SIDE * SIDE, np.int64)
+    for batch, data, _, found in _chunks(batches):
+        ordinary += pairs_of(data)
+        for d, base in found.items():
+            text = batch.column("text")[d].as_py()
+            for start, kind, end in base:
+                value = text[start:end]
+                if kind == 0:
+                    value = ASSIGN.match(value)[2]
+                counts = pairs_of(value.encode())
+                random += counts
+                ordinary -= counts
+    kind = pa.list_(pa.int64())
+    yield pa.RecordBatch.from_arrays([pa.array([random], kind), pa.array([np.maximum(ordinary, 0)], kind)], names=["random", "ordinary"])
+
+
+def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the tokens of all texts, of any length."""
+    inside = _CLASS[data] > 0
+    begins, ends = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    ends[:-1] &= ~inside[1:]
+    edges = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(data))]
+    begins[edges] = inside[edges]
+    ends[edges - 1] = inside[edges - 1]
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+
+
+def hopeful(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray, threshold: float) -> np.ndarray:
+    """Numbers of the tokens that may hold a run above the threshold; no other token does."""
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    # Each token has an edge before and behind it.
+    size = ends - starts + 2
+    first = np.cumsum(size) - size
+    classes = np.zeros(int(size.sum()), np.int64)
+    at = np.arange(len(classes)) - np.repeat(first, size)
+    here = (at > 0) & (at <= np.repeat(size - 2, size))
+    classes[here] = _CLASS[data[(np.repeat(starts - 1, size) + at)[here]]]
+    ratios = np.zeros(len(classes))
+    ratios[1:] = table[classes[:-1], classes[1:]]
+    ratios[first] = 0
+    gains = np.add.reduceat(np.maximum(ratios, 0), first)
+    # A token whose positive ratios do not add up to the threshold has no run; few are left.
+    return np.flatnonzero(gains > threshold)
+
+
+def random_runs(ratios: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Disjoint runs of ratios, ``[first, last]``, whose sum exceeds the threshold, from left to right."""
+    # A run ends where its sum is greatest, before the sum falls to nothing or by as much as the threshold.
+    found, total, best, start, end = [], 0.0, 0.0, 0, 0
+    for i, r in enumerate(ratios.tolist()):
+        if total <= 0:
+            total, best, start = 0.0, 0.0, i
+        total += r
+        if total > best:
+            best, end = total, i
+        if best > threshold and (total <= 0 or total < best - threshold):
+            found.append((start, end))
+            total = best = 0.0
+        elif total <= 0:
+            best = 0.0
+    if best > threshold:
+        found.append((start, end))
+    return found
+
+
+def markov_spans(token: bytes, base: list[tuple[int, int]], table: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """What looks random in a token, outside the pattern spans ``base``.
+
+    A run above the threshold is widened to the next sign that joins parts of names, so its ends are not cut off. Pattern
+    spans add to a run, whose rest is then given.
+    """
+    data = np.frombuffer(token, np.uint8)
+    classes = np.concatenate([[0], _CLASS[data], [0]])
+    joins = np.flatnonzero(_JOINS[data])
+    out: list[tuple[int, int]] = []
+    for first, last in random_runs(table[classes[:-1], classes[1:]], threshold):
+        # Characters with both their pairs in the run; those at its ends, if signs, only divide it from names.
+        inner = first + np.flatnonzero(~_JOINS[data[first:last]])
+        low, high = (int(inner[0]), int(inner[-1]) + 1) if len(inner) else (max(first - 1, 0), min(last + 1, len(data)))
+        before, after = int(np.searchsorted(joins, low)), int(np.searchsorted(joins, high))
+        low = int(joins[before - 1]) + 1 if before else 0
+        high = int(joins[after]) if after < len(joins) else len(data)
+        low = max(low, out[-1][1] if out else 0)
+        for start, end in [*sorted(base), (len(data), len(data))]:
+            if low < min(start, high):
+                out.append((low, min(start, high)))
+            low = max(low, end)
+    return out
+
+
+def _scan(table: np.ndarray, threshold: float):
     schema = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("spans", pa.list_(pa.list_(pa.int32())))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = []
-            for base, tokens, starts in zip(*(batch.column(c).to_pylist() for c in ("base", "tokens", "starts"))):
-                extra = []
-                for token, start in zip(tokens, starts):
-                    classes = np.concatenate([[0], _CLASS[np.frombuffer(token.encode(), np.uint8)], [0]])
-                    if table[classes[:-1], classes[1:]].sum() > threshold:
-                        extra.append([start, KINDS.index("markov"), start + len(token)])
-                spans.append(sorted(base + extra))
-            yield pa.RecordBatch.from_arrays([batch.column("row_id"), batch.column("doc_id"), pa.array(spans, schema[2].type)], schema=schema)
+        for batch, data, offsets, found in _chunks(batches):
+            spans = [[list(s) for s in found.get(d, ())] for d in range(batch.num_rows)]
+            starts, ends = _tokens(data, offsets)
+            chosen = hopeful(data, starts, ends, table, threshold)
+            doc = np.searchsorted(offsets, starts[chosen], side="right") - 1
+            # Bytes that begin a character, so that places count code points.
+            places = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+            for d, low, high in zip(doc.tolist(), starts[chosen].tolist(), ends[chosen].tolist()):
+                at = int(places[low] - places[offsets[d]])
+                base = [(a - at, b - at) for a, _, b in found.get(d, ()) if b > at and a < at + high - low]
+                for a, b in markov_spans(data[low:high].tobytes(), base, table, threshold):
+                    spans[d].append([at + a, KINDS.index("markov"), at + b])
+            spans = pa.array([sorted(s) for s in spans], schema[2].type)
+            yield pa.RecordBatch.from_arrays([batch.column("row_id"), batch.column("doc_id"), spans], schema=schema)
 
     return run
 
@@ -151,20 +223,20 @@ def secret_spans(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(row_id, doc_id, spans)`` for every row of ``docs (row_id, doc_id, text)``.
 
     ``spans`` are arrays (start, kind, end) in code points, in order; kinds are numbered as in ``KINDS``. Pattern
-    kinds may overlap each other; Markov spans are whole tokens that meet no pattern span. Null and empty
-    texts have none, and repeated rows are scanned one by one.
+    kinds may overlap each other; Markov spans are the random runs of tokens of any length, without what pattern
+    spans cover. Null and empty texts have none, and repeated rows are scanned one by one.
     """
-    found = stage(docs.select("row_id", F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_find, _SHAPE), "secrets")
+    docs = docs.select("row_id", F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
+    found = stage(docs.mapInArrow(_count, "random array<bigint>, ordinary array<bigint>"), "secrets")
     counts = {}
     for name in ("random", "ordinary"):
         # As many rows as there are pairs of characters.
-        summed = found.where(f"{name} is not null").select(F.posexplode(name)).groupBy("pos").agg(F.sum("col").alias("n")).collect()
+        summed = found.select(F.posexplode(name)).groupBy("pos").agg(F.sum("col").alias("n")).collect()
         counts[name] = np.zeros(SIDE * SIDE, np.int64)
         for pos, n in summed:
             counts[name][pos] = n
     table = log_ratio(counts["random"], counts["ordinary"])
-    rows = found.where("base is not null").select("row_id", "doc_id", "base", "tokens", "starts")
-    return rows.mapInArrow(_score(table, threshold), "row_id long, doc_id long, spans array<array<int>>")
+    return docs.mapInArrow(_scan(table, threshold), "row_id long, doc_id long, spans array<array<int>>")
 
 
 def report(spans: DataFrame) -> DataFrame:

@@ -73,6 +73,37 @@ def test_secrets(spark, docs, empty):
     assert secret_scan.redacted(empty).count() == 0
 
 
+def test_random_parts_of_tokens_are_found(spark):
+    rng = np.random.default_rng(4)
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
+    plain = "users/home/projects/documents/the-long-name-of-a-project"
+    keys = {i + n: "".join(rng.choice(letters, n)) for n in (16, 17, 18, 19, 24) for i in (100, 1100)}
+    inside = {i: keys.pop(i) for i in [*keys] if i > 1000}
+    hidden = {1: "deadbeefdeadbeefDEADBEEFCAFEBABE", 2: "Zk9" + "0a1f" * 4 + "Xw7Qp", 3: "qAKIA" + "Q7Z2" * 4 + "zT4bN8", **keys}
+    cases = {**hidden, **{i: f"{plain}/{k}/{plain}" for i, k in inside.items()}, 5: plain, 6: f"see {plain} twice"}
+    filler = [(10_000 + i, f"{plain} {plain.upper()} see twice {i % 7}") for i in range(300)]
+    corpus = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.col("doc_id") + 100_000, "text")
+    rows = spark.createDataFrame([*cases.items(), *filler], "doc_id long, text string").unionAll(corpus)
+    spans = {r.doc_id: r.spans for r in secret_scan.secret_spans(rows.withColumn("row_id", F.lit(0).cast("long"))).collect()}
+    found = {r.doc_id: r.text for r in secret_scan.redacted(rows).collect()}
+    assert {i: found[i] for i in hidden} == dict.fromkeys(hidden, "[secret]")
+    assert all(k not in found[i] and "[secret]" in found[i] for i, k in inside.items())
+    assert all(found[i].startswith("users/home/projects/documents/") and found[i].endswith(plain[6:]) for i in inside)
+    assert found[5] == plain and found[6] == f"see {plain} twice"
+    assert all(a >= d or b <= c for i in hidden for a, k, b in spans[i] if k == 3 for c, o, d in spans[i] if o < 3)
+
+
+def test_runs_above_the_threshold():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        ratios = rng.normal(0, 4, 40)
+        sums = np.concatenate([[0], np.cumsum(ratios)])
+        best = max(sums[j] - sums[i] for i in range(41) for j in range(i, 41))
+        runs = secret_scan.random_runs(ratios, 14.0)
+        assert bool(runs) == (best > 14) and all(ratios[a : b + 1].sum() > 14 for a, b in runs)
+        assert all(a[1] < b[0] for a, b in zip(runs, runs[1:]))
+
+
 def test_targets_and_permutation():
     assert mixing.targets([10, 10], [3, 1]) == [20, 10]
     assert mixing.targets([100, 0, 50], [1, 1, 1]) == [125, 0, 100]
