@@ -20,18 +20,25 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least doc_id of each group of near-duplicates; rows without doc_id stay."""
-    found = partenum.jaccard_components(docs).where("doc_id is not null")
-    ids = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n"))
-    ids = stage(ids.where("doc_id <> component_id or n > 1"), "near-duplicates")
-    gone, n_gone = staged_count(ids.where("doc_id <> component_id").select("doc_id"), "gone")
-    often, n_often = staged_count(ids.where("doc_id = component_id").select("doc_id"), "repeated")
-    kept = docs.join(checked(gone, n_gone, 16), "doc_id", "left_anti").select(*docs.columns)
+    """The row of least doc_id of each group of near-duplicate texts; rows without doc_id stay.
+
+    A doc_id may recur with different texts: each of them is a node of its own. Of equal rows one stays.
+    """
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    keyed = docs.withColumn("_row", key)
+    found = partenum.jaccard_components(keyed.select(F.col("_row").alias("doc_id"), "text")).where("doc_id is not null")
+    ids = found.groupBy(F.col("doc_id").alias("_row")).agg(F.min("component_id").alias("component_id"), F.count("*").alias("n"))
+    names = keyed.where("_row is not null").groupBy("_row").agg(F.min(F.col("doc_id").cast("long")).alias("doc_id"))
+    ids = stage(ids.join(names, "_row"), "near-duplicates")
+    least = ids.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row")).alias("least")).select(F.col("least._row").alias("_row"))
+    gone, n_gone = staged_count(ids.join(least, "_row", "left_anti").select("_row"), "gone")
+    often, n_often = staged_count(ids.where("n > 1").join(gone, "_row", "left_anti").select("_row"), "repeated")
+    kept = keyed.join(checked(gone, n_gone, 16), "_row", "left_anti")
     if not n_often:
-        return kept
+        return kept.select(*docs.columns)
     repeated = checked(often, n_often, 16)
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionAll(once.select(*docs.columns))
+    once = kept.join(repeated, "_row", "left_semi").dropDuplicates(["_row"])
+    return kept.join(repeated, "_row", "left_anti").select(*docs.columns).unionAll(once.select(*docs.columns))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

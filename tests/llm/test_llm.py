@@ -358,6 +358,16 @@ def test_toxicity_held_out(spark):
     assert len(rows) == 10_000 and (held["predicted"] == held["toxic"]).mean() >= 0.95
 
 
+def test_each_group_of_texts_keeps_a_row(spark):
+    import corpus_pipeline
+
+    one, two, three = (" ".join(body(seed, 100)) for seed in (21, 22, 23))
+    rows = [(3, one), (5, one), (5, two), (9, two), (5, three), (5, three), (None, one), (None, one), (7, None), (7, ""), (8, "")]
+    found = corpus_pipeline.one_of_each_group(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    want = [(3, one), (5, two), (5, three), (None, one), (None, one), (7, None), (7, ""), (8, "")]
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, want))
+
+
 def test_pipeline_against_brute_force(spark):
     import corpus_pipeline
 
