@@ -37,6 +37,7 @@ from gleanery.session import stage
 
 SHINGLE = 5
 PERCENT = 80
+LEAST_PERCENT = 64  # below it similar sets may lie two bands apart and share no signature
 SKETCH = 8  # shingles for each counter of a sketch
 FOUND = "kind string, a long, b long, n long, m long, c long, id long, bucket int, hashes binary, places binary, bits array<long>"
 SETS = "name long, rep long, n long, shingles binary"
@@ -379,7 +380,10 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     named by the least doc_id reachable. Texts of fewer than ``size`` words are one shingle; null and empty
     texts have none and stay alone. Rows with the same doc_id count as one document with several texts. A
     row without doc_id links nothing; it gets the component of its equals, or null. Other columns are ignored.
+    ``percent`` must be at least 64, as the size bands link sets of neighbouring bands only.
     """
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent must be from {LEAST_PERCENT} to 100, not {percent}")
     docs = only(docs, doc_id="long", text="string")
     buckets = bucket_count(docs)
     signed = docs.mapInArrow(_emit(size, percent, buckets), FOUND)

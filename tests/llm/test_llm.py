@@ -288,6 +288,15 @@ def test_jaccard_components(docs, empty, texts):
     assert partenum.jaccard_components(empty).count() == 0
 
 
+def test_percent_below_the_bands_is_refused():
+    for percent in (63, 50, 0, 101):
+        with pytest.raises(ValueError):
+            partenum.jaccard_components(None, percent=percent)
+    for n in range(1, 5000):
+        band = lambda size: int(np.searchsorted(partenum._EDGES, size, side="right"))
+        assert band(n * 100 // partenum.LEAST_PERCENT) - band(n) <= 1
+
+
 def test_similar_sets_share_a_signature():
     rng = np.random.default_rng(2)
     for n in [*range(1, 60), 120, 300, 1000]:
