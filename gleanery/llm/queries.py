@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import mixing, packing, partenum, quality_knn, quality_rules, repeats, secret_scan, topk, toxicity, url_rules
+from gleanery.llm import alignment, mixing, packing, partenum, quality_knn, quality_rules, repeats, secret_scan, topk, toxicity, url_rules
 from gleanery.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,13 @@ def tokenizer() -> str:
     return os.environ.get("GLEANERY_TOKENIZER") or public_tokenizers.path("byte_bpe_50k.json")
 
 
+def pieces() -> str:
+    """Path of the piece vocabulary: the installed one, or ``GLEANERY_PIECES``."""
+    import public_tokenizers
+
+    return os.environ.get("GLEANERY_PIECES") or public_tokenizers.path("piece_bpe_32k.model")
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -84,5 +91,9 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op12_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf, "documents"), tokenizer(), pieces())
+
+
 def registered() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
