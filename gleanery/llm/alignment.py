@@ -18,19 +18,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import fields, only, short_batches, staged_count
+from gleanery.llm.common import only, short_batches
 from gleanery.llm.packing import Encoder, _byte_letters
 from gleanery.llm.words import in_chunks
 from gleanery.session import fan_out, stage
 
-PIECE = 16_384  # merged ends
+PIECE = 65_536  # merged ends
 REMEMBERED = 300_000  # words whose tokens a worker keeps
+RUN = 2048  # new words that are encoded at once
 PENDING = 4_000_000  # pairs that a task gathers before it passes on their counts
 FREQUENT = 1_000_000  # pairs whose counts go to every task; the others are joined
 SPACE = "▁"  # stands for a space in pieces
 
 DIGEST = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, groups_sha256 string, pairs binary, times binary"
-SLICE = "piece int, own_a int, own_b int, before long, a_ids binary, a_ends binary, b_ids binary, b_ends binary"
+SLICE = (
+    "piece int, own_a int, own_b int, before long, start_a long, start_b long, "
+    "a_ids binary, a_sizes binary, b_ids binary, b_sizes binary"
+)
 MERGED = (
     "row long, doc_id long, piece int, n_a long, n_b long, n_groups long, n_links long, head_a binary, head_b binary, "
     "body string, tail_a binary, tail_b binary, pairs binary, times binary"
@@ -133,23 +137,48 @@ class Both:
         self._known = [(np.zeros(0, np.int32), np.zeros(1, np.int64)) for _ in range(2)]
 
     def _learn(self, words: list[str]) -> None:
+        """Remember the tokens of words, encoded in runs; a run that doesn't fall apart at its words goes word by word."""
         spaced = [w for w in words if w[0] != "\n"]
-        found = dict(zip(spaced, self.b.ids(spaced)))
         lined = [w for w in words if w[0] == "\n"]
-        found |= zip(lined, self.b.after_line(lined))
-        sides: tuple[list, list] = ([], [])
-        good = []
-        for word in words:
-            text = word if word[0] == "\n" else " " + word
-            sides[0].append(self.a.ids(text))
-            sides[1].append(found[word])
-            good.append(all(self.joined(k, sides[k][-1]) == text.encode() for k in (0, 1)))
-            self._place[word] = len(self._place)
+        for at in range(0, max(len(spaced), 1), RUN):
+            run = spaced[at : at + RUN]
+            if run and at + RUN >= len(spaced):
+                run, lined = run + lined, []
+            if run:
+                self._remember(run, self._run(run) or self._one_by_one(run))
+        if lined:
+            self._remember(lined, self._one_by_one(lined))
+
+    def _remember(self, words: list[str], found: tuple[list, np.ndarray]) -> None:
+        sides, good = found
+        self._place |= zip(words, range(len(self._place), len(self._place) + len(words)))
         self._good = np.append(self._good, good)
-        for k, ids in enumerate(sides):
+        for k, (ids, counts) in enumerate(sides):
             flat, first = self._known[k]
-            counts = np.cumsum([len(i) for i in ids]) + first[-1]
-            self._known[k] = np.append(flat, np.fromiter((t for i in ids for t in i), np.int32)), np.append(first, counts)
+            self._known[k] = np.append(flat, ids), np.append(first, np.cumsum(counts) + first[-1])
+
+    def _run(self, words: list[str]) -> tuple[list, np.ndarray] | None:
+        texts = [w if w[0] == "\n" else " " + w for w in words]
+        whole = "".join(texts)
+        edges = np.cumsum([len(t.encode()) for t in texts])
+        sides = []
+        for k, ids in enumerate((self.a.ids(whole), self.b.ids([whole[1:]])[0])):
+            ends = np.cumsum(self.lengths[k][ids])
+            at = np.searchsorted(ends, edges)
+            if self.joined(k, ids) != whole.encode() or not np.array_equal(ends[at], edges):
+                return None
+            sides.append((np.array(ids, np.int32), np.diff(at + 1, prepend=0)))
+        return sides, np.ones(len(words), bool)
+
+    def _one_by_one(self, words: list[str]) -> tuple[list, np.ndarray]:
+        spaced = [w for w in words if w[0] != "\n"]
+        lined = [w for w in words if w[0] == "\n"]
+        in_b = dict(zip(spaced, self.b.ids(spaced))) | dict(zip(lined, self.b.after_line(lined)))
+        texts = [w if w[0] == "\n" else " " + w for w in words]
+        sides = [self.a.ids(t) for t in texts], [in_b[w] for w in words]
+        good = [all(self.joined(k, sides[k][n]) == t.encode() for k in (0, 1)) for n, t in enumerate(texts)]
+        flat = [(np.array([t for i in side for t in i], np.int32), [len(i) for i in side]) for side in sides]
+        return flat, np.array(good, bool)
 
     def joined(self, side: int, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes[side].__getitem__, ids))
@@ -279,22 +308,37 @@ def _batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
 
 def _arrow(ddl: str) -> pa.Schema:
     kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
-    return pa.schema([(f.name, kinds[{"bigint": "long"}.get(t := f.dataType.simpleString(), t)]) for f in fields(ddl)])
+    return pa.schema([(name, kinds[kind]) for name, kind in (column.split() for column in ddl.split(","))])
 
 
 def _slices(a: Side, b: Side, text: int, size: int) -> Iterator[dict]:
-    """The pieces of one text."""
+    """The pieces of one text; ends are kept as sizes of tokens behind a start."""
     (a_ids, a_ends), (b_ids, b_ends) = ((s.ids[s.first[text] : s.first[text + 1]], s.ends[s.first[text] : s.first[text + 1]]) for s in (a, b))
     total = len(a_ids) + len(b_ids)
     steps = np.append(np.arange(0, total, size), total)
     in_a = diagonal(a_ends, b_ends, steps)
     in_b = steps - in_a
     for piece, (x, x_end, y, y_end) in enumerate(zip(in_a, in_a[1:], in_b, in_b[1:])):
-        yield {
-            "piece": piece, "own_a": int(x_end - x), "own_b": int(y_end - y), "before": int(a_ends[x - 1]) if x else -1,
-            "a_ids": a_ids[x : x_end + 1].tobytes(), "a_ends": a_ends[x : x_end + 1].tobytes(),
-            "b_ids": b_ids[y : y_end + 1].tobytes(), "b_ends": b_ends[y : y_end + 1].tobytes(),
-        }
+        before = int(a_ends[x - 1]) if x else -1
+        out = {"piece": piece, "own_a": int(x_end - x), "own_b": int(y_end - y), "before": before}
+        for name, ids, ends, first, last in (("a", a_ids, a_ends, x, x_end + 1), ("b", b_ids, b_ends, y, y_end + 1)):
+            start = int(ends[first - 1]) if first else 0
+            out |= {f"start_{name}": start, f"{name}_ids": _small(ids[first:last]), f"{name}_sizes": _small(np.diff(ends[first:last], prepend=start))}
+        yield out
+
+
+def _small(numbers: np.ndarray) -> bytes:
+    """As 16-bit numbers where they fit, after a mark of their width."""
+    kind = np.uint16 if len(numbers) == 0 or numbers.max() < 2**16 else np.uint64
+    return bytes([kind().itemsize]) + numbers.astype(kind).tobytes()
+
+
+def _read(small: bytes) -> np.ndarray:
+    return np.frombuffer(small, np.uint16 if small[0] == 2 else np.uint64, offset=1).astype(np.int64)
+
+
+def _ends(row: dict, side: str) -> np.ndarray:
+    return np.cumsum(_read(row[f"{side}_sizes"])) + row[f"start_{side}"]
 
 
 def _tokenised(paths: tuple[str, str], size: int, keep_groups: bool):
@@ -342,8 +386,8 @@ def _merged(paths: tuple[str, str]):
         both = _both(paths)
         for batch in batches:
             for row in batch.to_pylist():
-                a_ids, b_ids = np.frombuffer(row["a_ids"], np.int32), np.frombuffer(row["b_ids"], np.int32)
-                a_ends, b_ends = np.frombuffer(row["a_ends"], np.int64), np.frombuffer(row["b_ends"], np.int64)
+                a_ids, b_ids = _read(row["a_ids"]), _read(row["b_ids"])
+                a_ends, b_ends = _ends(row, "a"), _ends(row, "b")
                 own_a, own_b = row["own_a"], row["own_b"]
                 found = merge(a_ids, a_ends, b_ids, b_ends, own_a, own_b, row["before"])
                 pairs, times = _counted(both, np.zeros(len(found.a), np.int64), found.a, found.b, 1)
@@ -353,8 +397,8 @@ def _merged(paths: tuple[str, str]):
                 if len(found.cut_a):
                     first_a, first_b, last_a, last_b = (int(c[n]) for n in (0, -1) for c in (found.cut_a, found.cut_b))
                 body = _shown(both, a_ids[first_a:last_a], b_ids[first_b:last_b], found.cut_a[1:] - first_a, found.cut_b[1:] - first_b)
-                out |= {"head_a": a_ids[:first_a].tobytes(), "head_b": b_ids[:first_b].tobytes(), "body": "".join(body)}
-                out |= {"tail_a": a_ids[last_a:own_a].tobytes(), "tail_b": b_ids[last_b:own_b].tobytes()}
+                out |= {"head_a": _small(a_ids[:first_a]), "head_b": _small(b_ids[:first_b]), "body": "".join(body)}
+                out |= {"tail_a": _small(a_ids[last_a:own_a]), "tail_b": _small(b_ids[last_b:own_b])}
                 yield _batch([out], schema)
 
     return run
@@ -366,11 +410,11 @@ def stitched(parts: pd.DataFrame) -> str:
     open_a: list[int] = []
     open_b: list[int] = []
     for part in parts.sort_values("piece").itertuples():
-        open_a += np.frombuffer(part.head_a, np.int32).tolist()
-        open_b += np.frombuffer(part.head_b, np.int32).tolist()
+        open_a += _read(part.head_a).tolist()
+        open_b += _read(part.head_b).tolist()
         if part.n_groups:
             out += [",".join(map(str, open_a)), "|", ",".join(map(str, open_b)), ";", part.body]
-            open_a, open_b = (np.frombuffer(x, np.int32).tolist() for x in (part.tail_a, part.tail_b))
+            open_a, open_b = _read(part.tail_a).tolist(), _read(part.tail_b).tolist()
     return "".join(out)[:-1]
 
 
@@ -460,9 +504,10 @@ def tokens_merged(docs: DataFrame, a_path: str, b_path: str, piece: int = PIECE,
     rows = fan_out(only(docs, doc_id="long", text="string")).withColumn("row", F.monotonically_increasing_id())
     with short_batches(spark, 256):
         made = stage(rows.mapInArrow(_tokenised(paths, piece, keep_groups), f"{DIGEST}, {SLICE}"), "tokens")
-    names = [f.name for f in fields(DIGEST)]
+    names = _arrow(DIGEST).names
     whole = made.where("piece is null").select(*names)
-    slices, n_slices = staged_count(made.where("piece is not null").drop(*(n for n in names if n not in ("row", "doc_id"))), "slices")
+    slices = made.where("piece is not null").drop(*(n for n in names if n not in ("row", "doc_id")))
+    n_slices = slices.count()
     if not n_slices:
         return whole
     with short_batches(spark, 16):

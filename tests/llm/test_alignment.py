@@ -174,13 +174,13 @@ def test_pieces_merge_like_the_whole(a, b, size):
     for part in alignment._slices(side(a_ids, a_ends), side(b_ids, b_ends), 0, size):
         own_a, own_b = part["own_a"], part["own_b"]
         assert own_a + own_b <= size
-        x, y = np.frombuffer(part["a_ids"], np.int32), np.frombuffer(part["b_ids"], np.int32)
-        found = merge(x, np.frombuffer(part["a_ends"], np.int64), y, np.frombuffer(part["b_ends"], np.int64), own_a, own_b, part["before"])
+        x, y = alignment._read(part["a_ids"]), alignment._read(part["b_ids"])
+        found = merge(x, alignment._ends(part, "a"), y, alignment._ends(part, "b"), own_a, own_b, part["before"])
         links += zip(found.a.tolist(), found.b.tolist())
         cuts = list(zip(found.cut_a.tolist(), found.cut_b.tolist()))
         (fa, fb), (la, lb) = (cuts[0], cuts[-1]) if cuts else ((own_a, own_b),) * 2
         body = "".join(f"{','.join(map(str, x[p:q]))}|{','.join(map(str, y[r:s]))};" for (p, r), (q, s) in zip(cuts, cuts[1:]))
-        rows.append((part["piece"], len(cuts), x[:fa].tobytes(), y[:fb].tobytes(), body, x[la:own_a].tobytes(), y[lb:own_b].tobytes()))
+        rows.append((part["piece"], len(cuts), *map(alignment._small, (x[:fa], y[:fb])), body, *map(alignment._small, (x[la:own_a], y[lb:own_b]))))
     starts = lambda e: [0, *e[:-1]]
     wanted = [(i, 100 + j) for i, (p, q) in enumerate(zip(starts(a_ends), a_ends)) for j, (r, s) in enumerate(zip(starts(b_ends), b_ends)) if p < s and r < q]
     assert sorted(links) == sorted(wanted)
