@@ -119,5 +119,26 @@ FROM docs d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach r ON r.doc_id =
 """
 
 
+def op13_hard_negatives() -> str:
+    return """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM vectors a JOIN vectors c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT * FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+FROM positives p JOIN scores n ON p.anchor_id = n.anchor_id AND NOT n.same
+WHERE 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5
+"""
+
+
 def registered() -> dict[str, str]:
     return {name: f() for name, f in globals().items() if name.startswith("op")}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import alignment, mixing, packing, partenum, quality_knn, quality_rules, repeats, secret_scan, topk, toxicity, url_rules
+from gleanery.llm import alignment, mixing, negatives, packing, partenum, quality_knn, quality_rules, repeats, secret_scan, topk, toxicity, url_rules, vantage
 from gleanery.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,9 +91,20 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return vantage.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op12_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return alignment.aligned(table(spark, sf, "documents"), tokenizer(), pieces())
 
 
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return negatives.hard_negatives(rows, rows.where("vec_id % 100 = 0"))
+
+
 def registered() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
