@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.text import tokens
+from gleanery.functions.urls import let
 from gleanery.operators.joins import lookup_join, union_all
 from gleanery.operators.ranking import rank_all
-from gleanery.session import spread_by, stage
+from gleanery.session import fan_out, stage
 
 BLOCK_SIZE = 10_000
 
@@ -18,19 +19,29 @@ def tokenize(pages: DataFrame) -> DataFrame:
     return pages.select("url", tokens(F.col("content")).alias("tokens"))
 
 
+def term_counts(content: Column) -> Column:
+    """Distinct tokens of a text with their numbers, ``array<struct<term, tf>>`` in order of the term.
+
+    The tokens are sorted and equal neighbours counted: the last place of each run, less that of the run before.
+    """
+    def runs(ordered: Column) -> Column:
+        places = F.sequence(F.lit(1), F.size(ordered))
+        last = F.filter(places, lambda i: F.get(ordered, i - 1) != F.coalesce(F.get(ordered, i), F.lit("")))
+        return F.when(F.size(ordered) > 0, let(last, lambda ends: F.transform(ends, lambda end, n: F.struct(
+            F.get(ordered, end - 1).alias("term"),
+            (end - F.coalesce(F.get(ends, n - 1), F.lit(0))).cast("bigint").alias("tf"),
+        )))).otherwise(F.array().cast("array<struct<term: string, tf: bigint>>"))
+
+    return let(F.sort_array(tokens(content)), runs)
+
+
 def term_frequency(pages: DataFrame) -> DataFrame:
-    """``(term, url, tf)``.
+    """``(term, url, tf)`` of a page table with one row per URL.
 
-    Pages are distributed by URL first. That one exchange moves each text once, evens out large and
-    small input files, and makes the count per (term, url) local: no exchange of the far more
-    numerous pairs is needed.
+    A page is counted inside its row, so nothing is exchanged; a small input is spread over the cores.
     """
-    return (
-        spread_by(pages.select("url", "content"), "url")
-        .select(F.explode(tokens(F.col("content"))).alias("term"), "url")
-        .groupBy("term", "url")
-        .agg(F.count("*").alias("tf"))
-    )
+    counted = fan_out(pages.select("url", "content")).select("url", F.explode(term_counts(F.col("content"))).alias("count"))
+    return counted.select("count.term", "url", "count.tf")
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:

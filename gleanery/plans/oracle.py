@@ -190,6 +190,8 @@ FROM placed GROUP BY term, block""",
         "index_stats": f"""WITH {POSTINGS}
 SELECT CAST(docs AS BIGINT) AS docs_count, (SELECT CAST(count(*) AS BIGINT) FROM df) AS terms_count FROM size""",
         "write_index": ALL_POSTINGS,
+        "incremental_index": ALL_POSTINGS,
+        "incremental_search": _search(_asked()),
         "grep_index": f"""WITH {POSTINGS}
 SELECT term, url, tf, df, round(tfidf, 6) AS tfidf FROM postings
 QUALIFY max(contains(term, '{NEEDLE}') OR contains(url, '{NEEDLE}')) OVER (PARTITION BY term)""",
@@ -252,6 +254,7 @@ SELECT url FROM queued ORDER BY first, url LIMIT 1000""",
         "stream_completion_rate": f"WITH {WINDOWS} SELECT window_start, completed FROM lengths WHERE completed > 0",
         "stream_upsert_pages": LATEST,
         "stream_index_refresh": ALL_POSTINGS,
+        "stream_segments": ALL_POSTINGS,
         "stream_requeue": _in_flight(
             "SELECT date_trunc('milliseconds', max(ts)) FROM log WHERE kind IN ('dispatch', 'complete')"
         ),

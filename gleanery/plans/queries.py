@@ -18,6 +18,7 @@ from gleanery.operators import frontier, index, metrics, pages, search
 from gleanery.operators import words as word_jobs
 from gleanery.session import fan_out, fresh_path, stage
 from gleanery.sources import tables
+from gleanery.sources.incremental import IncrementalIndex, read_incremental, refresh
 from gleanery.sources.index_store import SavedIndex, read_index, write_index
 from gleanery.streaming import jobs
 
@@ -45,6 +46,7 @@ LINK_RULE = AllowRule(domain="example.com", path_prefix="/")
 STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 _indexes: dict[tuple[str, str], SavedIndex] = {}
+_segments: dict[tuple[str, str], IncrementalIndex] = {}
 _terms: dict[tuple[str, str], str] = {}
 
 
@@ -177,6 +179,36 @@ def write_and_read_index(spark, sf):
     return _postings(read_index(spark, path).postings())
 
 
+def refreshed_index(spark: SparkSession, sf: str) -> IncrementalIndex:
+    """An index of all documents after three refreshes, kept for the application.
+
+    The first knows every document by an earlier text, and a page beside each that is later removed. The others bring the
+    texts of today, first the English ones, then all others together with outdated versions of the English ones.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _segments:
+        docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").cast("string").alias("url"), "text", "lang", "source")
+        english = F.coalesce(F.col("lang") == "en", F.lit(False))
+        at = lambda hour: instant(AS_OF) + F.expr(f"interval {hour} hours")
+        earlier = docs.select("url", F.concat_ws(" ", F.lit("earlier version"), "lang", "source", "url").alias("content"), at(1).alias("last_scraped"))
+        beside = docs.select(F.concat(F.lit("beside-"), "url").alias("url"), F.lit("a page that goes").alias("content"), at(1).alias("last_scraped"))
+        today = docs.select("url", F.col("text").alias("content"), at(3).alias("last_scraped"), english.alias("english"))
+        path = fresh_path(spark, "segments")
+        refresh(earlier.unionByName(beside), path, fan=2)
+        refresh(today.filter("english").drop("english"), path, fan=2)
+        outdated = earlier.withColumn("last_scraped", at(2))
+        _segments[key] = refresh(today.filter("not english").drop("english").unionByName(outdated), path, removed=beside, fan=2)
+    return _segments[key]
+
+
+def incremental_index(spark, sf):
+    return _postings(refreshed_index(spark, sf).postings())
+
+
+def incremental_search(spark, sf):
+    return _results(search.in_order(search.ranked_search(refreshed_index(spark, sf), asked(spark))))
+
+
 def grep_index(spark, sf):
     return _postings(search.grep_index(saved_index(spark, sf).postings(), NEEDLE))
 
@@ -422,6 +454,17 @@ def stream_index_refresh(spark, sf):
     return _postings(read_index(spark, path).postings())
 
 
+def stream_segments(spark, sf):
+    arriving = _stream(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("url"),
+        F.col("text").alias("content"),
+        instant(AS_OF).alias("last_scraped"),
+    )
+    path = fresh_path(spark, "stream-segments")
+    jobs.refresh_segments(arriving, path, once=True).awaitTermination()
+    return _postings(read_incremental(spark, path).postings())
+
+
 def stream_requeue(spark, sf):
     out = fresh_path(spark, "stream-requeue")
     jobs.requeue(as_log(_stream(spark, sf, "events")), out, HOUR, late="0 seconds", once=True).awaitTermination()
@@ -438,6 +481,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "inverted_index": inverted_index,
         "index_stats": index_stats,
         "write_index": write_and_read_index,
+        "incremental_index": incremental_index,
+        "incremental_search": incremental_search,
         "grep_index": grep_index,
         "ranked_search": ranked_search,
         "search_exact": search_exact,
@@ -472,5 +517,6 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_completion_rate": stream_completion_rate,
         "stream_upsert_pages": stream_upsert_pages,
         "stream_index_refresh": stream_index_refresh,
+        "stream_segments": stream_segments,
         "stream_requeue": stream_requeue,
     }

@@ -83,11 +83,6 @@ def partitions_for(df: DataFrame, target_mb: int = 64) -> int:
     return max(2 * spark.sparkContext.defaultParallelism, min(wanted, MAX_PARTITIONS))
 
 
-def spread_by(df: DataFrame, *keys: str | Column) -> DataFrame:
-    """Hash-distribute by a key of many values, so that later groupings on it stay local."""
-    return df.repartition(partitions_for(df), *keys)
-
-
 def fan_out(df: DataFrame, per_core_mb: int = 32) -> DataFrame:
     """Spread a small input over all cores; an input with enough for every core stays as it is.
 

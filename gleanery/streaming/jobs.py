@@ -17,6 +17,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from gleanery.operators.frontier import REQUEUE_SECONDS, latest_pages
 from gleanery.operators.metrics import SAMPLE_SECONDS, window_number, window_start
+from gleanery.sources.incremental import refresh
 from gleanery.sources.index_store import write_index
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -138,6 +139,18 @@ def refresh_index(pages: DataFrame, store: str, index: str, once: bool = False,
     return _start(_per_batch(pages, "append", rebuild), spark, once, every, checkpoint, store)
 
 
+def refresh_segments(pages: DataFrame, index: str, once: bool = False, every: int = REFRESH_SECONDS,
+                     checkpoint: str | None = None) -> StreamingQuery:
+    """Write arriving pages ``(url, content, last_scraped)`` into the segments of an index, batch by batch.
+
+    Unlike :func:`refresh_index` this reads no page twice. A batch that is run again replaces its own pages.
+    """
+    def write(batch: DataFrame, _: int) -> None:
+        refresh(batch, index)
+
+    return _start(_per_batch(pages, "append", write), pages.sparkSession, once, every, checkpoint, index)
+
+
 def requeue(log: DataFrame, out: str, seconds: int = REQUEUE_SECONDS, late: str = "1 minute",
             once: bool = False, every: int = REQUEUE_SECONDS, checkpoint: str | None = None) -> StreamingQuery:
     """URLs not completed within ``seconds`` of their dispatch, as ``(url, dispatched_at)``.

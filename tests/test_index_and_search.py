@@ -214,8 +214,16 @@ def test_frequent_terms_fill_several_files(spark, tmp_path, monkeypatch):
     assert saved.postings().count() == 800 and saved.postings().filter("term = 'w7'").count() == 1
 
 
-def test_term_frequency_moves_each_text_once(spark):
+def test_term_frequency_counts_inside_the_row(spark):
     docs = read_documents(spark, f"{SF}/documents.parquet")
     plan = index.term_frequency(docs)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "hashpartitioning(url" in plan
+    assert "hashpartitioning" not in plan and "Aggregate" not in plan
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+
+
+@pytest.mark.parametrize("text, counts", [
+    ("b a b", [("a", 1), ("b", 2)]), ("one", [("one", 1)]), ("x X x", [("x", 3)]), ("", []), (None, []), ("--- \n", []), ("ab a ab", [("a", 1), ("ab", 2)]),
+])
+def test_term_counts(spark, text, counts):
+    row = spark.createDataFrame([(text,)], "content string").select(index.term_counts(F.col("content")).alias("n")).first()
+    assert [tuple(n) for n in row["n"]] == counts
