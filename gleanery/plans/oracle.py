@@ -62,6 +62,9 @@ def _search(asked: str, where: str = "TRUE") -> str:
 SELECT query_id, match_kind, url, round(score, 6) AS score, tokens FROM results WHERE {where}"""
 
 
+TOP10 = f"""WITH {_results(_asked())}
+SELECT query_id, match_kind, url, round(score, 6) AS score, tokens, rank FROM ranked WHERE rank <= 10"""
+
 RESPONSE = f"""WITH {_results(_asked())},
 parts AS (
   SELECT query_id, CASE WHEN rank > 10 THEN 'more_' ELSE '' END || match_kind AS section,
@@ -198,8 +201,8 @@ QUALIFY max(contains(term, '{NEEDLE}') OR contains(url, '{NEEDLE}')) OVER (PARTI
         "ranked_search": _search(_asked()),
         "search_exact": _search(_asked(), "match_kind = 'exact'"),
         "search_partial": _search(_asked(), "match_kind = 'partial'"),
-        "search_top10": f"""WITH {_results(_asked())}
-SELECT query_id, match_kind, url, round(score, 6) AS score, tokens, rank FROM ranked WHERE rank <= 10""",
+        "search_top10": TOP10,
+        "search_top10_bounded": TOP10,
         "search_prompt_view": f"""WITH {_results(_asked())}
 SELECT query_id, match_kind, rank, url, format('{{:.4f}}', score) AS shown FROM ranked WHERE rank <= 11""",
         "search_response": RESPONSE,

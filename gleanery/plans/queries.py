@@ -16,8 +16,10 @@ from gleanery.functions.text import words
 from gleanery.functions.urls import AllowRule, canonical, with_scheme
 from gleanery.operators import frontier, index, metrics, pages, search
 from gleanery.operators import words as word_jobs
+from gleanery.operators.top_search import top_search
 from gleanery.session import fan_out, fresh_path, stage
 from gleanery.sources import tables
+from gleanery.sources.banded_index import BandedIndex, write_banded
 from gleanery.sources.incremental import IncrementalIndex, read_incremental, refresh
 from gleanery.sources.index_store import SavedIndex, read_index, write_index
 from gleanery.streaming import jobs
@@ -46,6 +48,7 @@ LINK_RULE = AllowRule(domain="example.com", path_prefix="/")
 STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 _indexes: dict[tuple[str, str], SavedIndex] = {}
+_banded: dict[tuple[str, str], BandedIndex] = {}
 _segments: dict[tuple[str, str], IncrementalIndex] = {}
 _terms: dict[tuple[str, str], str] = {}
 
@@ -241,6 +244,19 @@ def search_top10(spark, sf):
     return top.withColumn("rank", F.col("rank").cast("bigint"))
 
 
+def banded_index(spark: SparkSession, sf: str) -> BandedIndex:
+    """The index of the documents in bands of like length, built once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _banded:
+        _banded[key] = write_banded(documents(spark, sf), fresh_path(spark, "banded"))
+    return _banded[key]
+
+
+def search_top10_bounded(spark, sf):
+    top = _results(top_search(banded_index(spark, sf), asked(spark)))
+    return top.withColumn("rank", F.col("rank").cast("bigint"))
+
+
 def search_prompt_view(spark, sf):
     shown = search.prompt_view(_search(spark, sf))
     return shown.select("query_id", "match_kind", F.col("rank").cast("bigint").alias("rank"), "url", "shown")
@@ -488,6 +504,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "search_exact": search_exact,
         "search_partial": search_partial,
         "search_top10": search_top10,
+        "search_top10_bounded": search_top10_bounded,
         "search_prompt_view": search_prompt_view,
         "search_response": search_response,
         "batch_terms": batch_terms,
