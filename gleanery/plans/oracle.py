@@ -269,6 +269,7 @@ SELECT url, {STAMP.format('last_scraped')} AS last_scraped FROM ages
 WHERE last_scraped IS NULL OR last_scraped <= TIMESTAMP '{AS_OF}' - INTERVAL 3600 SECOND""",
         "requeue_inflight": _in_flight(f"TIMESTAMP '{AS_OF}'"),
         "upsert_pages": LATEST,
+        "page_store_upserts": LATEST,
         "export_urls": f"""WITH {LINKS},
 queued AS (SELECT dst AS url, min(page_id) AS first FROM links GROUP BY dst)
 SELECT url FROM queued ORDER BY first, url LIMIT 1000""",
@@ -279,6 +280,7 @@ SELECT url FROM queued ORDER BY first, url LIMIT 1000""",
         "stream_seen_urls": f"WITH {LINKS} SELECT DISTINCT dst AS url FROM links",
         "stream_completion_rate": f"WITH {WINDOWS} SELECT window_start, completed FROM lengths WHERE completed > 0",
         "stream_upsert_pages": LATEST,
+        "stream_page_store": LATEST,
         "stream_index_refresh": ALL_POSTINGS,
         "stream_segments": ALL_POSTINGS,
         "stream_requeue": _in_flight(

@@ -24,6 +24,7 @@ from gleanery.sources.banded_index import BandedIndex, write_banded
 from gleanery.sources.gram_index import GramIndex, write_grams
 from gleanery.sources.incremental import IncrementalIndex, read_incremental, refresh
 from gleanery.sources.index_store import SavedIndex, read_index, write_index
+from gleanery.sources.page_store import read_store, upsert
 from gleanery.streaming import jobs
 
 QUERIES = [
@@ -453,6 +454,13 @@ def upsert_pages(spark, sf):
     return frontier.upsert_pages(store, batch).select("url", "content", stamp("last_scraped"))
 
 
+def page_store_upserts(spark, sf):
+    """The store after all versions: those of the second half first, then all of them, of which the older ones lose."""
+    versions, path = as_versions(events(spark, sf)), fresh_path(spark, "page-store")
+    upsert(versions.filter(F.col("last_scraped") >= instant(SPLIT)), path, fan=2)
+    return upsert(versions, path, fan=2).pages().select("url", "content", stamp("last_scraped"))
+
+
 def export_urls(spark, sf):
     found = pages.extract_links(raw_pages(spark, sf), "page_id")
     queued = found.groupBy(F.col("dst").alias("url")).agg(F.min("page_id").alias("enqueued_at"))
@@ -517,6 +525,12 @@ def stream_upsert_pages(spark, sf):
     return jobs.read_pages(spark, out).select("url", "content", stamp("last_scraped"))
 
 
+def stream_page_store(spark, sf):
+    path = fresh_path(spark, "stream-pages")
+    jobs.upsert_store(as_versions(_stream(spark, sf, "events")), path, once=True).awaitTermination()
+    return read_store(spark, path).pages().select("url", "content", stamp("last_scraped"))
+
+
 def stream_index_refresh(spark, sf):
     arriving = _stream(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("url"),
@@ -587,6 +601,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "recency_gate": recency_gate,
         "requeue_inflight": requeue_inflight,
         "upsert_pages": upsert_pages,
+        "page_store_upserts": page_store_upserts,
         "export_urls": export_urls,
         "completion_rate": completion_rate,
         "queue_length": queue_length,
@@ -595,6 +610,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_seen_urls": stream_seen_urls,
         "stream_completion_rate": stream_completion_rate,
         "stream_upsert_pages": stream_upsert_pages,
+        "stream_page_store": stream_page_store,
         "stream_index_refresh": stream_index_refresh,
         "stream_segments": stream_segments,
         "stream_requeue": stream_requeue,

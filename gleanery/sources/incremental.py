@@ -8,8 +8,6 @@ like size are merged into one, so there are few, and each posting is rewritten a
 
 from __future__ import annotations
 
-import math
-from collections import defaultdict
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import cached_property
@@ -21,7 +19,8 @@ from gleanery.operators.frontier import latest_pages
 from gleanery.operators.index import document_frequency, idf, term_counts
 from gleanery.operators.joins import lookup_join, union_all
 from gleanery.session import stage
-from gleanery.sources.index_store import MAX_SHARDS, MIN_SHARDS, POSTINGS_PER_SHARD, _file_system, any_of
+from gleanery.sources.index_store import MAX_SHARDS, MIN_SHARDS, POSTINGS_PER_SHARD, any_of
+from gleanery.sources.segments import Segment, commit, current, folder, like_segments, list_size, next_number, sweep
 
 FAN = 4  # segments of like size that are merged
 MAX_BROADCAST_DEAD = 1_000_000
@@ -33,20 +32,6 @@ DF = "term string, df bigint"
 DEAD = "url string, version bigint"
 
 
-@dataclass(frozen=True)
-class Segment:
-    """What a committed segment says of itself; ``docs`` is by how many pages it changes the index."""
-
-    number: int
-    docs: int
-    postings: int
-    dead: int
-    dead_bytes: int
-    shards: int
-    versions: tuple[int, ...]
-    replaces: tuple[int, ...]
-
-
 @dataclass(frozen=True)
 class IncrementalIndex:
     """The segments that make up an index at one moment, read as one table of postings."""
@@ -60,7 +45,7 @@ class IncrementalIndex:
         if not parts:
             return self.spark.createDataFrame([], ddl)
         read = self.spark.read.schema(ddl).option("basePath", f"{self.path}/{what}")
-        return read.parquet(*[_folder(self.path, what, s.number) for s in parts]).drop("segment")
+        return read.parquet(*[folder(self.path, what, s.number) for s in parts]).drop("segment")
 
     @cached_property
     def stats(self) -> dict[str, int]:
@@ -120,9 +105,7 @@ class IncrementalIndex:
 
 def read_incremental(spark: SparkSession, path: str) -> IncrementalIndex:
     """The index as of its last complete refresh; an empty one if there was none."""
-    segments = _committed(spark, path)
-    gone = {n for s in segments for n in s.replaces}
-    return IncrementalIndex(spark, path, tuple(s for s in segments if s.number not in gone))
+    return IncrementalIndex(spark, path, current(spark, path))
 
 
 def refresh(pages: DataFrame, path: str, removed: DataFrame | None = None, fan: int = FAN) -> IncrementalIndex:
@@ -135,7 +118,7 @@ def refresh(pages: DataFrame, path: str, removed: DataFrame | None = None, fan:
     """
     spark = pages.sparkSession
     index = read_incremental(spark, path)
-    _sweep(spark, path, index)
+    sweep(spark, path, ("postings", "pages", "dead", "df"))
     fresh = stage(latest_pages(pages), "fresh")
     offered = fresh.select("url", F.col("last_scraped").alias("new"), F.lit(False).alias("removed"))
     if removed is not None:
@@ -146,8 +129,8 @@ def refresh(pages: DataFrame, path: str, removed: DataFrame | None = None, fan:
     old = stage(index.pages().select("url", "version", "last_scraped").join(offered, "url"), "offered")
     ends = F.col("removed") | (F.col("last_scraped") <= F.col("new"))
     later = old.filter(~ends).select("url")
-    number = 1 + max([s.number for s in _committed(spark, path)], default=0)
-    to = lambda what: _folder(path, what, number)
+    number = next_number(spark, path)
+    to = lambda what: folder(path, what, number)
 
     counted = fresh.join(later, "url", "left_anti").select(
         "url", F.lit(number).cast("bigint").alias("version"), "last_scraped", term_counts(F.col("content")).alias("counts")
@@ -173,14 +156,11 @@ def _merged(spark: SparkSession, path: str, fan: int) -> IncrementalIndex:
     """Merge segments until no ``fan`` of them are of like size."""
     while True:
         index = read_incremental(spark, path)
-        tiers: dict[int, list[Segment]] = defaultdict(list)
-        for segment in index.segments:
-            tiers[int(math.log(max(1, segment.postings), fan))].append(segment)
-        like = next((tiers[t] for t in sorted(tiers) if len(tiers[t]) >= fan), None)
-        if like is None:
+        like = like_segments(index.segments, fan)
+        if not like:
             return index
-        number = 1 + max(s.number for s in _committed(spark, path))
-        to = lambda what, n=number: _folder(path, what, n)
+        number = next_number(spark, path)
+        to = lambda what, n=number: folder(path, what, n)
         versions = tuple(sorted(v for s in like for v in s.versions))
         index._living(index._read("pages", PAGES, like)).write.mode("overwrite").parquet(to("pages"))
         # Versions ended in the merged segments are left out above; only those in other segments are still to be known.
@@ -197,46 +177,10 @@ def _commit(
     spark: SparkSession, path: str, number: int, rows: DataFrame, dead: DataFrame, docs: int, versions: tuple, replaces: tuple
 ) -> None:
     """Write the postings of a segment, then the row that makes it visible."""
-    postings = spark.read.schema(PAGES).parquet(_folder(path, "pages", number)).agg(F.coalesce(F.sum(F.size("counts")), F.lit(0))).first()[0]
+    postings = spark.read.schema(PAGES).parquet(folder(path, "pages", number)).agg(F.coalesce(F.sum(F.size("counts")), F.lit(0))).first()[0]
     shards = int(min(MAX_SHARDS, max(MIN_SHARDS, postings // POSTINGS_PER_SHARD)))
     placed = rows.withColumn("shard", F.pmod(F.xxhash64("term"), F.lit(shards)).cast("int"))
     # Rebalancing splits the shard of a very frequent term over several files.
     dealt = placed.hint("rebalance", "shard").sortWithinPartitions("shard", "term")
-    dealt.write.mode("overwrite").partitionBy("shard").parquet(_folder(path, "postings", number))
-    size = dead.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("url") + 8), F.lit(0))).first()
-    facts = [(docs, postings, int(size[0]), int(size[1]), shards, list(versions), list(replaces))]
-    ddl = "docs bigint, postings bigint, dead bigint, dead_bytes bigint, shards int, versions array<bigint>, replaces array<bigint>"
-    spark.createDataFrame(facts, ddl).coalesce(1).write.mode("overwrite").parquet(_folder(path, "stats", number))
-
-
-def _folder(path: str, what: str, number: int) -> str:
-    return f"{path}/{what}/segment={number:012d}"
-
-
-def _numbers(spark: SparkSession, path: str) -> list[int]:
-    """Complete segments: their statistics are written last."""
-    fs, root = _file_system(spark, f"{path}/stats")
-    if not fs.exists(root):
-        return []
-    names = sorted(s.getPath().getName() for s in fs.listStatus(root) if s.getPath().getName().startswith("segment="))
-    as_path = spark._jvm.org.apache.hadoop.fs.Path
-    return [int(n.split("=")[1]) for n in names if fs.exists(as_path(f"{path}/stats/{n}/_SUCCESS"))]
-
-
-def _committed(spark: SparkSession, path: str) -> list[Segment]:
-    numbers = _numbers(spark, path)
-    if not numbers:
-        return []
-    read = spark.read.option("basePath", f"{path}/stats").parquet(*[_folder(path, "stats", n) for n in numbers])
-    facts = [row.asDict() for row in read.withColumnRenamed("segment", "number").collect()]
-    found = [Segment(**f | {"versions": tuple(f["versions"]), "replaces": tuple(f["replaces"])}) for f in facts]
-    return sorted(found, key=lambda s: s.number)
-
-
-def _sweep(spark: SparkSession, path: str, index: IncrementalIndex) -> None:
-    """Remove segments that a merge of an earlier refresh has replaced."""
-    fs, _ = _file_system(spark, path)
-    kept = {s.number for s in index.segments}
-    for number in set(_numbers(spark, path)) - kept:
-        for what in ("stats", "postings", "pages", "dead", "df"):
-            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(_folder(path, what, number)), True)
+    dealt.write.mode("overwrite").partitionBy("shard").parquet(folder(path, "postings", number))
+    commit(spark, path, Segment(number, docs, int(postings), *list_size(dead), shards, tuple(versions), tuple(replaces)))

@@ -19,6 +19,7 @@ from gleanery.operators.frontier import REQUEUE_SECONDS, latest_pages
 from gleanery.operators.metrics import SAMPLE_SECONDS, window_number, window_start
 from gleanery.sources.incremental import refresh
 from gleanery.sources.index_store import write_index
+from gleanery.sources.page_store import upsert
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 REFRESH_SECONDS = 60
@@ -127,6 +128,18 @@ def read_pages(spark: SparkSession, out: str) -> DataFrame:
     return latest_pages(spark.read.parquet(out))
 
 
+def upsert_store(pages: DataFrame, store: str, once: bool = False, every: int = 5,
+                 checkpoint: str | None = None) -> StreamingQuery:
+    """Write arriving versions ``(url, content, last_scraped)`` into the segments of a page store.
+
+    Unlike with :func:`store_pages`, who reads the store afterwards does not go through every version there ever was.
+    """
+    def save(batch: DataFrame, _: int) -> None:
+        upsert(batch, store)
+
+    return _start(_per_batch(pages, "append", save), pages.sparkSession, once, every, checkpoint, store)
+
+
 def refresh_index(pages: DataFrame, store: str, index: str, once: bool = False,
                   every: int = REFRESH_SECONDS, checkpoint: str | None = None) -> StreamingQuery:
     """Store arriving pages and rebuild the index of the whole page store after each batch."""
