@@ -279,6 +279,8 @@ SELECT url FROM queued ORDER BY first, url LIMIT 1000""",
         "stream_pages": SCAN,
         "stream_seen_urls": f"WITH {LINKS} SELECT DISTINCT dst AS url FROM links",
         "stream_completion_rate": f"WITH {WINDOWS} SELECT window_start, completed FROM lengths WHERE completed > 0",
+        "stream_completion_windows": f"WITH {WINDOWS} SELECT window_start, completed FROM lengths",
+        "stream_queue_length": f"WITH {WINDOWS} SELECT window_start, queue_length FROM lengths",
         "stream_upsert_pages": LATEST,
         "stream_page_store": LATEST,
         "stream_index_refresh": ALL_POSTINGS,

@@ -26,6 +26,7 @@ from gleanery.sources.incremental import IncrementalIndex, read_incremental, ref
 from gleanery.sources.index_store import SavedIndex, read_index, write_index
 from gleanery.sources.page_store import read_store, upsert
 from gleanery.streaming import jobs
+from gleanery.streaming.series import queue_series, read_series
 
 QUERIES = [
     (1, "the"),
@@ -58,6 +59,7 @@ _banded: dict[tuple[str, str], BandedIndex] = {}
 _grams: dict[tuple[str, str], GramIndex] = {}
 _crawls: dict[tuple[str, str], DataFrame] = {}
 _segments: dict[tuple[str, str], IncrementalIndex] = {}
+_series_of: dict[tuple[str, str], str] = {}
 _terms: dict[tuple[str, str], str] = {}
 
 
@@ -519,6 +521,23 @@ def stream_completion_rate(spark, sf):
     return jobs.read_counts(spark, out).select(stamp("window_start"), "completed")
 
 
+def _series(spark, sf):
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _series_of:
+        out = fresh_path(spark, "stream-series")
+        queue_series(as_log(_stream(spark, sf, "events")), out, HOUR, once=True).awaitTermination()
+        _series_of[key] = out
+    return read_series(spark, _series_of[key])
+
+
+def stream_completion_windows(spark, sf):
+    return _series(spark, sf).select(stamp("window_start"), "completed")
+
+
+def stream_queue_length(spark, sf):
+    return _series(spark, sf).select(stamp("window_start"), "queue_length")
+
+
 def stream_upsert_pages(spark, sf):
     out = fresh_path(spark, "stream-store")
     jobs.store_pages(as_versions(_stream(spark, sf, "events")), out, once=True).awaitTermination()
@@ -609,6 +628,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_pages": stream_pages,
         "stream_seen_urls": stream_seen_urls,
         "stream_completion_rate": stream_completion_rate,
+        "stream_completion_windows": stream_completion_windows,
+        "stream_queue_length": stream_queue_length,
         "stream_upsert_pages": stream_upsert_pages,
         "stream_page_store": stream_page_store,
         "stream_index_refresh": stream_index_refresh,
