@@ -9,7 +9,7 @@ from gleanery.functions.urls import AllowRule, allowed, canonical, with_scheme
 from gleanery.operators.frontier import new_urls, offer_urls
 from gleanery.operators.joins import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS
 from gleanery.operators.pages import extract_links
-from gleanery.session import stage
+from gleanery.session import removes_stages, stage
 from gleanery.sources.index_store import _file_system
 
 
@@ -74,6 +74,7 @@ def read_frontier(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("url string, batch int").parquet(path)
 
 
+@removes_stages
 def advance_frontier(offers: DataFrame, path: str, batch: int, rule: AllowRule) -> DataFrame:
     """Write the URLs of ``offers (url)`` that are admitted and not yet seen as batch ``batch`` of the frontier at ``path``.
 

@@ -12,16 +12,16 @@ from gleanery.operators.ranking import top_k
 from gleanery.session import stage
 from gleanery.sources.banded_index import BandedIndex
 
-FIRST_RESULTS = 20  # postings for each wanted result that a query reads before it has a bar
+FIRST = 200_000  # postings that a query reads before it has a bar; a round of fewer costs more than it may spare
 SLACK = 1e-6  # scores are compared at nine decimals
 
 
-def top_search(index: BandedIndex, queries: DataFrame, k: int = FIRST_PAGE) -> DataFrame:
+def top_search(index: BandedIndex, queries: DataFrame, k: int = FIRST_PAGE, first: int = FIRST) -> DataFrame:
     """``(query_id, match_kind, url, score, tokens, rank)``: the best ``k`` pages per query and match kind.
 
-    The result is that of ranking all pages. Every query first reads the bands in which it can score highest. The k-th best
+    The result is that of ranking all pages. Every query first reads the bands in which it can score highest, about ``first`` postings. The k-th best
     score there is a bar, and of the other bands only those are read whose bound reaches it: the sum of the greatest scores
-    of the query's terms in the band. They are read in order of bound, in rounds of twice as many bands, as the bar rises.
+    of the query's terms in the band. They are read in order of bound, in rounds of four times as many bands, as the bar rises.
     A kind of match that has fewer than ``k`` results keeps the bar open, unless the query can have none of it in a band.
     Rare terms have no stored maxima; they are read first.
 
@@ -49,7 +49,7 @@ def top_search(index: BandedIndex, queries: DataFrame, k: int = FIRST_PAGE) -> D
     bounds = bounds.withColumn("in_part", F.col("bound") - F.when(F.col("whole"), F.col("least")).otherwise(0.0)).drop("least")
     by_bound = Window.partitionBy("query_id").orderBy(F.desc("bound"), F.asc("band"))
     before = F.coalesce(F.sum("postings").over(by_bound.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    bounds = bounds.withColumn("first", before < F.lit(FIRST_RESULTS * k)).withColumn("place", F.row_number().over(by_bound))
+    bounds = bounds.withColumn("first", before < F.lit(first)).withColumn("place", F.row_number().over(by_bound))
     bounds = stage(bounds, "bounds")
 
     def read(chosen: DataFrame) -> DataFrame:
@@ -66,16 +66,18 @@ def top_search(index: BandedIndex, queries: DataFrame, k: int = FIRST_PAGE) -> D
     left, step = bounds.filter("not first"), 1
     while True:
         best = _best(found, k)
+        if left.isEmpty():
+            return best
         bars = best.filter(F.col("rank") == k).groupBy("query_id").pivot("match_kind", ["exact", "partial"]).agg(F.min("score"))
         reach = left.join(n_tokens, "query_id").join(bars, "query_id", "left")
         exact = F.col("whole") & (F.col("bound") >= F.coalesce("exact", -never) - F.lit(SLACK))
         partial = (F.col("n") > 1) & (F.col("in_part") >= F.coalesce("partial", -never) - F.lit(SLACK))
         needed = reach.filter(exact | partial).select(*bounds.columns)
         left = stage(needed, "other-bands")
-        # The next bands of each query, twice as many as in the round before; the bar may spare it the rest.
+        # The next bands of each query, four times as many as in the round before; the bar may spare it the rest.
         start = left.groupBy("query_id").agg(F.min("place").alias("start"))
         left = stage(left.join(start, "query_id").withColumn("now", F.col("place") < F.col("start") + F.lit(step)).drop("start"), "next-bands")
-        now, left, step = left.filter("now"), left.filter("not now").drop("now"), 2 * step
+        now, left, step = left.filter("now"), left.filter("not now").drop("now"), 4 * step
         if now.isEmpty():
             return best
         found = union_all([stage(best.drop("rank"), "best"), stage(read(now), "results")])

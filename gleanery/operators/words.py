@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,7 @@ from gleanery.session import stage
 
 DOCS_PER_BLOCK = 10_000
 SALTS = 256
+PAIRS_PER_BATCH = 10_000
 
 
 def map_reduce(docs: DataFrame, mapper: Column, /, **reducers: Column) -> DataFrame:
@@ -40,6 +42,30 @@ def map_reduce_python(
     order or grouping. Values are combined per Arrow batch before the exchange and once more per
     slice of a key after it, so the last step sees only a few values even of a very frequent key.
     """
+    pairs = docs.select(F.explode(mapper).alias("pair")).select("pair.key", "pair.value")
+    return reduce_python(pairs, combine, value_type)
+
+
+def map_python(
+    docs: DataFrame, mapper: Callable[[object, str | None], Iterable[tuple[str, object]]], value_type: str
+) -> DataFrame:
+    """``(key, value)`` pairs that ``mapper(doc_id, text)`` yields for every document, a map step in Python.
+
+    Documents go to Python in Arrow batches and pairs come back in batches, so neither the pairs of a task nor those of a long
+    text are held at once. Null texts are passed on as ``None``; a document may yield nothing.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = (None if text is None or text != text else text for text in batch["text"])
+            pairs = (pair for doc_id, text in zip(batch["doc_id"], texts) for pair in mapper(doc_id, text))
+            while some := list(islice(pairs, PAIRS_PER_BATCH)):
+                yield pd.DataFrame(some, columns=["key", "value"])
+
+    return docs.select("doc_id", "text").mapInPandas(run, f"key string, value {value_type}")
+
+
+def reduce_python(pairs: DataFrame, combine: Callable[[pd.Series], object], value_type: str) -> DataFrame:
+    """The Python reduce step of :func:`map_reduce_python` over rows ``(key, value)``."""
     schema = f"key string, value {value_type}"
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -51,7 +77,6 @@ def map_reduce_python(
     def final(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"key": group["key"].iloc[:1], "value": [combine(group["value"])]})
 
-    pairs = docs.select(F.explode(mapper).alias("pair")).select("pair.key", "pair.value")
     slices = pairs.mapInPandas(partial, schema).repartition(
         "key", F.pmod(F.spark_partition_id(), F.lit(SALTS))
     )

@@ -79,6 +79,22 @@ SELECT CAST(query_id AS BIGINT), CASE WHEN trim(query) = '' THEN 'error' ELSE 'm
 FROM asked WHERE query_id NOT IN (SELECT query_id FROM results)"""
 
 
+# A response as JSON: empty parts are left out, tokens are letters and digits.
+RESPONSE_JSON = f"""WITH {_results(_asked())},
+parts AS (
+  SELECT query_id, CASE WHEN rank > 10 THEN 'more_' ELSE '' END || match_kind AS section,
+    CAST(CASE WHEN rank > 10 THEN (rank - 11) // {MORE} ELSE 0 END AS BIGINT) AS page, rank,
+    format('{{{{"rank":{{}},"url":"{{}}","score":"{{:.4f}}","tokens":["{{}}"]}}}}', rank, url, score, replace(tokens, ',', '","')) AS entry
+  FROM ranked),
+bodies AS (
+  SELECT query_id, section, page, '"entries":[' || string_agg(entry, ',' ORDER BY rank) || ']' AS rest FROM parts GROUP BY query_id, section, page
+  UNION ALL
+  SELECT CAST(query_id AS BIGINT), CASE WHEN trim(query) = '' THEN 'error' ELSE 'message' END, 0,
+    CASE WHEN trim(query) = '' THEN '"note":"Empty query"' ELSE '"note":"No results found"' END
+  FROM asked WHERE query_id NOT IN (SELECT query_id FROM results))
+SELECT query_id, section, page, '{{"section":"' || section || '","page":' || page || ',' || rest || '}}' AS body FROM bodies"""
+
+
 def canonical(url: str) -> str:
     """SQL for the canonical form of an absolute URL whose query needs no percent coding."""
     host = rf"lower(regexp_extract({url}, '^([a-zA-Z]+://[^/?#]*)', 1))"
@@ -220,6 +236,7 @@ SELECT needle, term, url, tf, df, round(tfidf, 6) AS tfidf FROM postings JOIN hi
         "search_prompt_view": f"""WITH {_results(_asked())}
 SELECT query_id, match_kind, rank, url, format('{{:.4f}}', score) AS shown FROM ranked WHERE rank <= 11""",
         "search_response": RESPONSE,
+        "search_response_json": RESPONSE_JSON,
         "batch_terms": f"WITH {TERMS} SELECT CAST(query_id AS BIGINT) AS query_id, query FROM asked",
         "batch_search": _search(TERMS),
         "word_count": WORD_COUNTS,
@@ -241,6 +258,17 @@ FROM (SELECT doc_id, unnest({WORDS}) AS word FROM documents) GROUP BY 1""",
         "map_reduce_python": f"""
 SELECT substr(word, 1, 1) AS key, CAST(sum(length(word)) AS BIGINT) AS value
 FROM (SELECT unnest({WORDS}) AS word FROM documents) GROUP BY 1""",
+        "map_python": f"""
+SELECT substr(word, 1, 1) AS key, CAST(count(*) AS BIGINT) AS words, CAST(sum(length(word)) AS BIGINT) AS letters
+FROM (SELECT unnest({WORDS}) AS word FROM documents) GROUP BY 1""",
+        "text_corpus": WORD_COUNTS,
+        "word_shards": f"""
+SELECT CAST(list_sum(list_transform(string_split(word, ''), lambda c: unicode(c))) % {BUCKETS} AS BIGINT) AS bucket,
+  CAST(count(*) AS BIGINT) AS words, CAST(sum(count) AS BIGINT) AS occurrences
+FROM ({WORD_COUNTS}) GROUP BY 1""",
+        "word_preview": f"""
+SELECT CAST(count(*) OVER () AS BIGINT) AS total, CAST(row_number() OVER (ORDER BY count DESC, word) AS BIGINT) AS place, word, count
+FROM ({WORD_COUNTS}) QUALIFY place <= 5""",
         "normalise_urls": f"SELECT url, {canonical('url')} AS canonical FROM pages",
         "extract_links": f"WITH {LINKS} SELECT src, dst FROM links",
         "dropped_links": f"""WITH {LINKS}
@@ -275,6 +303,9 @@ queued AS (SELECT dst AS url, min(page_id) AS first FROM links GROUP BY dst)
 SELECT url FROM queued ORDER BY first, url LIMIT 1000""",
         "completion_rate": f"WITH {WINDOWS} SELECT window_start, completed FROM lengths",
         "queue_length": f"WITH {WINDOWS} SELECT window_start, queue_length FROM lengths",
+        "index_metrics": f"""WITH {POSTINGS}
+SELECT CAST(docs AS BIGINT) AS docs_count, (SELECT CAST(count(*) AS BIGINT) FROM df) AS terms_count, true AS timed FROM size""",
+        "search_metrics": f"WITH {TERMS} SELECT query AS term, true AS timed FROM asked",
         "append_metrics": f"WITH {WINDOWS} SELECT window_start, completed, queue_length FROM lengths",
         "stream_pages": SCAN,
         "stream_seen_urls": f"WITH {LINKS} SELECT DISTINCT dst AS url FROM links",
@@ -282,6 +313,14 @@ SELECT url FROM queued ORDER BY first, url LIMIT 1000""",
         "stream_completion_windows": f"WITH {WINDOWS} SELECT window_start, completed FROM lengths",
         "stream_queue_length": f"WITH {WINDOWS} SELECT window_start, queue_length FROM lengths",
         "stream_upsert_pages": LATEST,
+        "stream_page_changes": f"""WITH versions AS (
+  SELECT CAST(user_id AS VARCHAR) AS url, props AS content, ts, CASE WHEN ts < TIMESTAMP '{SPLIT}' THEN 1 ELSE 2 END AS version
+  FROM events WHERE props <> ''),
+written AS (
+  SELECT version, url, arg_max(content, (ts, content)) AS content, max(ts) AS last FROM versions GROUP BY version, url)
+SELECT CAST(version AS BIGINT) AS version, url, content, {STAMP.format('last')} AS last_scraped,
+  CASE WHEN version = 2 AND url IN (SELECT url FROM written WHERE version = 1) THEN 'changed' ELSE 'new' END AS kind
+FROM written""",
         "stream_page_store": LATEST,
         "stream_index_refresh": ALL_POSTINGS,
         "stream_segments": ALL_POSTINGS,

@@ -7,6 +7,7 @@ that results can be compared with other engines value by value.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -290,6 +291,12 @@ def search_response(spark, sf):
     )
 
 
+def search_response_json(spark, sf):
+    """Responses as JSON texts, with scores and matched tokens of each entry."""
+    responses = search.search_response(asked(spark), _search(spark, sf), more=MORE)
+    return search.response_json(responses)
+
+
 def terms_file(spark, sf):
     """A file of search terms: the words of all questions asked in conversations, most used first."""
     key = (spark.sparkContext.applicationId, sf)
@@ -348,6 +355,38 @@ def map_reduce_python(spark, sf):
     return word_jobs.map_reduce_python(corpus(spark, sf), _initials(), lambda values: values.sum(), "bigint")
 
 
+def map_python(spark, sf):
+    """Per first letter of a word: number and total length of the words, with the map step in Python."""
+    def letters(_, text):
+        return ((word[0], len(word)) for word in (text or "").split())
+
+    pairs = word_jobs.map_python(corpus(spark, sf), letters, "bigint")
+    return pairs.groupBy("key").agg(F.count("*").alias("words"), F.sum("value").alias("letters"))
+
+
+def text_corpus(spark, sf):
+    """Words of the documents written as text files and read again line by line, with the number of lines they are on."""
+    path = fresh_path(spark, "texts")
+    tables.write_lines(corpus(spark, sf).select("text"), path)
+    lines = tables.read_corpus(spark, path)
+    return word_jobs.map_reduce(lines, words(F.col("text")), count=F.count("*")).withColumnRenamed("key", "word")
+
+
+def word_shards(spark, sf):
+    """Totals of the buckets of words, from their folders."""
+    path = fresh_path(spark, "word-shards")
+    word_jobs.write_sharded(word_jobs.shard_words(corpus(spark, sf), BUCKETS), path)
+    totals = word_jobs.bucket_totals(spark.read.parquet(path))
+    return totals.select(F.col("bucket").cast("bigint").alias("bucket"), "words", "occurrences")
+
+
+def word_preview(spark, sf):
+    """What a word job shows of its output: the number of rows, and the first five in order."""
+    counts = word_jobs.word_count(corpus(spark, sf))
+    total, first = word_jobs.preview(counts.orderBy(F.desc("count"), "word"))
+    return spark.createDataFrame([(total, n + 1, *row) for n, row in enumerate(first)], "total bigint, place bigint, word string, count bigint")
+
+
 # Pages and URLs
 
 
@@ -491,6 +530,26 @@ def append_metrics(spark, sf):
     return tables.read_csv(spark, path, rows.schema).select(stamp("window_start"), "completed", "queue_length")
 
 
+def index_metrics(spark, sf):
+    """The metrics row of an index build, written as CSV and read again; its time is only known to be one."""
+    started = time.monotonic()
+    built = write_index(documents(spark, sf), fresh_path(spark, "index"))
+    row, path = metrics.index_metrics(built, time.monotonic() - started), fresh_path(spark, "index-metrics")
+    tables.append_csv(row, path)
+    read = tables.read_csv(spark, path, row.schema)
+    return read.select("docs_count", "terms_count", ((F.col("time_taken") > 0) & F.col("timestamp").isNotNull()).alias("timed"))
+
+
+def search_metrics(spark, sf):
+    """The metrics rows of a batch of searches, written as CSV and read again."""
+    queries = stage(batch_terms(spark, sf), "batch")
+    started = time.monotonic()
+    search.top_results(search.ranked_search(saved_index(spark, sf), queries)).count()
+    rows, path = metrics.search_timings(queries, time.monotonic() - started), fresh_path(spark, "search-metrics")
+    tables.append_csv(rows, path)
+    return tables.read_csv(spark, path, rows.schema).select("term", (F.col("time_taken_s") > 0).alias("timed"))
+
+
 # Streams
 
 
@@ -550,6 +609,15 @@ def stream_page_store(spark, sf):
     return read_store(spark, path).pages().select("url", "content", stamp("last_scraped"))
 
 
+def stream_page_changes(spark, sf):
+    """The changes of a store by two upserts, followed by a stream that is started again after each."""
+    versions, store, out = as_versions(events(spark, sf)), fresh_path(spark, "changing"), fresh_path(spark, "changes")
+    for part in (F.col("last_scraped") < instant(SPLIT), F.col("last_scraped") >= instant(SPLIT)):
+        upsert(versions.filter(part), store)
+        jobs.page_changes(spark, store, out, once=True).awaitTermination()
+    return spark.read.parquet(out).select("version", "url", "kind", "content", stamp("last_scraped"))
+
+
 def stream_index_refresh(spark, sf):
     arriving = _stream(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("url"),
@@ -599,6 +667,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "search_top10_bounded": search_top10_bounded,
         "search_prompt_view": search_prompt_view,
         "search_response": search_response,
+        "search_response_json": search_response_json,
         "batch_terms": batch_terms,
         "batch_search": batch_search,
         "word_count": word_count,
@@ -606,6 +675,10 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "shard_words": shard_words,
         "map_reduce": map_reduce,
         "map_reduce_python": map_reduce_python,
+        "map_python": map_python,
+        "text_corpus": text_corpus,
+        "word_shards": word_shards,
+        "word_preview": word_preview,
         "normalise_urls": normalise_urls,
         "extract_links": extract_links,
         "dropped_links": dropped_links,
@@ -625,6 +698,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "completion_rate": completion_rate,
         "queue_length": queue_length,
         "append_metrics": append_metrics,
+        "index_metrics": index_metrics,
+        "search_metrics": search_metrics,
         "stream_pages": stream_pages,
         "stream_seen_urls": stream_seen_urls,
         "stream_completion_rate": stream_completion_rate,
@@ -632,6 +707,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_queue_length": stream_queue_length,
         "stream_upsert_pages": stream_upsert_pages,
         "stream_page_store": stream_page_store,
+        "stream_page_changes": stream_page_changes,
         "stream_index_refresh": stream_index_refresh,
         "stream_segments": stream_segments,
         "stream_requeue": stream_requeue,

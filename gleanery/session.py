@@ -5,6 +5,9 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -13,6 +16,7 @@ MAX_PARTITIONS = 100_000
 UNKNOWN_BYTES = 10**17  # beyond any table; the optimizer says so where it knows nothing
 
 _own_dirs: dict[str, str] = {}
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def build_session(app: str = "gleanery", master: str | None = None, **conf: str) -> SparkSession:
@@ -60,10 +64,34 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    paths = _staged.get()
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removes_stages(job: Callable) -> Callable:
+    """For a job that has written all it gives back when it returns: what it staged is removed then, failed or not."""
+    @wraps(job)
+    def run(*args, **kwargs):
+        paths: list[str] = []
+        before = _staged.set(paths)
+        try:
+            return job(*args, **kwargs)
+        finally:
+            _staged.reset(before)
+            for path in paths:
+                remove(SparkSession.active(), path)
+
+    return run
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
 def plan_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate, from file sizes for table scans."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from gleanery.operators.index import idf, term_counts
 from gleanery.operators.joins import lookup_join, lookup_size
-from gleanery.session import fan_out, stage
+from gleanery.session import fan_out, removes_stages, stage
 from gleanery.sources.index_store import MAX_SHARDS, POSTINGS_PER_SHARD, any_of, shard_of
 
 BANDS_PER_DOUBLING = 2
@@ -67,6 +67,7 @@ class BandedIndex:
         return self.postings().filter(F.expr(folders)).filter(any_of("term", sorted(terms)))
 
 
+@removes_stages
 def write_banded(pages: DataFrame, path: str, long: int = LONG) -> BandedIndex:
     """Write the index of ``pages (url, content)``, one row per URL, to ``path``. Pages without tokens count as documents."""
     spark = pages.sparkSession

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from gleanery.operators.frontier import latest_pages
 from gleanery.operators.index import document_frequency, idf, term_counts
 from gleanery.operators.joins import lookup_join, union_all
-from gleanery.session import stage
+from gleanery.session import removes_stages, stage
 from gleanery.sources.index_store import MAX_SHARDS, MIN_SHARDS, POSTINGS_PER_SHARD, any_of
 from gleanery.sources.segments import Segment, commit, current, folder, like_segments, list_size, next_number, sweep
 
@@ -108,6 +108,7 @@ def read_incremental(spark: SparkSession, path: str) -> IncrementalIndex:
     return IncrementalIndex(spark, path, current(spark, path))
 
 
+@removes_stages
 def refresh(pages: DataFrame, path: str, removed: DataFrame | None = None, fan: int = FAN) -> IncrementalIndex:
     """Write ``pages (url, content, last_scraped)`` over those of the index at ``path`` and take out the URLs of ``removed``.
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gleanery.operators.index import document_frequency, term_frequency, tfidf_postings
 from gleanery.operators.joins import lookup_size
-from gleanery.session import stage
+from gleanery.session import removes_stages, stage
 
 POSTINGS_PER_SHARD = 5_000_000
 POSTINGS = "term string, url string, tf bigint, df bigint, tfidf double, shard int"
@@ -70,6 +70,7 @@ class SavedIndex:
         )
 
 
+@removes_stages
 def write_index(pages: DataFrame, path: str, shards: int | None = None) -> SavedIndex | None:
     """Build the index of ``pages`` and make it the current one at ``path``.
 
@@ -98,6 +99,9 @@ def write_index(pages: DataFrame, path: str, shards: int | None = None) -> Saved
         .repartitionById(shards * parts, _part(shards, parts, per_file))
         .sortWithinPartitions("shard", "term")
         .write.partitionBy("shard")
+        # A lookup skips files in whose range a term lies without being there.
+        .option("parquet.bloom.filter.enabled#term", "true")
+        .option("parquet.bloom.filter.expected.ndv#term", str(max(100, size["keys"] // (shards * parts))))
         .parquet(f"{target}/postings")
     )
     spark.range(1).select(

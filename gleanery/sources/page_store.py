@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 
 from gleanery.operators.frontier import latest_pages
 from gleanery.operators.joins import union_all
-from gleanery.session import stage
+from gleanery.session import removes_stages, stage
 from gleanery.sources.segments import Segment, commit, current, folder, like_segments, list_size, next_number, sweep
 
 SHARDS = 64
 FAN = 4
 LIST_BYTES = 32 << 20  # of ended versions that go to every task at once
 
-PAGES = "url string, content string, last_scraped timestamp, version bigint, shard int"
+PAGES = "url string, content string, last_scraped timestamp, version bigint, first boolean, shard int"
 DEAD = "url string, version bigint, shard int"
 
 
@@ -69,6 +69,17 @@ class PageStore:
     def stored(self, chosen: Iterable[Segment] | None = None) -> DataFrame:
         return self.living(self._read("pages", PAGES, chosen))
 
+    def changes(self, versions: Iterable[int]) -> DataFrame:
+        """``(version, url, kind, content, last_scraped)`` of the pages that some versions wrote: ``new`` or ``changed``.
+
+        A page that a later version had replaced when segments were merged is left out: its place is in the later one.
+        """
+        wanted = sorted(set(versions))
+        holding = [s for s in self.segments if set(s.versions) & set(wanted)]
+        written = self._read("pages", PAGES, holding).filter(F.col("version").isin(wanted))
+        kind = F.when(F.col("first"), "new").otherwise("changed")
+        return written.select("version", "url", kind.alias("kind"), "content", "last_scraped")
+
     def pages(self) -> DataFrame:
         """``(url, content, last_scraped)``, one row per URL."""
         return self.stored().select("url", "content", "last_scraped")
@@ -79,6 +90,7 @@ def read_store(spark: SparkSession, path: str) -> PageStore:
     return PageStore(spark, path, current(spark, path))
 
 
+@removes_stages
 def upsert(batch: DataFrame, path: str, shards: int = SHARDS, fan: int = FAN) -> PageStore:
     """Write ``batch (url, content, last_scraped)`` over the pages of the store at ``path``.
 
@@ -98,7 +110,8 @@ def upsert(batch: DataFrame, path: str, shards: int = SHARDS, fan: int = FAN) ->
     number = next_number(spark, path)
     dead = old.filter(replaced).select("url", "version", "shard")
     dead.write.mode("overwrite").partitionBy("shard").parquet(folder(path, "dead", number))
-    written = fresh.join(old.filter(~replaced).select("url"), "url", "left_anti").withColumn("version", F.lit(number).cast("bigint"))
+    written = fresh.join(old.select("url", replaced.alias("replaced")), "url", "left").filter(F.coalesce("replaced", F.lit(True)))
+    written = written.withColumn("version", F.lit(number).cast("bigint")).withColumn("first", F.col("replaced").isNull())
     written = written.hint("rebalance", "shard").sortWithinPartitions("shard", "url").select(*_names())
     written.write.mode("overwrite").partitionBy("shard").parquet(folder(path, "pages", number))
     rows = spark.read.schema(PAGES).parquet(folder(path, "pages", number)).count()

@@ -19,7 +19,8 @@ from gleanery.operators.frontier import REQUEUE_SECONDS, latest_pages
 from gleanery.operators.metrics import SAMPLE_SECONDS, window_number, window_start
 from gleanery.sources.incremental import refresh
 from gleanery.sources.index_store import write_index
-from gleanery.sources.page_store import upsert
+from gleanery.sources.page_store import read_store, upsert
+from gleanery.sources.segments import FACTS
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 REFRESH_SECONDS = 60
@@ -140,6 +141,23 @@ def upsert_store(pages: DataFrame, store: str, once: bool = False, every: int =
     return _start(_per_batch(pages, "append", save), pages.sparkSession, once, every, checkpoint, store)
 
 
+def page_changes(spark: SparkSession, store: str, out: str, once: bool = False, every: int = 5,
+                 checkpoint: str | None = None) -> StreamingQuery:
+    """``(version, url, kind, content, last_scraped)`` of every page that an upsert writes into the page store ``store``.
+
+    The stream follows the statistics of the store's segments, one file for each complete upsert, so its offsets are
+    upserts: one that did not finish is not seen, and a stream that is started again goes on behind the last one it wrote.
+    """
+    facts = spark.readStream.schema(FACTS).option("basePath", f"{store}/stats").parquet(f"{store}/stats/segment=*")
+
+    def save(batch: DataFrame, number: int) -> None:
+        # A row for each upsert and merge since the last batch; merges bring no versions.
+        versions = [v for row in batch.filter(F.size("replaces") == 0).select("versions").collect() for v in row["versions"]]
+        read_store(spark, store).changes(versions).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return _start(_per_batch(facts, "append", save), spark, once, every, checkpoint, out)
+
+
 def refresh_index(pages: DataFrame, store: str, index: str, once: bool = False,
                   every: int = REFRESH_SECONDS, checkpoint: str | None = None) -> StreamingQuery:
     """Store arriving pages and rebuild the index of the whole page store after each batch."""

@@ -108,3 +108,19 @@ def test_reduce_steps_keep_null_keys(spark):
     pairs = F.array(F.struct(F.col("key").alias("key"), F.col("value").alias("value")))
     found = jobs.map_reduce_python(docs, pairs, lambda values: values.sum(), "bigint")
     assert {(r.key, r.value) for r in found.collect()} == {(None, 5), ("a", 1)}
+
+
+def test_map_step_in_python(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "PAIRS_PER_BATCH", 3)
+    docs = spark.createDataFrame([(1, "b a b"), (2, None), (3, ""), (4, "a " * 10), (5, "c")], "doc_id int, text string")
+
+    def mapper(doc_id, text):
+        assert text is None or isinstance(text, str)
+        for word in (text or "").split():
+            yield word, doc_id
+
+    pairs = jobs.map_python(docs, mapper, "bigint")
+    assert sorted((r.key, r.value) for r in pairs.collect()) == sorted([("b", 1), ("a", 1), ("b", 1), ("c", 5), *[("a", 4)] * 10])
+    most = jobs.reduce_python(pairs, lambda values: values.max(), "bigint")
+    assert sorted((r.key, r.value) for r in most.collect()) == [("a", 4), ("b", 1), ("c", 5)]
+    assert jobs.map_python(docs.limit(0), mapper, "bigint").count() == 0
