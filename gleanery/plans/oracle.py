@@ -220,6 +220,7 @@ FROM placed GROUP BY term, block""",
 SELECT CAST(docs AS BIGINT) AS docs_count, (SELECT CAST(count(*) AS BIGINT) FROM df) AS terms_count FROM size""",
         "write_index": ALL_POSTINGS,
         "incremental_index": ALL_POSTINGS,
+        "numbered_index": ALL_POSTINGS,
         "incremental_search": _search(_asked()),
         "grep_index": f"""WITH {POSTINGS}
 SELECT term, url, tf, df, round(tfidf, 6) AS tfidf FROM postings

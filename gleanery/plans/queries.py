@@ -25,6 +25,7 @@ from gleanery.sources.banded_index import BandedIndex, write_banded
 from gleanery.sources.gram_index import GramIndex, write_grams
 from gleanery.sources.incremental import IncrementalIndex, read_incremental, refresh
 from gleanery.sources.index_store import SavedIndex, read_index, write_index
+from gleanery.sources.numbered_index import write_numbered
 from gleanery.sources.page_store import read_store, upsert
 from gleanery.streaming import jobs
 from gleanery.streaming.series import queue_series, read_series
@@ -223,6 +224,10 @@ def incremental_search(spark, sf):
     return _results(search.in_order(search.ranked_search(refreshed_index(spark, sf), asked(spark))))
 
 
+def numbered_index(spark, sf):
+    return _postings(write_numbered(documents(spark, sf), fresh_path(spark, "numbered")).postings())
+
+
 def grep_index(spark, sf):
     return _postings(search.grep_index(saved_index(spark, sf).postings(), NEEDLE))
 
@@ -658,6 +663,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "write_index": write_and_read_index,
         "incremental_index": incremental_index,
         "incremental_search": incremental_search,
+        "numbered_index": numbered_index,
         "grep_index": grep_index,
         "grep_grams": grep_grams,
         "ranked_search": ranked_search,
