@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 
 from gleanery.llm.common import shuffle_parts
+from gleanery.session import MAX_PARTITIONS, MB, UNKNOWN_BYTES, plan_bytes
 
 FLUSH_BYTES = 16 << 20
 
@@ -18,8 +20,15 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def bucket_count(df: DataFrame) -> int:
-    """Four times the session's shuffle partitions, so that partitions get a similar number of buckets."""
-    return 4 * shuffle_parts(df)
+    """Sixteen times the session's shuffle partitions: a bucket, which one call holds whole, is a small part of a task."""
+    return 16 * shuffle_parts(df)
+
+
+def dealt(packed: DataFrame, docs: DataFrame, part_mb: int = 4) -> GroupedData:
+    """``packed`` grouped by bucket, in partitions for about ``part_mb`` of ``docs`` that are not merged into larger ones."""
+    size = plan_bytes(docs)
+    parts = 0 if size > UNKNOWN_BYTES else min(math.ceil(size / (part_mb * MB)), MAX_PARTITIONS)
+    return packed.repartition(max(shuffle_parts(docs), parts), "bucket").groupBy("bucket")
 
 
 def pack(hashes: np.ndarray, extras: list[np.ndarray], buckets: int) -> Iterator[tuple[int, list[bytes]]]:

@@ -4,7 +4,8 @@ Seeds: of all runs of ``ANCHOR`` words in a window of ``length`` words, the one
 the window's anchor, so equal windows have the same anchor at the same place. Documents meet on anchors.
 Extension: each anchor carries the fingerprints of its context, extended left and right to ``length`` words in
 every way that keeps it the anchor. Two occurrences of an anchor match over at least ``length`` words around it
-exactly where such an extension is equal. Adjoining matches are merged into maximal repeats.
+exactly where such an extension is equal. Adjoining matches are merged into maximal repeats. Two words of 64 bits
+must agree, those of the anchor and of the extension, so chance makes no match at any size of a corpus.
 
 A task sends each distinct extension once, so a passage in very many documents is a few entries per task, not
 one per document; pairs of occurrences are never formed.
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.buckets import bucket_count, bucket_of
+from gleanery.llm.buckets import bucket_count, bucket_of, dealt
 from gleanery.llm.common import checked, only, short_batches, small_enough, staged_count
 from gleanery.llm.words import SEGMENT, in_chunks, mix, sequences, spans_hash, words_of
 from gleanery.session import stage
@@ -44,6 +45,13 @@ def windows_of(words, length: int, anchor: int) -> tuple[np.ndarray, np.ndarray,
     return index, hashes, place, grams[place]
 
 
+def _fresh(*columns: np.ndarray) -> np.ndarray:
+    """Rows of sorted columns that differ from the row before."""
+    out = np.ones(len(columns[0]), bool)
+    out[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return out
+
+
 def _seed(length: int, anchor: int, buckets: int):
     """Runs of windows with one anchor, as rows (anchor, document, first window, windows, known).
 
@@ -60,10 +68,8 @@ def _seed(length: int, anchor: int, buckets: int):
             anchors, docs, starts, places, hashes = (np.concatenate(x) for x in zip(*parts))
             parts.clear()
             pa.default_memory_pool().release_unused()
-            order = np.argsort(hashes, kind="stable")
-            ranked = hashes[order]
-            head = np.ones(len(ranked), bool)
-            head[1:] = ranked[1:] != ranked[:-1]
+            order = np.lexsort((hashes, anchors))
+            head = _fresh(anchors[order], hashes[order])
             single = head.copy()
             single[:-1] &= head[1:]
             known, sent = np.empty(len(head), bool), np.empty(len(head), bool)
@@ -122,9 +128,13 @@ def _extend(length: int):
         _, which, often = np.unique(rows["anchor"], return_inverse=True, return_counts=True)
         seeded = np.repeat(often[which] > 1, sent)
         met = np.zeros(len(windows), bool)
-        kept = windows[seeded]
-        _, which, often = np.unique(kept, return_inverse=True, return_counts=True)
-        met[seeded] = often[which] > 1
+        at = np.flatnonzero(seeded)
+        around = np.repeat(rows["anchor"], sent)[at]
+        order = np.lexsort((windows[at], around))
+        head = _fresh(around[order], windows[at][order])
+        again = ~head
+        again[:-1] |= ~head[1:]
+        met[at[order]] = again
         full = np.zeros(count.sum(), bool)
         full[np.repeat(rows["count"] > 0, count)] = met
         offset = np.arange(len(full)) - np.repeat(np.cumsum(count) - count, count)
@@ -150,7 +160,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
         raise ValueError("length must be above anchor, by 31 at most")
     buckets = bucket_count(docs)
     packed = docs.select(F.col("row_id").alias("doc_id"), "text").mapInArrow(_seed(length, anchor, buckets), "bucket int, rows binary, windows binary")
-    spans = packed.groupBy("bucket").applyInArrow(_extend(length), "doc_id long, start long, length long")
+    spans = dealt(packed, docs).applyInArrow(_extend(length), "doc_id long, start long, length long")
     return spans.withColumnRenamed("doc_id", "row_id")
 
 
