@@ -83,5 +83,13 @@ def only(df: DataFrame, **types: str) -> DataFrame:
     return df.select(*[df[c].cast(t).alias(c) for c, t in types.items()])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it if the table has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def fields(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from gleanery.llm.common import WORD, placed, staged_count
+from gleanery.llm.common import WORD, free_name, placed, staged_count
 from gleanery.llm.words import in_chunks, mix as mixed_bits, words_of
 
 BLOCK = 256
@@ -28,7 +28,8 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST_PASSES = 2.0
 MAX_SOURCES = 100_000
-DRAWN_SLOTS = 500_000_000  # larger parts of the tree are halved in proportion
+DRAWN_SLOTS = 500_000_000  # of larger parts sources are drawn one by one, by the limits of the distribution
+RARE = 1_000_000  # slots of a source up to which its draw is binomial there
 
 
 def targets(sizes: list[int], weights: list[float], share: float = SHARE, most: float = MOST_PASSES) -> list[float]:
@@ -115,13 +116,20 @@ class Source:
 
 
 def _halved(counts: np.ndarray, take: int, seed: list[int]) -> np.ndarray:
-    total = int(counts.sum())
+    total, draws = int(counts.sum()), np.random.Generator(np.random.PCG64(seed))
     if total <= DRAWN_SLOTS:
-        return np.random.Generator(np.random.PCG64(seed)).multivariate_hypergeometric(counts, take, method="marginals")
-    share = counts * (take / total)
-    left = np.floor(share).astype(np.int64)
-    short = take - int(left.sum())
-    left[np.argsort(left - share, kind="stable")[:short]] += 1
+        return draws.multivariate_hypergeometric(counts, take, method="marginals")
+    # Each source's draw from what is left; of so many slots a rare source's is binomial, another's normal.
+    left = np.zeros_like(counts)
+    for i in np.flatnonzero(counts):
+        own, others = int(counts[i]), total - int(counts[i])
+        share = take / total
+        if own <= RARE:
+            drawn = int(draws.binomial(own, share))
+        else:
+            drawn = round(draws.normal(own * share, (own * share * (1 - share) * others / (total - 1)) ** 0.5))
+        left[i] = min(max(drawn, take - others, 0), own, take)
+        total, take = others, take - int(left[i])
     return left
 
 
@@ -208,7 +216,8 @@ def mix_sources(
                     yield pd.concat(parts)
 
     filled = spark.range(0, shards, 1, max(1, min(shards, 10_000))).mapInPandas(fill, "shard long, slot long, sid int, pass int, block long, take long")
-    pieces = cut.join(filled, ["sid", "block"]).withColumn("n_words", F.least("take", "to") - F.col("at")).where("n_words > 0")
+    # The optimizer takes a shard for one row, but it has many slots: they are merged, not broadcast.
+    pieces = cut.join(filled.hint("merge"), ["sid", "block"]).withColumn("n_words", F.least("take", "to") - F.col("at")).where("n_words > 0")
     return Mix(rows.drop("sid"), pieces.select("shard", "slot", "pass", "row_id", "text_id", "start", "n_words"))
 
 
@@ -218,11 +227,11 @@ def taken(mix: Mix) -> DataFrame:
     return mix.rows.join(sums, "row_id", "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
 
 
-def _cut_text(columns: list[str], schema: pa.Schema):
+def _cut_text(columns: list[str], schema: pa.Schema, into: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_chunks(batches, "text"):
             words, texts, row, whole = words_of(batch.column("text")), [], [], batch.column("text")
-            for d, pieces in enumerate(batch.column("pieces").to_pylist()):
+            for d, pieces in enumerate(batch.column(into).to_pylist()):
                 first, last = int(words.first[d]), int(words.first[d + 1])
                 runs: list[list[int]] = []
                 for at_pass, row_id, start, n_words in sorted(tuple(p.values()) for p in pieces):
@@ -246,11 +255,12 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as rows of ``docs``: each unbroken run of words that a pass takes of a document is one row.
 
     A document that is taken whole keeps its text unchanged; of one taken twice there are two rows. ``n_chars``,
-    where there is one, follows the text.
+    where there is one, follows the text. Null and empty texts have no words and give no row. Rows equal in doc_id and
+    text are interchangeable: other columns are those of any of them. Columns of any names stay as they are.
     """
-    mix = mix_sources(docs, **options)
-    pieces = mix.pieces.groupBy("text_id").agg(F.collect_list(F.struct("pass", "row_id", "start", "n_words")).alias("pieces"))
-    keyed = docs.withColumn("text_id", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    joined = keyed.join(pieces, "text_id").dropDuplicates(["text_id"])
+    mix, key, into = mix_sources(docs, **options), free_name(docs, "text_id"), free_name(docs, "pieces")
+    pieces = mix.pieces.groupBy(F.col("text_id").alias(key)).agg(F.collect_list(F.struct("pass", "row_id", "start", "n_words")).alias(into))
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    joined = keyed.join(pieces, key).dropDuplicates([key])
     schema = to_arrow_schema(docs.schema)
-    return joined.select(*docs.columns, "pieces").mapInArrow(_cut_text(docs.columns, schema), docs.schema)
+    return joined.select(*docs.columns, into).mapInArrow(_cut_text(docs.columns, schema, into), docs.schema)
