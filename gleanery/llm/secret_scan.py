@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from gleanery.llm.common import checked, staged_count
+from gleanery.llm.common import checked, free_name, staged_count
 from gleanery.llm.words import buffers, in_chunks
 from gleanery.session import stage
 
@@ -32,7 +32,11 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SIDE = len(ALPHABET) + 1  # class 0 is the edge of a token
 THRESHOLD = 14.0  # nats by which the random model must win
 UNIFORM = 0.5  # part of uniformly random strings in the random model
+PRIOR = 200.0  # what a pair's kinds of characters count against its own samples in the ordinary model
+MOST_PAIR = 3.0  # nats of one pair, so that a rare pair alone is no evidence
 
+# Kinds of characters: the edge of a token, upper case, lower case, digits, signs.
+_KIND = np.array([0, *np.repeat([1, 2, 3, 4], [26, 26, 10, len(ALPHABET) - 62])])
 _CLASS = np.zeros(256, np.int64)
 _CLASS[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(1, SIDE)
 _JOINS = np.zeros(256, bool)
@@ -50,14 +54,26 @@ def pairs_of(text: bytes | np.ndarray) -> np.ndarray:
 
 
 def log_ratio(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
-    """Log-likelihood ratio of each character pair, from the counts of both classes of samples."""
+    """Log-likelihood ratio of each character pair, from the counts of both classes of samples.
 
-    def chance(counts: np.ndarray, uniform: float) -> np.ndarray:
+    A pair that ordinary tokens hardly have is as likely there as pairs of its kinds are on average: a number of any
+    digits is as ordinary as other numbers.
+    """
+
+    def samples(counts: np.ndarray) -> np.ndarray:
         table = counts.reshape(SIDE, SIDE).astype(float) + 1e-3
         table[0, 0] = 1e-3  # gaps between tokens
-        return (1 - uniform) * table / table.sum(axis=1, keepdims=True) + uniform / SIDE
+        return table
+
+    def share(table: np.ndarray) -> np.ndarray:
+        return table / table.sum(axis=1, keepdims=True)
 
-    return np.log(chance(random, UNIFORM)) - np.log(chance(ordinary, 1e-4))
+    member = np.eye(_KIND.max() + 1)[_KIND]
+    plain = samples(ordinary)
+    by_kind = share(member.T @ plain @ member) / member.sum(axis=0)
+    usual = share(plain + PRIOR * by_kind[_KIND][:, _KIND])
+    unusual = (1 - UNIFORM) * share(samples(random)) + UNIFORM / SIDE
+    return np.minimum(np.log(unusual) - np.log((1 - 1e-4) * usual + 1e-4 / SIDE), MOST_PAIR)
 
 
 def _has_run(data: np.ndarray, offsets: np.ndarray, member: np.ndarray, least: int) -> set[int]:
@@ -252,18 +268,18 @@ def report(spans: DataFrame) -> DataFrame:
     )
 
 
-def _redact(mark: str, columns: list[str], schema: pa.Schema):
+def _redact(mark: str, columns: list[str], schema: pa.Schema, into: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, spans in zip(batch.column("text"), batch.column("spans").to_pylist()):
+            for text, spans in zip(batch.column("text"), batch.column(into).to_pylist()):
                 text = text.as_py()
                 for start, end in reversed(_merged(spans or [])):
                     text = text[:start] + mark + text[end:]
                 texts.append(text)
             made = {"text": pa.array(texts, pa.string())}
             if "n_chars" in columns:
-                lengths = zip(texts, batch.column("spans"), batch.column("n_chars").to_pylist())
+                lengths = zip(texts, batch.column(into), batch.column("n_chars").to_pylist())
                 made["n_chars"] = pa.array([len(t) if spans.is_valid else n for t, spans, n in lengths], pa.int64())
             arrays = [made[c] if c in made else batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(arrays, schema)], schema=schema)
@@ -282,9 +298,14 @@ def _merged(spans: list[list[int]]) -> list[tuple[int, int]]:
 
 
 def redacted(docs: DataFrame, mark: str = "[secret]", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with every secret replaced by ``mark``; all rows and columns stay, ``n_chars`` follows the text."""
-    keyed = docs.withColumn("row_id", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    spans = secret_spans(keyed, threshold).where(F.size("spans") > 0).select("row_id", "spans").dropDuplicates(["row_id"])
+    """``docs`` with every secret replaced by ``mark``; all rows and columns stay, ``n_chars`` follows the text.
+
+    Columns may have any names. Null and empty texts stay as they are, repeated rows change alike.
+    """
+    key, into = free_name(docs, "row_id"), free_name(docs, "spans")
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    spans = secret_spans(keyed.select(F.col(key).alias("row_id"), "doc_id", "text"), threshold)
+    spans = spans.where(F.size("spans") > 0).select(F.col("row_id").alias(key), F.col("spans").alias(into)).dropDuplicates([key])
     found, rows = staged_count(spans, "secret-spans")
-    joined = keyed.join(checked(found, rows, 256), "row_id", "left").select(*docs.columns, "spans")
-    return joined.mapInArrow(_redact(mark, docs.columns, to_arrow_schema(docs.schema)), docs.schema)
+    joined = keyed.join(checked(found, rows, 256), key, "left").select(*docs.columns, into)
+    return joined.mapInArrow(_redact(mark, docs.columns, to_arrow_schema(docs.schema), into), docs.schema)
