@@ -10,10 +10,11 @@ More partitions than needed (``spare``) are made, so that similar sets agree on
 them. Up to ``spare`` useless signatures of a set (of empty partitions, or shared by many) can then be
 left out without losing a link.
 
-Sets that share a signature are compared with the least of them only. Their components are found, and the
-sets of a signature that are still in different components are compared with each other, unless parities of
-their shingles already show too many differences. So no copies are expanded into pairs, and no link between
-components is lost.
+Sets that share a signature are compared with the least of them only. Their components are found. A set that is
+still apart from others of its signatures meets a few more heads, drawn for each signature, which joins most of what
+belongs together. At last the sets of a signature that are in different components are compared with each other,
+unless parities of their shingles already show too many differences. So no copies are expanded into pairs, and no
+link between components is lost.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gleanery.llm.buckets import FLUSH_BYTES, bucket_count, bucket_of, pack
+from gleanery.llm.buckets import FLUSH_BYTES, bucket_count, bucket_of, dealt, pack
 from gleanery.llm.common import checked, only, short_batches, staged_count
 from gleanery.llm.components import components
 from gleanery.llm.words import buffers, in_chunks, mix, sequences, spans_hash, words_of
@@ -39,6 +40,7 @@ SHINGLE = 5
 PERCENT = 80
 LEAST_PERCENT = 64  # below it similar sets may lie two bands apart and share no signature
 SKETCH = 8  # shingles for each counter of a sketch
+HEADS = 8  # other heads that a set meets before all that is left is compared
 FOUND = "kind string, a long, b long, n long, m long, c long, id long, bucket int, hashes binary, places binary, bits array<long>"
 SETS = "name long, rep long, n long, shingles binary"
 
@@ -347,7 +349,10 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int =
     wanted, count = staged_count(names.join(classes, "name").select("name", "rep"), "wanted-sets")
     ids = checked(wanted.select(F.col("rep").alias("doc_id")).distinct(), count, 16)
     with short_batches(docs.sparkSession):
-        sets = stage(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(size), SETS), "sets")
+        sets, rows = staged_count(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(size), SETS), "sets")
+    if rows > count:
+        # Some doc_id has several rows: one row of each set goes on, so that equal rows meet nothing twice.
+        sets = stage(sets.groupBy("name").agg(*[F.min(c).alias(c) for c in ("rep", "n", "shingles")]), "sets")
     left = pairs.join(sets.select(F.col("name").alias("a"), F.col("rep").alias("rep_a"), F.col("shingles").alias("left_set")), "a")
     right = sets.select(F.col("name").alias("b"), F.col("rep").alias("rep_b"), F.col("shingles").alias("right_set"))
     couples = left.join(right, "b").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "left_set", "right_set")
@@ -373,6 +378,25 @@ def _to_compare(members: DataFrame) -> DataFrame:
     return stage(_still_apart(ranked.where(F.col("rank") > F.col("allowed")).drop("rank", "crowd")), "apart")
 
 
+def _may_link(one: str, two: str, percent: int) -> Column:
+    """Whether sizes and parities of two sets allow a link."""
+    n, m = F.col(f"{one}n"), F.col(f"{two}n")
+    reach = F.floor((n + m) * (100 - percent) / (100 + percent))
+    return (F.greatest(n, m) * percent <= F.least(n, m) * 100) & (least_odd(F.col(f"{one}bits"), F.col(f"{two}bits")) <= reach)
+
+
+def _other_heads(apart: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of members with the heads of ``HEADS`` of their signatures; each signature draws its head."""
+    drawn = F.xxhash64("key", "name")
+    heads = apart.groupBy("key").agg(F.min(F.struct(drawn.alias("draw"), "name", "component")).alias("head"))
+    order = Window.partitionBy("name").orderBy(F.xxhash64("name", "key"), "key")
+    few = apart.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= HEADS)
+    met = few.join(heads, "key").where("component <> head.component")
+    met = met.select(F.least("name", "head.name").alias("a"), F.greatest("name", "head.name").alias("b")).distinct()
+    side = lambda end: classes.select(F.col("name").alias(end), F.struct("n", "bits").alias(f"{end}_facts"))
+    return met.join(side("a"), "a").join(side("b"), "b").where(_may_link("a_facts.", "b_facts.", percent)).select("a", "b")
+
+
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs (doc_id, text)``.
 
@@ -388,7 +412,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     buckets = bucket_count(docs)
     signed = docs.mapInArrow(_emit(size, percent, buckets), FOUND)
     with short_batches(docs.sparkSession):
-        found = stage(signed.groupBy("bucket").applyInArrow(_meet(buckets), FOUND), "signatures")
+        found = stage(dealt(signed, docs).applyInArrow(_meet(buckets), FOUND), "signatures")
     rows = found.where("kind = 'doc'").select(
         F.col("m").alias("doc_id"), "n", F.col("a").alias("name"), F.col("b").alias("other"),
         F.col("c").alias("allowed"), "id", F.col("places").alias("sketch"), "bits",
@@ -404,18 +428,25 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     links = verified(docs, pairs, classes, size, percent)
     groups = components(links)
 
-    # Sets of one signature that are still apart are compared with each other, where sizes and parities allow a link.
+    def within(pairs_of: DataFrame, groups: DataFrame) -> DataFrame:
+        """Members ``(key, name)`` with size, allowance and component."""
+        named = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+        named = named.select("name", "n", "allowed", F.coalesce("component", "rep").alias("component"))
+        return pairs_of.select("key", "name").join(named, "name")
+
     members = found.where("kind = 'member'").select(F.col("a").alias("key"), "id").join(ids, "id")
-    members = stage(members.select("key", "name").distinct(), "members")
-    named = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select("name", "n", "allowed", F.coalesce("component", "rep").alias("component"))
-    apart = _to_compare(members.join(named, "name")).join(classes.select("name", "bits"), "name")
+    apart = stage(_still_apart(within(stage(members.select("key", "name").distinct(), "members"), groups)), "apart")
+    more = _other_heads(apart, classes, percent)
+    more, count = staged_count(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
+    if count:
+        links, pairs = stage(links.unionAll(verified(docs, more, classes, size, percent)), "links"), pairs.unionAll(more)
+        groups = components(links)
+
+    # Sets of one signature that are still apart are compared with each other, where sizes and parities allow a link.
+    apart = _to_compare(within(apart, groups)).join(classes.select("name", "bits"), "name")
     one, two = apart.alias("one"), apart.alias("two")
     other = (F.col("one.name") < F.col("two.name")) & (F.col("one.component") != F.col("two.component"))
-    close = F.greatest("one.n", "two.n") * percent <= F.least("one.n", "two.n") * 100
-    reach = F.floor((F.col("one.n") + F.col("two.n")) * (100 - percent) / (100 + percent))
-    near = least_odd(F.col("one.bits"), F.col("two.bits")) <= reach
-    met = one.join(two, (F.col("one.key") == F.col("two.key")) & other & close & near)
+    met = one.join(two, (F.col("one.key") == F.col("two.key")) & other & _may_link("one.", "two.", percent))
     more = met.select(F.col("one.name").alias("a"), F.col("two.name").alias("b")).distinct()
     more, count = staged_count(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
     if count:
