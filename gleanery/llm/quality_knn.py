@@ -139,15 +139,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -
     """Texts ``(text, label)`` of rows that may be learnt from, ``most`` of each label, and the labels' shares.
 
     The choice is by a hash of the id. Labels other than 0 and 1, null ids and texts not among ``docs`` are left out.
+    Of several labels of an id the least counts, of several texts the least, so recurring ids don't widen the sample.
     """
     usable = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("label"))
-    usable = usable.where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id"))).dropDuplicates(["doc_id"])
+    usable = usable.where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
+    usable = usable.groupBy("doc_id").agg(F.min("label").alias("label"))
     counts = {int(r[0]): int(r[1]) for r in usable.groupBy("label").count().collect()}
     shares = {k: n / sum(counts.values()) for k, n in counts.items()}
     chosen = top_k(usable, ["label"], [F.xxhash64("doc_id"), F.col("doc_id")], most).select("doc_id", "label")
     chosen = stage(chosen, "labelled")
     # At most ``most`` rows of each label.
-    return only(docs, doc_id="long", text="string").join(F.broadcast(chosen), "doc_id").select("text", "label"), shares
+    found = only(docs, doc_id="long", text="string").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("text", "label"), shares
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = SAMPLE) -> Model:

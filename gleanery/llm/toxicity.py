@@ -250,19 +250,23 @@ class Model:
         total = self.weight_of(texts)
         found = suspects(texts)
         costs = (-self.characters).ravel().tolist()
-        readings = []
-        for strings in found:
-            changed = []
+        rows, readings = [], []
+        for row, strings in enumerate(found):
+            changed = {}
             for s in dict.fromkeys(strings):
                 if s not in cache:
                     if len(cache) > 200_000:
                         cache.clear()
                     cache[s] = restored(s, costs)
                 if cache[s]:
-                    changed.append(cache[s])
-            readings.append(" ".join(changed))
-        if any(readings):
-            total = np.maximum(total, self.weight_of(pa.array(readings, pa.string())))
+                    changed[s] = cache[s]
+            if changed:
+                # The restored text: readings in place of what they were read from. Words count once, in any order.
+                words = pc.utf8_lower(texts[row]).as_py().encode().split()
+                rows.append(row)
+                readings.append(" ".join([*(w for w in map(bytes.decode, dict.fromkeys(words)) if w not in changed), *changed.values()]))
+        if rows:
+            total[rows] = np.maximum(total[rows], self.weight_of(pa.array(readings, pa.string())))
         return 1 / (1 + np.exp(-np.clip(self.prior + total, -30, 30)))
 
 
