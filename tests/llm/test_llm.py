@@ -93,6 +93,34 @@ def test_random_parts_of_tokens_are_found(spark):
     assert all(a >= d or b <= c for i in hidden for a, k, b in spans[i] if k == 3 for c, o, d in spans[i] if o < 3)
 
 
+def test_numbers_are_ordinary_and_random_strings_are_found(spark):
+    rng = np.random.default_rng(6)
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    # Base patterns find none of them; every other text is as it was, with some numbers.
+    planted = {10**6 + i: "".join(rng.choice(letters, 16 + i % 17)) for i in range(200)}
+    numbers = {2 * 10**6 + i: f"in {1900 + i} there were {i * 37 % 10_000} of {i} and 3.{i}" for i in range(200)}
+    rows = [(i, f"a line of text with {k} inside") for i, k in planted.items()] + list(numbers.items())
+    both = docs.unionAll(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {r.doc_id: r for r in secret_scan.report(secret_scan.secret_spans(both.withColumn("row_id", F.lit(0).cast("long")))).collect()}
+    assert sum(found[i].n_markov > 0 for i in planted) >= 0.9 * len(planted)
+    assert not any(found[i].n_markov for i in numbers)
+    clean = [r for i, r in found.items() if i < 10**6 and not r.n_assign + r.n_access + r.n_hex]
+    assert len(clean) > 9000 and sum(r.n_markov for r in clean) <= len(clean) / 1000
+
+
+def test_base_patterns_as_the_contract_spells_them():
+    assign = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    rng = np.random.default_rng(8)
+    parts = ["password", "Token", "API_KEY", "apikey", "=", ": ", '"', "'", " ", "AKIA", "Q7Z2" * 4, "0af1" * 4, "x/y+z_.=-", "é", "\n", "f" * 15]
+    for _ in range(2000):
+        text = "".join(rng.choice(parts, rng.integers(0, 14)))
+        want = [(m.start(), 0, m.end()) for m in re.finditer(assign, text, re.I | re.A) if len(m.group(2)) >= 12]
+        want += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 18]
+        want += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 16]
+        assert secret_scan.base_spans(text) == sorted(want)
+
+
 def test_runs_above_the_threshold():
     rng = np.random.default_rng(5)
     for _ in range(200):
@@ -117,6 +145,38 @@ def test_targets_and_permutation():
     assert all(c.sum() == 64 for c, _ in shards[:-1])
 
 
+def test_draws_of_large_parts_are_whole(monkeypatch):
+    slots = np.array([100_000, 0, 77, 50_000, 3])
+    monkeypatch.setattr(mixing, "DRAWN_SLOTS", 1000)
+    monkeypatch.setattr(mixing, "RARE", 1000)
+    shards = [mixing.shard_counts(slots, s, 4096, 3)[0] for s in range(-(-int(slots.sum()) // 4096))]
+    assert sum(shards).tolist() == slots.tolist() and all(c.sum() == 4096 and (c >= 0).all() for c in shards[:-1])
+    share = np.array([c[0] for c in shards[:-1]]) / 4096
+    # The spread of independent draws, not of equal shares.
+    assert abs(share.mean() - 100_000 / slots.sum()) < 0.02 and 0.002 < share.std() < 0.03
+
+
+def test_slots_are_not_broadcast(docs):
+    plan = mixing.mix_sources(docs).pieces._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and not re.search(r"BroadcastExchange[^\n]*\n[^\n]*(\n[^\n]*)?MapInPandas", plan)
+
+
+def test_columns_that_clash_with_working_names(spark):
+    import corpus_pipeline
+
+    names = ["spans", "row_id", "pieces", "text_id", "_row", "row", "predicted", "component_id"]
+    text = " ".join(body(31, 120)) + " token=abcdefghijkl0123"
+    rows = [(i, t, "s", *[f"{n}{i}" for n in names]) for i, t in enumerate([text, text, " ".join(body(32, 90)), None, ""])]
+    docs = spark.createDataFrame([*rows, rows[0]], ", ".join(f"{n} string" if n != "doc_id" else "doc_id long" for n in ["doc_id", "text", "source", *names]))
+    for _, step in corpus_pipeline.STAGES[:4]:
+        for table in (docs, docs.limit(0)):
+            out = step(spark, table, SF)
+            assert out.columns == docs.columns
+            for row in out.collect():
+                assert [row[n] for n in names] == [f"{n}{row.doc_id}" for n in names]
+    assert corpus_pipeline.pack_sequences(spark, docs, SF).count() == 6
+
+
 def test_mixing(docs, empty, texts):
     def run():
         return mixing.taken(mixing.mix_sources(docs, block=16, shard_slots=32)).drop("row_id", "text_id").toPandas()
@@ -206,6 +266,18 @@ def test_topk(spark):
     assert topk.nearest(table.limit(0), table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("scale", [1, 10**4])
+def test_lists_read_together_give_the_best_of_each_query(scale):
+    rng = np.random.default_rng(7)
+    for rows, width, spread in ((1, 3, 5), (9, 4, 2), (700, 6, 3), (700, 16, 1000)):
+        values, asked = (rng.integers(-spread, spread + 1, (n, width)) * scale * 10 for n in (rows, 20))
+        ids, own = rng.permutation(rows), rng.integers(0, rows, 20)
+        found = {q: (at, scores) for q, at, scores in topk._read_lists(values, ids, asked, own, 10)}
+        for q in range(20):
+            want = sorted((-int(x), i) for x, i in zip(values @ asked[q], ids) if i != own[q])[:10]
+            assert [(-int(s), ids[a]) for a, s in zip(*found[q])] == want
+
+
 def test_quality_rules(docs, empty):
     found = {(str(r.doc_id), r.n_words): r for r in quality_rules.judged(docs).collect()}
     for row in docs.collect():
@@ -288,6 +360,39 @@ def test_jaccard_components(docs, empty, texts):
     assert partenum.jaccard_components(empty).count() == 0
 
 
+def test_equal_rows_make_one_link(spark):
+    one = body(41, 200)
+    two = [*one[:-4], "other", "words", "at", "last"]
+    rows = [(1, " ".join(one))] * 300 + [(2, " ".join(two))] * 300 + [(2, "one more text of this document")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    name = lambda words_: partenum.set_names(next(partenum.shingle_sets(pa.array([" ".join(words_)]))))[0]
+    facts = [(name(w), i, 196, partenum.sketch_of(next(partenum.shingle_sets(pa.array([" ".join(w)]))))) for i, w in ((1, one), (2, two))]
+    classes = spark.createDataFrame(facts, "name long, rep long, n long, sketch binary")
+    pairs = spark.createDataFrame([(name(one), name(two))], "a long, b long")
+    assert [sorted(r) for r in partenum.verified(docs, pairs, classes).collect()] == [[1, 2]]
+    assert {r.component_id for r in partenum.jaccard_components(docs).where("n_shingles > 100").collect()} == {1}
+
+
+@pytest.mark.parametrize("heads", [0, 8])
+def test_sets_near_the_threshold_keep_every_link(spark, monkeypatch, heads):
+    monkeypatch.setattr(partenum, "HEADS", heads)
+    rng, base, texts = np.random.default_rng(9), body(51, 120), []
+    for i in range(80):
+        words_ = list(base)
+        for at in rng.choice(120, rng.integers(1, 5), replace=False):
+            words_[at] = f"v{i}x{at}"
+        texts.append(words_)
+    sets = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in texts]
+    linked = [(a, b) for a in range(80) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    least = list(range(80))
+    for _ in range(80):
+        for a, b in linked:
+            least[a] = least[b] = min(least[a], least[b])
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in partenum.jaccard_components(docs).collect()} == dict(enumerate(least))
+    assert len(set(least)) > 1
+
+
 def test_percent_below_the_bands_is_refused():
     for percent in (63, 50, 0, 101):
         with pytest.raises(ValueError):
@@ -365,6 +470,18 @@ def test_toxicity_held_out(spark):
     rows = queries.op10_toxicity(spark, "/root/testdata/sf0.1").toPandas()
     held = rows[rows["held_out"]].merge(spark.read.parquet("/root/testdata/sf0.1/labels.parquet").toPandas(), on="doc_id")
     assert len(rows) == 10_000 and (held["predicted"] == held["toxic"]).mean() >= 0.95
+    print("toxic rows missed", ((held["toxic"] == 1) & (held["predicted"] == 0)).sum(), "of", held["toxic"].sum(), "others flagged", ((held["toxic"] == 0) & (held["predicted"] == 1)).sum())
+
+
+def test_a_disguised_word_adds_to_plain_ones(spark):
+    plain = [(i, f"this clown is an idiot and a moron number {i}", 1) for i in range(0, 90, 3)]
+    clean = [(i, f"this paper is about music and the weather number {i}", 0) for i in range(300, 900, 3)]
+    rows = [(i, t, y) for i, t, y in plain + clean if zlib.crc32(str(i).encode()) % 3 != 1]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    model.prior = -4.0 - max(model.weights)
+    shown, mixed, one = model.score(pa.array(["idiot moron", "idiot m0r0n", "idiot"]), {})
+    assert abs(shown - mixed) < 1e-9 and mixed > one
 
 
 def test_each_group_of_texts_keeps_a_row(spark):
