@@ -41,6 +41,7 @@ PERCENT = 80
 LEAST_PERCENT = 64  # below it similar sets may lie two bands apart and share no signature
 SKETCH = 8  # shingles for each counter of a sketch
 HEADS = 8  # other heads that a set meets before all that is left is compared
+EARLIER = 12  # signatures before one at which a pair may have met already
 FOUND = "kind string, a long, b long, n long, m long, c long, id long, bucket int, hashes binary, places binary, bits array<long>"
 SETS = "name long, rep long, n long, shingles binary"
 
@@ -378,6 +379,16 @@ def _to_compare(members: DataFrame) -> DataFrame:
     return stage(_still_apart(ranked.where(F.col("rank") > F.col("allowed")).drop("rank", "crowd")), "apart")
 
 
+def _with_earlier(members: DataFrame) -> DataFrame:
+    """Members with up to ``EARLIER`` signatures of the same set that come before, by number.
+
+    Two sets that have one of these in common meet there already. At the first signature they share they have none,
+    so each pair is still met once, and seldom more often.
+    """
+    before = Window.partitionBy("name").orderBy("key").rowsBetween(-EARLIER, -1)
+    return members.withColumn("earlier", F.collect_list("key").over(before))
+
+
 def _may_link(one: str, two: str, percent: int) -> Column:
     """Whether sizes and parities of two sets allow a link."""
     n, m = F.col(f"{one}n"), F.col(f"{two}n")
@@ -443,10 +454,11 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
         groups = components(links)
 
     # Sets of one signature that are still apart are compared with each other, where sizes and parities allow a link.
-    apart = _to_compare(within(apart, groups)).join(classes.select("name", "bits"), "name")
+    apart = _with_earlier(_to_compare(within(apart, groups))).join(classes.select("name", "bits"), "name")
     one, two = apart.alias("one"), apart.alias("two")
     other = (F.col("one.name") < F.col("two.name")) & (F.col("one.component") != F.col("two.component"))
-    met = one.join(two, (F.col("one.key") == F.col("two.key")) & other & _may_link("one.", "two.", percent))
+    first = ~F.arrays_overlap("one.earlier", "two.earlier")
+    met = one.join(two, (F.col("one.key") == F.col("two.key")) & other & _may_link("one.", "two.", percent) & first)
     more = met.select(F.col("one.name").alias("a"), F.col("two.name").alias("b")).distinct()
     more, count = staged_count(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
     if count:
