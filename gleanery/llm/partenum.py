@@ -10,11 +10,10 @@ More partitions than needed (``spare``) are made, so that similar sets agree on
 them. Up to ``spare`` useless signatures of a set (of empty partitions, or shared by many) can then be
 left out without losing a link.
 
-Sets that share a signature are compared with the least of them only. Their components are found. A set that is
-still apart from others of its signatures meets a few more heads, drawn for each signature, which joins most of what
-belongs together. At last the sets of a signature that are in different components are compared with each other,
-unless parities of their shingles already show too many differences. So no copies are expanded into pairs, and no
-link between components is lost.
+Sets that share a signature are compared with the least of them only. Their components are found. Then the sets
+of a signature that are in different components are compared with each other, each pair at the first signature it
+shares, unless parities of their shingles already show too many differences. So no copies are expanded into pairs,
+and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -40,7 +39,6 @@ SHINGLE = 5
 PERCENT = 80
 LEAST_PERCENT = 64  # below it similar sets may lie two bands apart and share no signature
 SKETCH = 8  # shingles for each counter of a sketch
-HEADS = 8  # other heads that a set meets before all that is left is compared
 EARLIER = 12  # signatures before one at which a pair may have met already
 FOUND = "kind string, a long, b long, n long, m long, c long, id long, bucket int, hashes binary, places binary, bits array<long>"
 SETS = "name long, rep long, n long, shingles binary"
@@ -396,18 +394,6 @@ def _may_link(one: str, two: str, percent: int) -> Column:
     return (F.greatest(n, m) * percent <= F.least(n, m) * 100) & (least_odd(F.col(f"{one}bits"), F.col(f"{two}bits")) <= reach)
 
 
-def _other_heads(apart: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` of members with the heads of ``HEADS`` of their signatures; each signature draws its head."""
-    drawn = F.xxhash64("key", "name")
-    heads = apart.groupBy("key").agg(F.min(F.struct(drawn.alias("draw"), "name", "component")).alias("head"))
-    order = Window.partitionBy("name").orderBy(F.xxhash64("name", "key"), "key")
-    few = apart.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= HEADS)
-    met = few.join(heads, "key").where("component <> head.component")
-    met = met.select(F.least("name", "head.name").alias("a"), F.greatest("name", "head.name").alias("b")).distinct()
-    side = lambda end: classes.select(F.col("name").alias(end), F.struct("n", "bits").alias(f"{end}_facts"))
-    return met.join(side("a"), "a").join(side("b"), "b").where(_may_link("a_facts.", "b_facts.", percent)).select("a", "b")
-
-
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs (doc_id, text)``.
 
@@ -439,22 +425,13 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     links = verified(docs, pairs, classes, size, percent)
     groups = components(links)
 
-    def within(pairs_of: DataFrame, groups: DataFrame) -> DataFrame:
-        """Members ``(key, name)`` with size, allowance and component."""
-        named = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-        named = named.select("name", "n", "allowed", F.coalesce("component", "rep").alias("component"))
-        return pairs_of.select("key", "name").join(named, "name")
-
+    named = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+    named = named.select("name", "n", "allowed", F.coalesce("component", "rep").alias("component"))
     members = found.where("kind = 'member'").select(F.col("a").alias("key"), "id").join(ids, "id")
-    apart = stage(_still_apart(within(stage(members.select("key", "name").distinct(), "members"), groups)), "apart")
-    more = _other_heads(apart, classes, percent)
-    more, count = staged_count(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
-    if count:
-        links, pairs = stage(links.unionAll(verified(docs, more, classes, size, percent)), "links"), pairs.unionAll(more)
-        groups = components(links)
+    members = stage(members.select("key", "name").distinct(), "members").join(named, "name")
 
     # Sets of one signature that are still apart are compared with each other, where sizes and parities allow a link.
-    apart = _with_earlier(_to_compare(within(apart, groups))).join(classes.select("name", "bits"), "name")
+    apart = _with_earlier(_to_compare(members)).join(classes.select("name", "bits"), "name")
     one, two = apart.alias("one"), apart.alias("two")
     other = (F.col("one.name") < F.col("two.name")) & (F.col("one.component") != F.col("two.component"))
     first = ~F.arrays_overlap("one.earlier", "two.earlier")

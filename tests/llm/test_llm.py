@@ -373,9 +373,9 @@ def test_equal_rows_make_one_link(spark):
     assert {r.component_id for r in partenum.jaccard_components(docs).where("n_shingles > 100").collect()} == {1}
 
 
-@pytest.mark.parametrize("heads", [0, 8])
-def test_sets_near_the_threshold_keep_every_link(spark, monkeypatch, heads):
-    monkeypatch.setattr(partenum, "HEADS", heads)
+@pytest.mark.parametrize("earlier", [1, 12])
+def test_sets_near_the_threshold_keep_every_link(spark, monkeypatch, earlier):
+    monkeypatch.setattr(partenum, "EARLIER", earlier)
     rng, base, texts = np.random.default_rng(9), body(51, 120), []
     for i in range(80):
         words_ = list(base)
