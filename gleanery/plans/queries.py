@@ -559,8 +559,7 @@ def search_metrics(spark, sf):
 
 
 def _stream(spark, sf, table):
-    name = f"{table}.parquet"
-    return jobs.stream_folder(spark, sf, spark.read.parquet(f"{sf}/{name}").schema, only=name)
+    return jobs.stream_table(spark, f"{sf}/{table}.parquet")
 
 
 def stream_pages(spark, sf):

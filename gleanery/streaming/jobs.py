@@ -18,7 +18,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from gleanery.operators.frontier import REQUEUE_SECONDS, latest_pages
 from gleanery.operators.metrics import SAMPLE_SECONDS, window_number, window_start
 from gleanery.sources.incremental import refresh
-from gleanery.sources.index_store import write_index
+from gleanery.sources.index_store import _file_system, write_index
 from gleanery.sources.page_store import read_store, upsert
 from gleanery.sources.segments import FACTS
 
@@ -35,6 +35,16 @@ def stream_folder(spark: SparkSession, path: str, schema: T.StructType, files_pe
     return reader.parquet(path)
 
 
+def stream_table(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a Parquet table that is a single file, or a folder of files as they appear."""
+    schema = spark.read.parquet(path).schema
+    fs, root = _file_system(spark, path)
+    if fs.getFileStatus(root).isDirectory():
+        return stream_folder(spark, path, schema)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return stream_folder(spark, folder or ".", schema, only=name)
+
+
 def _start(writer: DataStreamWriter, spark: SparkSession, once: bool, every: int,
            checkpoint: str | None, out: str) -> StreamingQuery:
     """Start with state in RocksDB, so that it may outgrow memory.

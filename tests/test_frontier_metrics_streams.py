@@ -192,3 +192,16 @@ def test_registered_query_equals_its_sql_twin(spark, name):
 def test_new_url_statuses_all_occur(spark):
     rows = check_queries.contract.queries()["frontier_new"](spark, "/root/testdata/sf0.001").collect()
     assert {r["status"] for r in rows} == {-1, 0, 1}
+
+
+def test_streams_of_tables_that_are_folders(spark, tmp_path):
+    docs = [(i, f"word{i} common", "en", "web", 12) for i in range(6)]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(
+        3).write.parquet(str(tmp_path / "documents.parquet"))
+    pages = [(i, f"http://a.example.com/{i}", '<a href="/next">next</a>') for i in range(4)]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(2).write.parquet(str(tmp_path / "pages.parquet"))
+    run = check_queries.contract.queries()
+    assert sorted(r["url"] for r in run["stream_pages"](spark, str(tmp_path)).collect()) == [str(i) for i in range(6)]
+    assert [r["url"] for r in run["stream_seen_urls"](spark, str(tmp_path)).collect()] == ["http://a.example.com/next"]
+    for name in ("stream_index_refresh", "stream_segments"):
+        assert run[name](spark, str(tmp_path)).filter("term = 'common'").count() == 6
