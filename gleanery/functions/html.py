@@ -29,6 +29,7 @@ SKIPPED = (
 SILENT = rf"(?is)<(template|rt|rp)(?=[\s/>]){REST_OF_TAG}(?<!/)>.*?(?:</\1\s*+>|\z)"
 ANY_TAG = rf"(?s){START_TAG}|<[/!?][^>]*+(?:>|\z)"
 ATTRIBUTE = r"([^\s/>=][^\s/=>]*+(?:\s*+=++\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^>\s]*+))?+)"
+PLAIN_LINK = r"^<[aA] href=\"([A-Za-z0-9_.:/#-]*+)\">$"
 SPACE = r"[\s\x0B\x1c-\x1f\x85\p{Z}]"
 EDGE_SPACE = rf"^{SPACE}++|(?<!{SPACE}){SPACE}++$"
 
@@ -171,6 +172,10 @@ def page_text(html: Column) -> Column:
 
 
 def hrefs(html: Column) -> Column:
-    """Link values of a page in order, repeats kept."""
+    """Link values of a page in order, repeats kept.
+
+    A tag with nothing but a quoted target of plain characters is read by one pattern, which is most of the work saved.
+    """
     tags = let(visible_html(html), lambda visible: start_tags(visible, "a"))
-    return F.filter(F.transform(tags, lambda tag: attribute(tag, "href")), lambda href: href.isNotNull())
+    found = F.transform(tags, lambda tag: F.when(tag.rlike(PLAIN_LINK), F.regexp_extract(tag, PLAIN_LINK, 1)).otherwise(attribute(tag, "href")))
+    return F.filter(found, lambda href: href.isNotNull())

@@ -19,6 +19,8 @@ URL_PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?
 HOST = (
     r"^(?:[^\[\]]*|[^\[\]]*\[(?:[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*(?:%[^\]]*)?|[vV][0-9A-Fa-f]+\..+)\][^\[\]]*)$"
 )
+# A path from the root without empty, "." or ".." segments, parameters, query or escapes; a slash or fragment may follow.
+PLAIN_PATH = r"^((?:/[A-Za-z0-9_-][A-Za-z0-9_.-]*+)++)/?(?:#[A-Za-z0-9_.-]*+)?$"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -60,6 +62,12 @@ def url_parts(url: Column) -> Column:
     return let(clean, split)
 
 
+def site_root(parts: Column) -> Column:
+    """Canonical scheme and host of a URL; NULL unless it is one of HTTP with a host."""
+    usable = parts["scheme"].isin("http", "https") & (parts["netloc"] != "")
+    return F.when(usable, F.concat(parts["scheme"], F.lit("://"), F.lower(parts["netloc"])))
+
+
 def joined(scheme: Column, netloc: Column, path: Column, query: Column, fragment: Column) -> Column:
     """Text of a URL from its parts."""
     def after(sign: str, part: Column) -> Column:

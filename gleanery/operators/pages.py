@@ -8,18 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.html import hrefs, page_text
-from gleanery.functions.urls import canonical, let, resolved, url_parts, with_scheme
+from gleanery.functions.urls import PLAIN_PATH, canonical, let, resolved, site_root, url_parts, with_scheme
 
 
 @cache
 def link_targets() -> Column:
     """Canonical targets of all links of a page, NULL for a malformed one.
 
-    The expressions on ``url`` and ``html`` are large, so each is put together once per process.
+    The expressions on ``url`` and ``html`` are large, so each is put together once per process. A plain path from the root
+    of the page's site is its own canonical form behind that of the site.
     """
-    return let(with_scheme(F.col("url")), lambda page: let(url_parts(page), lambda parts: F.transform(
-        hrefs(F.col("html")), lambda href: canonical(resolved(page, href, parts))
-    )))
+    def target(page: Column, parts: Column, site: Column, href: Column) -> Column:
+        plain = site.isNotNull() & href.rlike(PLAIN_PATH)
+        return F.when(plain, F.concat(site, F.regexp_extract(href, PLAIN_PATH, 1))).otherwise(canonical(resolved(page, href, parts)))
+
+    return let(with_scheme(F.col("url")), lambda page: let(url_parts(page), lambda parts: let(site_root(parts), lambda site: F.transform(
+        hrefs(F.col("html")), lambda href: target(page, parts, site, href)
+    ))))
 
 
 @cache
