@@ -20,7 +20,7 @@ POSTINGS = "term string, url string, tf bigint, df bigint, tfidf double, shard i
 MIN_SHARDS, MAX_SHARDS = 8, 4096
 POSTINGS_PER_FILE = 4_000_000
 MIN_POSTINGS_PER_FILE = 50_000
-MAX_PUSHED_TERMS = 512
+MAX_PUSHED_TERMS = 32
 
 
 def shard_of(term: Column, shards: int) -> Column:
@@ -31,7 +31,8 @@ def any_of(column: str, values: list[str]) -> Column:
     """Equality with any value, spelled out: every one reaches the Parquet statistics.
 
     A long IN list would only be pushed down as one range from its least to its greatest value. Terms
-    are letters and digits; a value with other signs, or a very long list, falls back to IN.
+    are letters and digits; a value with other signs, or a longer list, falls back to IN: that is one probe of a
+    hash set a row, while a long chain of comparisons is more code than the virtual machine compiles.
     """
     if len(values) > MAX_PUSHED_TERMS or not all(value.isalnum() for value in values):
         return F.col(column).isin(values)
