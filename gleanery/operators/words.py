@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.text import code_point_bucket, words
 from gleanery.operators.index import in_blocks
-from gleanery.operators.joins import lookup_join
+from gleanery.operators.joins import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, lookup_join
 from gleanery.session import stage
 
 DOCS_PER_BLOCK = 10_000
@@ -96,10 +96,7 @@ def invert_words(docs: DataFrame, block_size: int = DOCS_PER_BLOCK) -> DataFrame
     distinct per row; grouped afterwards, very frequent words go by block, all others by word. Blocks are
     consecutive: put after one another they are the sorted list.
     """
-    pairs = stage(
-        docs.select("doc_id", F.explode(F.array_distinct(words(F.col("text")))).alias("word")).distinct(),
-        "word-docs",
-    )
+    pairs = stage(_distinct_pairs(docs), "word-docs")
     sizes = stage(pairs.groupBy("word").agg(F.count("*").alias("docs")), "word-sizes")
     placed = in_blocks(lookup_join(pairs, sizes, key="word", weight="docs"), "word", "doc_id", "docs", block_size)
     return placed.groupBy("word", "block").agg(
@@ -107,6 +104,24 @@ def invert_words(docs: DataFrame, block_size: int = DOCS_PER_BLOCK) -> DataFrame
     )
 
 
+def _distinct_pairs(docs: DataFrame) -> DataFrame:
+    """``(doc_id, word)`` of each document once; ``docs`` is read twice.
+
+    Words are made distinct inside a row. Only pairs of documents with several rows can still be equal, so
+    those of all others are in no exchange.
+    """
+    pairs = docs.select("doc_id", F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
+    several = stage(docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("again")), "repeated-docs")
+    n, size = several.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.col("again").cast("string"))), F.lit(0))).first()
+    if not n:
+        return pairs
+    if n > MAX_BROADCAST_ROWS or size > MAX_BROADCAST_BYTES:
+        return pairs.distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("again"))
+    repeated = pairs.join(F.broadcast(several), same, "left_semi").distinct()
+    return pairs.join(F.broadcast(several), same, "left_anti").unionByName(repeated)
+
+
 def shard_words(docs: DataFrame, buckets: int) -> DataFrame:
     """``(bucket, word, count)``: the reducer bucket of every word."""
     counts = word_count(docs)
