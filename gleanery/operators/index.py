@@ -73,11 +73,11 @@ def in_blocks(members: DataFrame, key: str, member: str, size: str, block_size:
     """Add the ``block`` of each row: consecutive ranges of ``block_size`` members in order of ``member``.
 
     ``size`` is the column with the number of members of the row's ``key``. Only groups longer than a block
-    are ranked. ``members`` is read twice and should be a table.
+    are ranked. ``members`` is read twice and should be a table. ``size`` is left out of the result, so that it is in no exchange.
     """
     is_long = F.col(size) > block_size
-    whole = members.filter(~is_long).withColumn("block", F.lit(0).cast("bigint"))
-    ranked = rank_all(members.filter(is_long), [key], [F.col(member).asc()])
+    whole = members.filter(~is_long).drop(size).withColumn("block", F.lit(0).cast("bigint"))
+    ranked = rank_all(members.filter(is_long).drop(size), [key], [F.col(member).asc()])
     return union_all([whole, ranked.withColumn("block", F.floor((F.col("rank") - 1) / F.lit(block_size))).drop("rank")])
 
 
