@@ -60,13 +60,24 @@ class IncrementalIndex:
         """``(term, df)``: the sum of what every segment adds and takes away."""
         return self._read("df", DF).groupBy("term").agg(F.sum("df").alias("df")).filter("df > 0")
 
+    @cached_property
+    def _ended(self) -> list[int]:
+        """The versions of which a segment has ended some page, no more than there were refreshes."""
+        return sorted(r["version"] for r in self._read("dead", DEAD).select("version").distinct().collect())
+
     def _living(self, rows: DataFrame) -> DataFrame:
-        """``rows`` (url, version, ...) without versions that a segment has ended."""
+        """``rows`` (url, version, ...) without versions that a segment has ended.
+
+        Beyond a list that can be broadcast, rows of versions of which no page was ended stay out of the join.
+        """
         dead = self._read("dead", DEAD)
         if not sum(s.dead for s in self.segments):
             return rows
         few = sum(s.dead for s in self.segments) <= MAX_BROADCAST_DEAD and sum(s.dead_bytes for s in self.segments) <= MAX_BROADCAST_BYTES
-        return rows.join(F.broadcast(dead) if few else dead, ["url", "version"], "left_anti")
+        if few:
+            return rows.join(F.broadcast(dead), ["url", "version"], "left_anti")
+        hit = F.col("version").isin(self._ended)
+        return rows.filter(~hit).unionByName(rows.filter(hit).join(dead, ["url", "version"], "left_anti"))
 
     def pages(self) -> DataFrame:
         """``(url, version, last_scraped, counts)`` of the pages in the index."""
@@ -130,10 +141,11 @@ def refresh(pages: DataFrame, path: str, removed: DataFrame | None = None, fan:
     old = stage(index.pages().select("url", "version", "last_scraped").join(offered, "url"), "offered")
     ends = F.col("removed") | (F.col("last_scraped") <= F.col("new"))
     later = old.filter(~ends).select("url")
+    some_later = not later.isEmpty()
     number = next_number(spark, path)
     to = lambda what: folder(path, what, number)
 
-    counted = fresh.join(later, "url", "left_anti").select(
+    counted = (fresh.join(later, "url", "left_anti") if some_later else fresh).select(
         "url", F.lit(number).cast("bigint").alias("version"), "last_scraped", term_counts(F.col("content")).alias("counts")
     )
     counted.write.mode("overwrite").parquet(to("pages"))
