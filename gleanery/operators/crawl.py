@@ -14,8 +14,12 @@ from gleanery.sources.index_store import _file_system
 
 
 def link_table(pages: DataFrame) -> DataFrame:
-    """``(src, dst)`` with both ends canonical, from pages ``(url, html)``; no page is exchanged."""
-    return extract_links(pages).select(canonical(with_scheme(F.col("src"))).alias("src"), "dst").filter("src is not null")
+    """``(src, dst)`` with both ends canonical, from pages ``(url, html)``; no page is exchanged.
+
+    The canonical URL of a page is put beside it before its links become rows, so it is not made again for each link.
+    """
+    keyed = pages.select("url", "html", canonical(with_scheme(F.col("url"))).alias("key"))
+    return extract_links(keyed, "key").filter("key is not null").select(F.col("key").alias("src"), "dst")
 
 
 def links_of(frontier: DataFrame, pages: DataFrame) -> DataFrame:

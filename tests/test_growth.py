@@ -1,11 +1,10 @@
 """Steps whose work must not grow faster than their input: what they put into an exchange, a join or a pattern."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from gleanery.functions.urls import PLAIN_PATH, canonical, resolved, url_parts, with_scheme
 from gleanery.functions import html
-from gleanery.operators import pages, words
+from gleanery.operators import crawl, pages, words
 from gleanery.sources import incremental
 from gleanery.sources.index_store import any_of
 
@@ -30,6 +29,13 @@ def test_plain_links_are_read_as_all_others(spark):
     assert [h for h in HREFS if spark.range(1).select(F.lit(h).rlike(PLAIN_PATH)).first()[0]] == ["/a", "/a/", "/a/b.html#top", "/A-_1.2/B"]
 
 
+def test_url_of_a_page_is_made_once_not_for_each_link(spark):
+    found = spark.createDataFrame([("http://a.org/x/", '<a href="/y">y</a><a href="z">z</a>'), ("http://[bad/x", '<a href="/y">')], "url string, html string")
+    links = crawl.link_table(found)
+    assert "regexp" not in plan(links).split("Generate")[0]
+    assert sorted(tuple(r) for r in links.collect()) == [("http://a.org/x", "http://a.org/x/z"), ("http://a.org/x", "http://a.org/y")]
+
+
 def test_plain_tags_are_read_as_all_others(spark):
     tags = ['<a href="/x">', '<A href="">', '<a href="/x" >', "<a href='/x'>", '<a href="/x"/>', '<a  href="/x">', '<a href="/x&amp;y">', '<a name="b" href="c">']
     rows = spark.createDataFrame([(t,) for t in tags], "tag string")
