@@ -510,3 +510,26 @@ def test_pipeline_against_brute_force(spark):
         assert not secret_scan.base_spans(row.text)
     assert good.columns == once.columns == hidden.columns == docs.columns == names[3](spark, hidden, SF).columns
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_quality_stage_sends_texts_once_in_short_batches(spark, monkeypatch):
+    import corpus_pipeline
+    from gleanery.llm import quality_knn
+
+    seen = []
+    plain = quality_knn.scored
+
+    def scored(docs, model, *more):
+        seen.append(docs.schema.simpleString().count("text:"))
+        return plain(docs, model, *more).withColumn("predicted", F.lit(1))
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    write = corpus_pipeline.stage
+    monkeypatch.setattr(quality_knn, "scored", scored)
+    monkeypatch.setattr(corpus_pipeline, "stage", lambda df, label: (seen.append(int(spark.conf.get(key))), write(df, label))[1])
+    rows = [(3, "some words", "x", None), (3, "some words", "x", None), (None, None, None, 2), (4, "", "y", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, TEXT string, `a b` string, row int")
+    kept = corpus_pipeline.keep_quality(spark, docs, SF)
+    assert seen == [1, 1024]
+    assert kept.schema == docs.schema
+    assert sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
