@@ -3,34 +3,19 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from gleanery.session import stage
+from gleanery.session import short_batches, stage  # noqa: F401
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 32 << 20
 
 
-@contextmanager
-def short_batches(spark: SparkSession, rows: int = 1024) -> Iterator[None]:
-    """Texts go to Python in batches of few rows while tables are written inside this block."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    if not 0 < int(before) <= rows:
-        spark.conf.set(key, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def shuffle_parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,9 +14,13 @@ from gleanery.functions.text import tokens
 from gleanery.functions.urls import let
 from gleanery.operators.joins import lookup_join, union_all
 from gleanery.operators.ranking import rank_all
-from gleanery.session import fan_out, stage
+from gleanery.session import fan_out, short_batches, stage
 
 BLOCK_SIZE = 10_000
+LIST_TOKENS = 3_000_000  # tokens whose postings are combined at once
+LIST_BYTES = 64 * 1024 * 1024
+LIST_ROWS = 1 << 15  # lists that go back to Spark at once
+PAGES_PER_BATCH = 256
 
 
 def tokenize(pages: DataFrame) -> DataFrame:
@@ -44,6 +53,88 @@ def term_frequency(pages: DataFrame) -> DataFrame:
     return counted.select("count.term", "url", "count.tf")
 
 
+def posting_lists(pages: DataFrame, member: str, block: Column) -> DataFrame:
+    """``(term, block, members, counts, n)``: postings of ``pages (member, content)``, combined where the pages lie.
+
+    A list has the pages of one block that have the term, of some thousand pages of a task, and how often each has
+    it; ``n`` is its length. Later steps join, exchange and sort a few lists a term in place of all its postings. Rows with the same
+    ``member`` stay apart. The lists are a staged table.
+    """
+    rows = fan_out(pages.select(F.col(member).alias("member"), block.cast("int").alias("block"), "content"))
+    rows = rows.select("member", "block", tokens(F.col("content")).alias("tokens"))
+    kind = rows.schema["member"].dataType.simpleString()
+    ddl = f"term string, block int, members array<{kind}>, counts array<int>, n int"
+    with short_batches(pages.sparkSession, PAGES_PER_BATCH):
+        return stage(rows.mapInArrow(_combined, ddl), "lists")
+
+
+def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for pages in _gathered(batches):
+        block = pages.column("block").to_numpy()
+        if (block[1:] < block[:-1]).any():
+            pages = pages.take(pa.array(np.argsort(block, kind="stable")))
+            block = pages.column("block").to_numpy()
+        words = pages.column("tokens").combine_chunks()
+        found = words.flatten().dictionary_encode()
+        if not len(found):
+            continue
+        by_term = pc.array_sort_indices(found.dictionary)
+        place = np.empty(len(by_term), np.int64)
+        place[by_term.to_numpy()] = np.arange(len(by_term))
+        page = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy())
+        pairs, counts = np.unique(place[found.indices.to_numpy()] * len(words) + page, return_counts=True)
+        term, page = np.divmod(pairs, len(words))
+        new = np.ones(len(pairs), bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[page[1:]] != block[page[:-1]])
+        starts = np.flatnonzero(new)
+        ends = pa.array(np.append(starts, len(pairs)).astype(np.int32))
+        members = pages.column("member").combine_chunks().take(pa.array(page))
+        made = {
+            "term": found.dictionary.take(by_term.take(pa.array(term[starts]))),
+            "block": pa.array(block[page[starts]], pa.int32()),
+            "members": pa.ListArray.from_arrays(ends, members),
+            "counts": pa.ListArray.from_arrays(ends, pa.array(counts, pa.int32())),
+            "n": pa.array(np.diff(np.append(starts, len(pairs))), pa.int32()),
+        }
+        lists = pa.RecordBatch.from_pydict(made)
+        for begin in range(0, len(starts), LIST_ROWS):
+            yield lists.slice(begin, LIST_ROWS)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches of pages put together until they have enough tokens."""
+    held, n, size = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        n += len(batch.column("tokens").flatten())
+        size += batch.nbytes
+        if n >= LIST_TOKENS or size >= LIST_BYTES:
+            yield pa.Table.from_batches(held)
+            held, n, size = [], 0, 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def list_frequency(lists: DataFrame) -> DataFrame:
+    """``(term, df, lists, longest)``, staged, of :func:`posting_lists`: pages and lists of each term, length of its longest list."""
+    counts = [F.sum("n").alias("df"), F.count("*").alias("lists"), F.max("n").alias("longest")]
+    return stage(lists.groupBy("term").agg(*counts), "df")
+
+
+def cut_lists(lists: DataFrame, most: int) -> DataFrame:
+    """The same postings in lists of at most ``most``."""
+    begin = F.explode(F.sequence(F.lit(1), F.size("members"), F.lit(most))).alias("begin")
+    part = [F.slice(c, F.col("begin"), F.lit(most)).alias(c) if c in ("members", "counts") else c for c in lists.columns]
+    return lists.select("*", begin).select(*part)
+
+
+def weighted(lists: DataFrame, docs: int) -> DataFrame:
+    """``(term, url, tf, df, tfidf)`` from lists with their ``df``, in the same order."""
+    each = lists.select("term", "counts", "df", F.posexplode("members").alias("at", "url"))
+    tf = F.get("counts", F.col("at")).cast("bigint").alias("tf")
+    return each.select("term", "url", tf, "df").withColumn("tfidf", F.col("tf") * idf(F.col("df"), docs))
+
+
 def document_frequency(tf: DataFrame) -> DataFrame:
     """``(term, df)`` from ``(term, url, tf)``; counts combine before the exchange."""
     return tf.groupBy("term").agg(F.count("*").alias("df"))
@@ -64,9 +155,8 @@ def tfidf_postings(tf: DataFrame, df: DataFrame, docs: int, **limits) -> DataFra
 
 def build_postings(pages: DataFrame, **limits) -> DataFrame:
     """Postings of a page table with one row per URL."""
-    tf = stage(term_frequency(pages), "tf")
-    df = stage(document_frequency(tf), "df")
-    return tfidf_postings(tf, df, pages.count(), **limits)
+    lists = posting_lists(pages, "url", F.lit(0))
+    return weighted(lookup_join(lists, list_frequency(lists), key="term", weight="lists", **limits), pages.count())
 
 
 def in_blocks(members: DataFrame, key: str, member: str, size: str, block_size: int) -> DataFrame:

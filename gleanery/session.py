@@ -5,7 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from contextvars import ContextVar
 from functools import wraps
 
@@ -92,6 +93,31 @@ def remove(spark: SparkSession, path: str) -> None:
     found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
 
 
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = 1024) -> Iterator[None]:
+    """Texts go to Python in batches of few rows while tables are written inside this block."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+@contextmanager
+def one_writer(spark: SparkSession) -> Iterator[None]:
+    """Inside this block a task writes the first partition folder it meets as its rows come; only rows of others are sorted."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def plan_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate, from file sizes for table scans."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -11,15 +11,16 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.operators.index import document_frequency, term_frequency, tfidf_postings
-from gleanery.operators.joins import lookup_size
-from gleanery.session import removes_stages, stage
+from gleanery.operators.index import cut_lists, list_frequency, posting_lists, weighted
+from gleanery.operators.joins import lookup_join, lookup_size
+from gleanery.session import one_writer, removes_stages
 
 POSTINGS_PER_SHARD = 5_000_000
 POSTINGS = "term string, url string, tf bigint, df bigint, tfidf double, shard int"
 MIN_SHARDS, MAX_SHARDS = 8, 4096
 POSTINGS_PER_FILE = 4_000_000
 MIN_POSTINGS_PER_FILE = 50_000
+LISTS_PER_FILE = 8  # of a term in several files at least, so that these are of like size
 MAX_PUSHED_TERMS = 32
 
 
@@ -83,10 +84,10 @@ def write_index(pages: DataFrame, path: str, shards: int | None = None) -> Saved
     docs = pages.count()
     if docs == 0:
         return None
-    tf = stage(term_frequency(pages), "tf")
-    df = stage(document_frequency(tf), "df")
-    size = lookup_size(df, "term", "df")
-    postings = size["rows"]
+    lists = posting_lists(pages, "url", F.lit(0))
+    df = list_frequency(lists)
+    size = lookup_size(df, "term", "lists")
+    postings, longest = df.agg(F.coalesce(F.sum("df"), F.lit(0)), F.coalesce(F.max("longest"), F.lit(0))).first()
     if shards is None:
         shards = int(min(MAX_SHARDS, max(MIN_SHARDS, postings // POSTINGS_PER_SHARD)))
 
@@ -94,17 +95,24 @@ def write_index(pages: DataFrame, path: str, shards: int | None = None) -> Saved
     cores = spark.sparkContext.defaultParallelism
     per_file = min(POSTINGS_PER_FILE, max(MIN_POSTINGS_PER_FILE, postings // (2 * cores)))
     parts = math.ceil(postings / (shards * per_file)) or 1
-    (
-        tfidf_postings(tf, df, docs, size=size)
-        .withColumn("shard", shard_of(F.col("term"), shards))
+    # Lists are exchanged and sorted, and become postings as they are written. A task has one shard, if no long
+    # list is spread beyond its own, and writes its file in the order of the terms.
+    known = lookup_join(lists, df, key="term", weight="lists", size=size).select("term", "members", "counts", "df")
+    sorted_lists = (
+        (cut_lists(known, max(1, per_file // LISTS_PER_FILE)) if longest > per_file // LISTS_PER_FILE else known)
         .repartitionById(shards * parts, _part(shards, parts, per_file))
-        .sortWithinPartitions("shard", "term")
-        .write.partitionBy("shard")
-        # A lookup skips files in whose range a term lies without being there.
-        .option("parquet.bloom.filter.enabled#term", "true")
-        .option("parquet.bloom.filter.expected.ndv#term", str(max(100, size["keys"] // (shards * parts))))
-        .parquet(f"{target}/postings")
+        .sortWithinPartitions("term")
     )
+    with one_writer(spark):
+        (
+            weighted(sorted_lists, docs)
+            .withColumn("shard", shard_of(F.col("term"), shards))
+            .write.partitionBy("shard")
+            # A lookup skips files in whose range a term lies without being there.
+            .option("parquet.bloom.filter.enabled#term", "true")
+            .option("parquet.bloom.filter.expected.ndv#term", str(max(100, size["keys"] // (shards * parts))))
+            .parquet(f"{target}/postings")
+        )
     spark.range(1).select(
         F.lit(docs).cast("bigint").alias("docs_count"),
         F.lit(size["keys"]).cast("bigint").alias("terms_count"),
@@ -116,15 +124,16 @@ def write_index(pages: DataFrame, path: str, shards: int | None = None) -> Saved
 
 
 def _part(shards: int, parts: int, per_file: int) -> Column:
-    """The task that writes a posting: every shard has ``parts`` tasks.
+    """The task that writes a list of postings: every shard has ``parts`` tasks.
 
-    A term stays in one part of its shard, except that the postings of one with more than ``per_file``
-    are spread by URL over as many tasks as they would fill files. The document frequency is at hand
+    A term stays in one part of its shard, except that the lists of one with more than ``per_file`` postings
+    are spread by their first URL over as many tasks as they would fill files. The document frequency is at hand
     in every row, so this needs neither sampling nor another pass.
     """
     cuts = F.ceil(F.col("df") / F.lit(per_file))
-    shift = F.when(cuts > 1, F.pmod(F.xxhash64("url"), cuts)).otherwise(F.pmod(F.hash("term"), F.lit(parts)))
-    return F.pmod(F.col("shard") * F.lit(parts) + shift, F.lit(shards * parts)).cast("int")
+    spread = F.pmod(F.xxhash64(F.get("members", F.lit(0))), cuts)
+    shift = F.when(cuts > 1, spread).otherwise(F.pmod(F.hash("term"), F.lit(parts)))
+    return F.pmod(shard_of(F.col("term"), shards) * F.lit(parts) + shift, F.lit(shards * parts)).cast("int")
 
 
 def read_index(spark: SparkSession, path: str) -> SavedIndex:

@@ -227,3 +227,25 @@ def test_term_frequency_counts_inside_the_row(spark):
 def test_term_counts(spark, text, counts):
     row = spark.createDataFrame([(text,)], "content string").select(index.term_counts(F.col("content")).alias("n")).first()
     assert [tuple(n) for n in row["n"]] == counts
+
+
+def test_posting_lists_combine_pages_and_keep_equal_urls_apart(spark, tmp_path):
+    rows = [("u", "b a b"), ("u", "b"), (None, "a"), ("v", None), ("w", ""), ("x", "\U0001d7d8 É")]
+    docs = pages(spark, rows).coalesce(1)
+    lists = index.posting_lists(docs, "url", F.lit(0))
+    assert lists.agg(F.sum("n")).first()[0] == 6
+    many = pages(spark, [(f"u{i:05d}", "one two") for i in range(20_000)])
+    assert index.posting_lists(many, "url", F.lit(0)).count() <= 200
+    cut = index.cut_lists(index.posting_lists(many, "url", F.lit(0)), 7)
+    assert cut.agg(F.max(F.size("members")), F.sum(F.size("counts"))).first() == (7, 40_000)
+    wanted = sorted([("a", "u", 1), ("a", "", 1), ("b", "u", 2), ("b", "u", 1), ("é", "x", 1), ("\U0001d7d8", "x", 1)])
+    for got in (index.build_postings(docs), write_index(docs, str(tmp_path / "index")).postings()):
+        assert sorted((r["term"], r["url"] or "", r["tf"]) for r in got.collect()) == wanted
+
+
+def test_lists_are_grouped_by_block(spark):
+    rows = spark.createDataFrame([(3, 1, "a b"), (1, 0, "a"), (2, 1, "a a")], "place int, block int, content string").coalesce(1)
+    got = index.posting_lists(rows, "place", F.col("block")).select("term", "block", F.arrays_zip("members", "counts").alias("p"))
+    found = sorted((r["term"], r["block"], *p) for r in got.collect() for p in r["p"])
+    assert found == [("a", 0, 1, 1), ("a", 1, 2, 2), ("a", 1, 3, 1), ("b", 1, 3, 1)]
+    assert len({(t, b) for t, b, *_ in found}) == 3
