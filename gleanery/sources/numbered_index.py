@@ -13,10 +13,10 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Row, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.operators.index import idf, term_counts
+from gleanery.operators.index import idf, posting_lists
 from gleanery.operators.joins import lookup_join
 from gleanery.operators.ranking import rank_all
-from gleanery.session import fan_out, removes_stages, stage
+from gleanery.session import removes_stages, stage
 from gleanery.sources.index_store import MAX_SHARDS, MIN_SHARDS, POSTINGS_PER_SHARD, any_of, shard_of
 
 RANGE = 1 << 16  # documents of a block
@@ -77,19 +77,18 @@ def _packed(writer: DataFrameWriter) -> DataFrameWriter:
 def write_numbered(pages: DataFrame, path: str, span: int = RANGE) -> NumberedIndex:
     """Write the compact index of ``pages (url, content)``, one row per URL, to ``path``.
 
-    Pages are sorted by URL once, with their term counts; a number is the place inside a part plus the rows of earlier parts.
+    Pages are sorted by URL once, with their texts; a number is the place inside a part plus the rows of earlier parts.
     A block has at most ``span`` postings, so a term found everywhere is many rows.
     """
     spark = pages.sparkSession
-    counted = fan_out(pages.select("url", "content")).select("url", term_counts(F.col("content")).alias("counts"))
-    ranked = rank_all(counted, [], [F.col("url").asc()])
-    numbered = stage(ranked.select("url", (F.col("rank") - 1).alias("number"), "counts").withColumn("block", _block(F.col("number"), span)), "numbered")
+    ranked = rank_all(pages.select("url", "content"), [], [F.col("url").asc()])
+    numbered = stage(ranked.select("url", (F.col("rank") - 1).alias("number"), "content").withColumn("block", _block(F.col("number"), span)), "numbered")
     named = numbered.select("number", "url", "block").sortWithinPartitions("block", "number")
     _packed(named.write).partitionBy("block").parquet(f"{path}/documents")
-    pairs = numbered.select("number", "block", F.explode("counts").alias("c"))
     place = (F.col("number") % F.lit(span)).cast("int").alias("place")
-    lists = pairs.select(F.col("c.term").alias("term"), "block", F.struct(place, F.col("c.tf").cast("int").alias("tf")).alias("posting"))
-    lists = stage(lists.groupBy("term", "block").agg(F.sort_array(F.collect_list("posting")).alias("postings")), "lists")
+    lists = posting_lists(numbered.select(place, "block", "content"), "place", F.col("block"))
+    lists = lists.select("term", "block", F.arrays_zip(F.col("members").alias("place"), F.col("counts").alias("tf")).alias("postings"))
+    lists = stage(lists.groupBy("term", "block").agg(F.sort_array(F.flatten(F.collect_list("postings"))).alias("postings")), "lists")
     df = stage(lists.groupBy("term").agg(F.sum(F.size("postings")).alias("df"), F.count("*").alias("blocks")), "df")
     postings, terms = df.agg(F.coalesce(F.sum("df"), F.lit(0)), F.count("*")).first()
     shards = int(min(MAX_SHARDS, max(MIN_SHARDS, postings // POSTINGS_PER_SHARD)))
