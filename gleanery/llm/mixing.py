@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from gleanery.llm.common import WORD, free_name, placed, staged_count
-from gleanery.llm.words import in_chunks, mix as mixed_bits, words_of
+from gleanery.llm.words import PART, in_chunks, mix as mixed_bits, words_of
 
 BLOCK = 256
 SHARD_SLOTS = 4096
@@ -229,7 +229,7 @@ def taken(mix: Mix) -> DataFrame:
 
 def _cut_text(columns: list[str], schema: pa.Schema, into: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_chunks(batches, "text"):
+        for batch in in_chunks(batches, "text", PART):
             words, texts, row, whole = words_of(batch.column("text")), [], [], batch.column("text")
             for d, pieces in enumerate(batch.column(into).to_pylist()):
                 first, last = int(words.first[d]), int(words.first[d + 1])

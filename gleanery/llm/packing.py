@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import only, placed
-from gleanery.llm.words import in_chunks
+from gleanery.llm.words import PART, in_chunks
 from gleanery.session import stage
 
 CAPACITY = 1024
@@ -96,7 +96,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: in
         if tokenizer not in _encoders:
             _encoders[tokenizer] = Encoder(tokenizer)
         encoder = _encoders[tokenizer]
-        for batch in in_chunks(batches, "text"):
+        for batch in in_chunks(batches, "text", PART):
             out = {name: [] for name in schema.names}
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 ids = np.array([*encoder.ids(text.as_py() or ""), end], "<u4")

@@ -32,7 +32,7 @@ from pyspark.sql.window import Window
 from gleanery.llm.buckets import FLUSH_BYTES, bucket_count, bucket_of, dealt, pack
 from gleanery.llm.common import checked, only, short_batches, staged_count
 from gleanery.llm.components import components
-from gleanery.llm.words import buffers, in_chunks, mix, sequences, spans_hash, words_of
+from gleanery.llm.words import PART, buffers, in_chunks, mix, sequences, spans_hash, words_of
 from gleanery.session import stage
 
 SHINGLE = 5
@@ -246,7 +246,7 @@ def _emit(size: int, percent: int, buckets: int):
                     yield _batch(row, _SCHEMA)
             keys.clear(), seen.clear()
 
-        for batch in in_chunks(batches, "text"):
+        for batch in in_chunks(batches, "text", PART):
             docs = {"kind": [], "a": [], "b": [], "n": [], "m": [], "c": [], "id": [], "places": [], "bits": []}
             if len(keys) + batch.num_rows > 1 << 16 or held > FLUSH_BYTES:
                 yield from flush()
@@ -295,7 +295,7 @@ def _sets(size: int):
     schema = pa.schema([("name", pa.int64()), ("rep", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_chunks(batches, "text"):
+        for batch in in_chunks(batches, "text", PART):
             found = list(shingle_sets(batch.column("text"), size))
             names = [set_names(x)[0] for x in found]
             columns = [names, batch.column("doc_id"), [len(x) for x in found], [x.tobytes() for x in found]]

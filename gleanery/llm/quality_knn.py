@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm.common import held_out, only
-from gleanery.llm.words import buffers, in_chunks, mix, sequences, words_of
+from gleanery.llm.words import PART, buffers, in_chunks, mix, sequences, words_of
 from gleanery.operators.ranking import top_k
 from gleanery.session import stage
 
@@ -128,7 +128,7 @@ def fit(counts: np.ndarray, labels: np.ndarray, shares: dict[int, float], dimens
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in in_chunks(batches, "text"):
+    for batch in in_chunks(batches, "text", PART):
         counts = term_counts(batch.column("text")).astype(np.float32)
         yield pa.RecordBatch.from_arrays(
             [batch.column("label"), pa.array([x.tobytes() for x in counts], pa.binary())], names=["label", "counts"]
@@ -174,7 +174,9 @@ def scored(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_chunks(batches, "text"):
-            score = shared.value.score(term_counts(batch.column("text")))
+            # Terms are counted in parts; the rows of a block, on which the last digits depend, stay together.
+            counts = np.concatenate([term_counts(x.column("text")) for x in in_chunks(iter([batch]), "text", PART)])
+            score = shared.value.score(counts)
             score = np.clip(np.nan_to_num(score, nan=0.5), 0, 1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, "score"])
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from gleanery.llm.common import checked, free_name, staged_count
-from gleanery.llm.words import buffers, in_chunks
+from gleanery.llm.words import PART, buffers, in_chunks
 from gleanery.session import stage
 
 # Patterns, least lengths of what counts, and the characters of tokens.
@@ -101,7 +101,7 @@ def base_spans(text: str, assign: bool = True, access: bool = True, hexes: bool
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, dict[int, list[tuple[int, int, int]]]]]:
     """Batches with their bytes and offsets, and the pattern spans of the texts that have some."""
-    for batch in in_chunks(batches, "text"):
+    for batch in in_chunks(batches, "text", PART):
         texts = batch.column("text")
         data, offsets = buffers(texts)
         hexes = _has_run(data, offsets, _IS_HEX, LEAST["hex"])

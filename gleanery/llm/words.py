@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SEGMENT = 1 << 20  # bytes that are fingerprinted at once
+PART = SEGMENT // 4  # bytes of text for work that holds many times its text, as worker processes keep their peak
 ROWS = 1 << 14  # rows of a batch at most
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)

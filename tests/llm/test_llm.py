@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -533,3 +534,18 @@ def test_quality_stage_sends_texts_once_in_short_batches(spark, monkeypatch):
     assert seen == [1, 1024]
     assert kept.schema == docs.schema
     assert sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
+
+
+@pytest.mark.parametrize("step", [quality_knn._counts, partenum._sets(5)])
+def test_pipeline_steps_hold_little_beside_a_batch(step):
+    texts = pa.array([" ".join(body(seed, 600)) for seed in range(1500)])
+    columns = {"doc_id": pa.array(range(1500), pa.int64()), "text": texts, "label": pa.array([0] * 1500, pa.int32())}
+    batch = pa.RecordBatch.from_pydict(columns)
+    tracemalloc.start()
+    try:
+        rows = sum(out.num_rows for out in step(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 1500 and texts.nbytes > 4 << 20
+    assert peak < 40 << 20
