@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import only, placed
+from gleanery.llm.common import only, placed, short_batches
 from gleanery.llm.words import PART, in_chunks
 from gleanery.session import stage
 
@@ -298,7 +298,8 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) ->
     Lengths are from 1 to ``capacity``; equal rows are placed one by one. ``pieces`` is staged, as its
     histogram (``capacity`` rows at most) and its ranks both need it.
     """
-    pieces = stage(pieces, "pieces")
+    with short_batches(pieces.sparkSession):
+        pieces = stage(pieces, "pieces")
     histogram = {int(r[0]): int(r[1]) for r in pieces.groupBy("length").count().collect()}
     plan = packing_plan(histogram, capacity, groups)
     ranked = placed(pieces.withColumn("_one", F.lit(1)), ["length"], ["doc_id", "piece", "start", "ids_crc32"], "_one", sum(histogram.values()), "rank")

@@ -549,3 +549,16 @@ def test_pipeline_steps_hold_little_beside_a_batch(step):
         tracemalloc.stop()
     assert rows == 1500 and texts.nbytes > 4 << 20
     assert peak < 40 << 20
+
+
+def test_scans_and_packing_send_texts_in_short_batches(docs, monkeypatch):
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", {}
+    conf = docs.sparkSession.conf
+    for module, name in ((secret_scan, "stage"), (secret_scan, "staged_count"), (packing, "stage")):
+        write = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda df, label, write=write: (seen.update({label: conf.get(key)}), write(df, label))[1])
+    before = conf.get(key)
+    secret_scan.redacted(docs)
+    packing.pack_documents(docs, queries.tokenizer())
+    assert seen == {"secrets": "1024", "secret-spans": "1024", "pieces": "1024"}
+    assert conf.get(key) == before
