@@ -12,8 +12,9 @@ left out without losing a link.
 
 Sets that share a signature are compared with the least of them only. Their components are found. Then the sets
 of a signature that are in different components are compared with each other, each pair at the first signature it
-shares, unless parities of their shingles already show too many differences. So no copies are expanded into pairs,
-and no link between components is lost.
+shares, unless parities of their shingles already show too many differences: first parities folded to a few columns,
+which are compared without an array for each pair, then all of them. So no copies are expanded into pairs, and no link
+between components is lost.
 """
 
 from __future__ import annotations
@@ -39,8 +40,9 @@ SHINGLE = 5
 PERCENT = 80
 LEAST_PERCENT = 64  # below it similar sets may lie two bands apart and share no signature
 SKETCH = 8  # shingles for each counter of a sketch
+SHORT = 8  # 64-bit words of the parities that are compared first
 EARLIER = 12  # signatures before one at which a pair may have met already
-FOUND = "kind string, a long, b long, n long, m long, c long, id long, bucket int, hashes binary, places binary, bits array<long>"
+FOUND = "kind string, a long, b long, n long, m long, c long, id long, bucket int, hashes binary, places binary, bits array<long>, short array<long>"
 SETS = "name long, rep long, n long, shingles binary"
 
 
@@ -162,6 +164,11 @@ def parity_bits(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(bool), bitorder="little").view("<i8")
 
 
+def short_parities(bits: np.ndarray) -> np.ndarray | None:
+    """Parities folded to ``SHORT`` words; none for a set that has fewer."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, SHORT), axis=0) if len(bits) >= SHORT else None
+
+
 def least_odd(one: Column, two: Column) -> Column:
     """A lower bound of the symmetric difference of two sets: each shingle of only one of them turns one parity.
 
@@ -194,7 +201,7 @@ def least_difference(one: bytes, two: bytes) -> int:
 _SCHEMA = pa.schema([
     ("kind", pa.string()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("m", pa.int64()),
     ("c", pa.int64()), ("id", pa.int64()), ("bucket", pa.int32()), ("hashes", pa.binary()), ("places", pa.binary()),
-    ("bits", pa.list_(pa.int64())),
+    ("bits", pa.list_(pa.int64())), ("short", pa.list_(pa.int64())),
 ])
 
 
@@ -247,7 +254,7 @@ def _emit(size: int, percent: int, buckets: int):
             keys.clear(), seen.clear()
 
         for batch in in_chunks(batches, "text", PART):
-            docs = {"kind": [], "a": [], "b": [], "n": [], "m": [], "c": [], "id": [], "places": [], "bits": []}
+            docs = {"kind": [], "a": [], "b": [], "n": [], "m": [], "c": [], "id": [], "places": [], "bits": [], "short": []}
             if len(keys) + batch.num_rows > 1 << 16 or held > FLUSH_BYTES:
                 yield from flush()
                 flushes, held = flushes + 1, 0
@@ -261,7 +268,8 @@ def _emit(size: int, percent: int, buckets: int):
                         keys.append(made)
                         held += 24 * len(made)
                     at = (task << 20 | flushes) << 16 | seen[name]
-                row = ("doc", name if len(found) else None, other, len(found), doc_id, allowed, at, sketch_of(found), parity_bits(found))
+                bits = parity_bits(found)
+                row = ("doc", name if len(found) else None, other, len(found), doc_id, allowed, at, sketch_of(found), bits, short_parities(bits))
                 for column, value in zip(docs, row):
                     docs[column].append(value)
             docs["bucket"] = bucket_of(mix(np.array(docs["b"], np.int64).astype(np.uint64)), buckets)
@@ -388,10 +396,15 @@ def _with_earlier(members: DataFrame) -> DataFrame:
 
 
 def _may_link(one: str, two: str, percent: int) -> Column:
-    """Whether sizes and parities of two sets allow a link."""
+    """Whether sizes and parities of two sets allow a link.
+
+    Short parities come first, as columns of numbers: most pairs end there, and make no arrays to be collected as garbage.
+    """
     n, m = F.col(f"{one}n"), F.col(f"{two}n")
     reach = F.floor((n + m) * (100 - percent) / (100 + percent))
-    return (F.greatest(n, m) * percent <= F.least(n, m) * 100) & (least_odd(F.col(f"{one}bits"), F.col(f"{two}bits")) <= reach)
+    odd = [F.bit_count(F.col(f"{one}short{i}").bitwiseXOR(F.col(f"{two}short{i}"))) for i in range(SHORT)]
+    near = F.coalesce(sum(odd[1:], odd[0]) <= reach, F.lit(True))  # null where a set has no short parities
+    return (F.greatest(n, m) * percent <= F.least(n, m) * 100) & near & (least_odd(F.col(f"{one}bits"), F.col(f"{two}bits")) <= reach)
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -412,9 +425,9 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
         found = stage(dealt(signed, docs).applyInArrow(_meet(buckets), FOUND), "signatures")
     rows = found.where("kind = 'doc'").select(
         F.col("m").alias("doc_id"), "n", F.col("a").alias("name"), F.col("b").alias("other"),
-        F.col("c").alias("allowed"), "id", F.col("places").alias("sketch"), "bits",
+        F.col("c").alias("allowed"), "id", F.col("places").alias("sketch"), "bits", "short",
     )
-    facts = [F.first(c).alias(c) for c in ("n", "allowed", "sketch", "bits")]
+    facts = [F.first(c).alias(c) for c in ("n", "allowed", "sketch", "bits", "short")]
     classes = stage(rows.where("name is not null").groupBy("name", "other").agg(F.min("doc_id").alias("rep"), *facts), "classes")
     ids = stage(rows.where("id is not null").select("id", "name").distinct(), "ids")
     pairs = found.where("kind = 'pair'").select("a", "b")
@@ -431,7 +444,8 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     members = stage(members.select("key", "name").distinct(), "members").join(named, "name")
 
     # Sets of one signature that are still apart are compared with each other, where sizes and parities allow a link.
-    apart = _with_earlier(_to_compare(members)).join(classes.select("name", "bits"), "name")
+    short = [F.col("short")[i].alias(f"short{i}") for i in range(SHORT)]
+    apart = _with_earlier(_to_compare(members)).join(classes.select("name", "bits", *short), "name")
     one, two = apart.alias("one"), apart.alias("two")
     other = (F.col("one.name") < F.col("two.name")) & (F.col("one.component") != F.col("two.component"))
     first = ~F.arrays_overlap("one.earlier", "two.earlier")

@@ -428,6 +428,25 @@ def test_parities_never_exceed_the_difference(spark):
     assert all(0 <= r.least <= r.n for r in found)
 
 
+def test_short_parities_rule_pairs_out_before_arrays_are_made(spark):
+    rng, rows = np.random.default_rng(4), []
+    for n in (40, 60, 130, 300, 1000):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        near = np.unique(np.concatenate([a[n // 20 :], rng.integers(0, 2**63, n // 20).astype(np.uint64)]))
+        for b in (near, np.unique(rng.integers(0, 2**63, n + 8).astype(np.uint64))):
+            short = [partenum.short_parities(partenum.parity_bits(x)) for x in (a, b)]
+            assert all((x is None) == (len(y) <= 64) for x, y in zip(short, (a, b)))
+            if short[0] is not None and short[1] is not None:
+                assert np.bitwise_count((short[0] ^ short[1]).view(np.uint64)).sum() <= len(np.setxor1d(a, b))
+            # No other parities: what is ruled out here is ruled out by the short ones.
+            sides = [(len(x), [0], *([None] * partenum.SHORT if y is None else y.tolist())) for x, y in zip((a, b), short)]
+            rows.append((*sides, b is near))
+    side = "struct<n long, bits array<long>, " + ", ".join(f"short{i} long" for i in range(partenum.SHORT)) + ">"
+    table = spark.createDataFrame(rows, f"one {side}, two {side}, near boolean")
+    found = table.select("one.n", "near", partenum._may_link("one.", "two.", 80).alias("may")).collect()
+    assert [r.may for r in found] == [r.near or r.n <= 64 for r in found]
+
+
 def test_decoding():
     corpus = "the idiot was a stupid clown and the moron is pathetic and the loser of the trash bag " * 50
     data = np.frombuffer(corpus.encode(), np.uint8)
